@@ -28,7 +28,7 @@ ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"
 MATH_DELIMITERS = {"\\[": "$$", "\\]": "$$", "\\(": "$", "\\)": "$"}
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often ``body`` uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -40,7 +40,7 @@ def nfc(text: Column) -> Column:
         composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(False))
         return F.when(F.octet_length(t) > F.length(t), composed).otherwise(t)
 
-    return _bind(text, compose)
+    return bind(text, compose)
 
 
 def strip_tags(text: Column) -> Column:
@@ -55,7 +55,7 @@ def strip_tags(text: Column) -> Column:
         head = F.left(t, F.length(t) - F.length(tail))
         return F.when(F.contains(t, F.lit("<")), F.concat(F.regexp_replace(head, "<[^>]++>", " "), tail)).otherwise(t)
 
-    return _bind(text, strip)
+    return bind(text, strip)
 
 
 def normalize_newlines(text: Column) -> Column:
@@ -106,6 +106,22 @@ def preview(text: Column, chars: int) -> Column:
     return F.substring(text, 1, chars)
 
 
+def single_spaced(text: Column, drop: str = "") -> Column:
+    """Whitespace runs become one space, the ends are trimmed, and the characters in ``drop`` are removed."""
+    spaced = F.translate(text, SPACES + "\n" + drop, " " * len(SPACES + "\n"))
+    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
+
+
+def word_count(spaced: Column) -> Column:
+    """Number of words of text that is already single-spaced."""
+
+    def count(t: Column) -> Column:
+        gaps = F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit("")))
+        return F.when(t == "", 0).otherwise(gaps + 1)
+
+    return bind(spaced, count)
+
+
 def token_count(text: Column) -> Column:
     """Number of whitespace-separated tokens."""
-    return F.regexp_count(text, F.lit(f"[^{SPACE_CLASS}]++"))
+    return word_count(single_spaced(text))

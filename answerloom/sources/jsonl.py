@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from answerloom.functions.text import bind
+
 META_FIELDS = ("url", "answer_id", "question_score", "answer_count")
 
 META_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in META_FIELDS])
@@ -39,9 +41,21 @@ def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def records(line: Column, schema: T.StructType) -> Column:
+    """The JSON object a line holds, as an array of one; an empty or null array when it holds anything else.
+
+    Reading the line as the content of an array is what finds text after the object, which a JSON reader that stops at
+    the end of the first value would accept.
+    """
+    parsed = F.from_json(
+        F.concat(F.lit("["), line, F.lit("]")), T.ArrayType(schema), {"allowSingleQuotes": "false"}
+    )
+    return bind(parsed, lambda found: F.when(F.size(found) == 1, F.filter(found, lambda r: r.isNotNull())))
+
+
 def read_tolerant(spark: SparkSession, path: str | list[str], schema: T.StructType = INSTRUCTION_SCHEMA) -> DataFrame:
-    """The parseable lines only; blank and malformed lines are skipped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").option("allowSingleQuotes", "false").json(path)
+    """The lines that hold a JSON object; blank and malformed lines are skipped."""
+    return spark.read.text(path).select(F.inline(records(F.col("value"), schema)))
 
 
 def read_training_log(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -10,28 +10,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from answerloom.sources.jsonl import CORRUPT, INSTRUCTION_SCHEMA
+from answerloom.sources.jsonl import INSTRUCTION_SCHEMA, records
 from answerloom.storage import BROADCAST_ROWS, materialize
 
 _SPLIT = ["file", "start"]
 
 
-def _lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    fields = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
-    record = F.from_json("value", fields, options)
-    text = spark.read.text(path).select(
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("seq"),
         "value",
     )
-    return text.withColumn("record", record).withColumn(
-        "valid", F.col("record").isNotNull() & F.col(f"record.{CORRUPT}").isNull()
-    )
 
 
-def split_offsets(lines: DataFrame, parts: int | None = None) -> DataFrame:
+def split_offsets(lines: DataFrame, schema: T.StructType, parts: int | None = None) -> DataFrame:
     """One row per split: its first ``seq``, line and valid-line counts, and how many of each precede it.
 
     The running sums are taken within range partitions and then over one total per partition, so no task sees more
@@ -39,8 +33,9 @@ def split_offsets(lines: DataFrame, parts: int | None = None) -> DataFrame:
     """
     spark = lines.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    valid = F.size(records(F.col("value"), schema)) == 1
     counts = lines.groupBy(*_SPLIT).agg(
-        F.min("seq").alias("first_seq"), F.count("*").alias("n_lines"), F.count_if("valid").alias("n_valid")
+        F.min("seq").alias("first_seq"), F.count("*").alias("n_lines"), F.count_if(valid).alias("n_valid")
     )
     ranged = materialize(
         counts.repartitionByRange(parts, *_SPLIT).withColumn("part", F.spark_partition_id()), "splits"
@@ -77,21 +72,21 @@ def _numbered(lines: DataFrame, offsets: DataFrame) -> DataFrame:
 
 
 def _records(numbered: DataFrame, schema: T.StructType) -> DataFrame:
-    return numbered.filter("valid").select("line_no", *[F.col(f"record.{f}").alias(f) for f in schema.fieldNames()])
+    return numbered.select("line_no", F.inline(records(F.col("value"), schema)))
 
 
 def read_numbered(spark: SparkSession, path: str | list[str], schema: T.StructType = INSTRUCTION_SCHEMA) -> DataFrame:
     """Every valid line with its physical line number ``line_no``."""
-    lines = _lines(spark, path, schema)
-    return _records(_numbered(lines, split_offsets(lines)), schema)
+    lines = _lines(spark, path)
+    return _records(_numbered(lines, split_offsets(lines, schema)), schema)
 
 
 def head_rows(
     spark: SparkSession, path: str | list[str], n: int = 50_000, schema: T.StructType = INSTRUCTION_SCHEMA
 ) -> DataFrame:
     """The first ``n`` valid lines in file order."""
-    lines = _lines(spark, path, schema)
-    near = split_offsets(lines).filter((F.col("valid_before") < n) & (F.col("n_valid") > 0))
+    lines = _lines(spark, path)
+    near = split_offsets(lines, schema).filter((F.col("valid_before") < n) & (F.col("n_valid") > 0))
     return _records(_numbered(lines, near), schema).orderBy("line_no").limit(n)
 
 
@@ -103,8 +98,8 @@ def holdout_rows(
     schema: T.StructType = INSTRUCTION_SCHEMA,
 ) -> DataFrame:
     """Leave out the first ``skip`` physical lines, then the first ``take`` valid lines."""
-    lines = _lines(spark, path, schema)
-    offsets = split_offsets(lines)
+    lines = _lines(spark, path)
+    offsets = split_offsets(lines, schema)
     # Valid lines up to the end of the split in which the range begins. Splits that start `take` valid lines after
     # that cannot be reached.
     begin = offsets.filter(F.col("lines_before") <= skip).agg(F.max(F.col("valid_before") + F.col("n_valid"))).first()[0]
@@ -113,7 +108,8 @@ def holdout_rows(
         & (F.col("valid_before") < (begin or 0) + take)
         & (F.col("n_valid") > 0)
     )
-    return _records(_numbered(lines, near), schema).filter(F.col("line_no") >= skip).orderBy("line_no").limit(take)
+    numbered = _numbered(lines, near).filter(F.col("line_no") >= skip)
+    return _records(numbered, schema).orderBy("line_no").limit(take)
 
 
 def head_and_holdout(

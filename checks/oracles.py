@@ -180,7 +180,7 @@ preds AS (
   FROM samples
   UNION ALL
   SELECT sample_id, 'tuned', instruction, reference,
-         CASE WHEN conv_id % 10 = 0 THEN upper(reference) || ' .'
+         CASE WHEN conv_id % 10 = 0 THEN 'The ' || reference || ' .'
               ELSE next || ' ' || instruction ||
                    CASE conv_id % 3 WHEN 0 THEN chr(10) || '1. one' || chr(10) || ' - two' || chr(10) || '3) three'
                                     WHEN 1 THEN ' First, step 1. Finally, STEP 2' ELSE '' END END

@@ -100,7 +100,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = F.col("conv_id")
     math = F.when(conv % 4 == 0, "\n$$a=1$$ $$b$$ $$c$$").when(conv % 4 == 1, "\n\\frac\\sum x").otherwise("")
     steps = F.when(conv % 3 == 0, "\n1. one\n - two\n3) three").when(conv % 3 == 1, " First, step 1. Finally, STEP 2")
-    tuned = F.when(conv % 10 == 0, F.concat(F.upper("reference"), F.lit(" ."))).otherwise(
+    tuned = F.when(conv % 10 == 0, F.concat(F.lit("The "), "reference", F.lit(" ."))).otherwise(
         F.concat("next", F.lit(" "), "instruction", F.coalesce(steps, F.lit("")))
     )
     samples = answers.join(question, ["conv_id", "turn"]).join(later, ["conv_id", "turn"])
