@@ -33,14 +33,25 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def nfc(text: Column) -> Column:
-    """Unicode NFC, through the ICU library Spark ships; pure ASCII text skips the call."""
+def _where(text: Column, needed: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
+    """``change(text)`` for the texts that need it; a cheap test spares the others the work."""
+    return bind(text, lambda t: F.when(needed(t), change(t)).otherwise(t))
+
+
+def _not_ascii(text: Column) -> Column:
+    return F.octet_length(text) > F.length(text)
+
+
+def _replace_all(text: Column, pairs: dict[str, str]) -> Column:
+    for old, new in pairs.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
-    def compose(t: Column) -> Column:
-        composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(False))
-        return F.when(F.octet_length(t) > F.length(t), composed).otherwise(t)
 
-    return bind(text, compose)
+def nfc(text: Column) -> Column:
+    """Unicode NFC, through the ICU library Spark ships."""
+    normalizer = F.lit("com.ibm.icu.text.Normalizer")
+    return _where(text, _not_ascii, lambda t: F.java_method(normalizer, F.lit("compose"), t, F.lit(False)))
 
 
 def strip_tags(text: Column) -> Column:
@@ -53,30 +64,33 @@ def strip_tags(text: Column) -> Column:
     def strip(t: Column) -> Column:
         tail = F.substring_index(t, ">", -1)
         head = F.left(t, F.length(t) - F.length(tail))
-        return F.when(F.contains(t, F.lit("<")), F.concat(F.regexp_replace(head, "<[^>]++>", " "), tail)).otherwise(t)
+        return F.concat(F.regexp_replace(head, "<[^>]++>", " "), tail)
 
-    return bind(text, strip)
+    return _where(text, lambda t: F.contains(t, F.lit("<")), strip)
 
 
 def normalize_newlines(text: Column) -> Column:
     """CR LF and lone CR become LF."""
-    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return _where(
+        text, lambda t: F.contains(t, F.lit("\r")), lambda t: _replace_all(t, {"\r\n": "\n", "\r": "\n"})
+    )
 
 
 def collapse_blank_lines(text: Column) -> Column:
     """Right-strip each line, keep at most two blank lines in a row, strip both ends."""
     lines = F.transform(F.split(text, "\n"), lambda line: F.rtrim(line, F.lit(SPACES)))
-    joined = F.regexp_replace(F.array_join(lines, "\n"), "\n{4,}", "\n\n\n")
-    return F.btrim(joined, F.lit(SPACES + "\n"))
+    short = _where(
+        F.array_join(lines, "\n"),
+        lambda t: F.contains(t, F.lit("\n" * 4)),
+        lambda t: F.regexp_replace(t, "\n{4,}", "\n\n\n"),
+    )
+    return F.btrim(short, F.lit(SPACES + "\n"))
 
 
 def normalize_math(text: Column) -> Column:
     r"""``\[ \]`` become ``$$`` and ``\( \)`` become ``$``; then zero-width characters are removed."""
-    for delimiter, dollars in MATH_DELIMITERS.items():
-        text = F.replace(text, F.lit(delimiter), F.lit(dollars))
-    for char in ZERO_WIDTH:
-        text = F.replace(text, F.lit(char), F.lit(""))
-    return text
+    dollars = _where(text, lambda t: F.contains(t, F.lit("\\")), lambda t: _replace_all(t, MATH_DELIMITERS))
+    return _where(dollars, _not_ascii, lambda t: _replace_all(t, dict.fromkeys(ZERO_WIDTH, "")))
 
 
 def clean_text(text: Column) -> Column:
