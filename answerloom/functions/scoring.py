@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.functions.text import SPACE_CLASS, single_spaced, word_count
+from answerloom.functions.text import BLANK_CLASS, SPACE_CLASS, single_spaced, word_count
 
 # The ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -16,12 +16,19 @@ WORD = r"[\p{L}\p{N}_]"
 # Looking behind only where an article ends is cheaper than at every character.
 ARTICLES = rf"(?:an?|the)(?!{WORD})(?<!{WORD}(?:a|an|the))"
 
-# What counts as visible working, and how often one of them must occur.
+# A numbered or bulleted item: first on its line, apart from blanks, and followed by whitespace. The whitespace before
+# it is taken as one run from its beginning, so a long run of blank lines is read once.
+ITEM = (
+    rf"(?:\A|(?<![{SPACE_CLASS}])[{BLANK_CLASS}]*+\n)[{SPACE_CLASS}]*+"
+    rf"(?:\p{{Nd}}++[.):]|[-\u2022*])(?=[{SPACE_CLASS}])"
+)
+
+# What counts as visible working, and how often one kind of it must occur.
 STEP_PATTERNS = (
     r"\$\$[^$]+\$\$",
     r"\$[^$]+\$",
-    rf"(?md)^[{SPACE_CLASS}]*+(?:\p{{Nd}}+[.):]|[-•*])[{SPACE_CLASS}]",
-    rf"(?iu)step[{SPACE_CLASS}]*\p{{Nd}}+|first[,.]|second[,.]|third[,.]|finally[,.]",
+    ITEM,
+    rf"(?iu)step[{SPACE_CLASS}]*+\p{{Nd}}+|first[,.]|second[,.]|third[,.]|finally[,.]",
     r"\\frac|\\sqrt|\\sum|\\int|\\cdot",
 )
 MIN_STEPS = 3

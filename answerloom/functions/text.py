@@ -18,8 +18,9 @@ SPACES = (
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# The same set, line feed included, as the body of a Java character class.
-SPACE_CLASS = "".join(f"\\x{{{ord(c):x}}}" for c in SPACES + "\n")
+# The same set as the body of a Java character class, without and with the line feed.
+BLANK_CLASS = "".join(f"\\x{{{ord(c):x}}}" for c in SPACES)
+SPACE_CLASS = BLANK_CLASS + "\\n"
 
 # Zero-width space, non-joiner, joiner and byte-order mark.
 ZERO_WIDTH = "\u200b\u200c\u200d\ufeff"

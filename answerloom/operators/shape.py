@@ -20,18 +20,20 @@ def content_hash(question: Column, answer: Column) -> Column:
     return F.md5(F.concat(F.substring(question, 1, PREFIX_CHARS), F.substring(answer, 1, PREFIX_CHARS)))
 
 
-def with_keys(df: DataFrame) -> DataFrame:
-    """The two duplicate keys, and the columns that order copies, of a cleaned frame with lengths."""
+def key_columns() -> dict[str, Column]:
+    """The two duplicate keys, and the columns that order copies, from cleaned Q, A and meta."""
     q, a = F.col("Q"), F.col("A")
-    return df.withColumns(
-        {
-            "uid": record_uid(F.col("meta.url"), F.col("meta.answer_id")),
-            "content_hash": content_hash(q, a),
-            "q_score": int_or_zero(F.col("meta.question_score")),
-            "a_count": int_or_zero(F.col("meta.answer_count")),
-            "text_md5": F.md5(F.concat(q, a)),
-        }
-    )
+    return {
+        "uid": record_uid(F.col("meta.url"), F.col("meta.answer_id")),
+        "content_hash": content_hash(q, a),
+        "q_score": int_or_zero(F.col("meta.question_score")),
+        "a_count": int_or_zero(F.col("meta.answer_count")),
+        "text_md5": F.md5(F.concat(q, a)),
+    }
+
+
+def with_keys(df: DataFrame) -> DataFrame:
+    return df.withColumns(key_columns())
 
 
 def to_instruction(df: DataFrame, *carry: str) -> DataFrame:

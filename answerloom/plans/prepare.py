@@ -27,7 +27,7 @@ from answerloom.operators.profile import (
     summary,
     value_counts,
 )
-from answerloom.operators.shape import to_instruction, with_keys
+from answerloom.operators.shape import key_columns, to_instruction
 from answerloom.operators.split import assign_split, check_conservation, leakage, split_counts
 from answerloom.sources.jsonl import require_columns, with_full_meta
 from answerloom.storage import BROADCAST_ROWS, materialize
@@ -74,23 +74,23 @@ class Prepared:
 def stage_rows(raw: DataFrame, cfg: PrepConfig = PrepConfig(), carry: tuple[str, ...] = ()) -> DataFrame:
     """Every raw row with how far it ``reached``; cleaned text and keys only where it passed all row filters.
 
-    The score needs no cleaned text, so text is cleaned only where it can still be kept or is needed to tell a length
-    drop from a score drop.
+    Rows without text are not cleaned, and keys are worked out only for rows that pass.
     """
     rows = with_full_meta(require_columns(raw, "Q", "A")).select(*carry, "Q", "A", "meta")
     present = has_text(F.col("Q"), F.col("A"))
     rows = rows.withColumn("present", present)
     rows = rows.withColumns({c: F.when(F.col("present"), F.col(c)) for c in ("Q", "A")})
-    staged = with_keys(with_lengths(with_cleaned(rows, "Q", "A")))
+    staged = with_lengths(with_cleaned(rows, "Q", "A"))
     reached = (
         F.when(~F.col("present"), EMPTY)
         .when(~length_in_band(F.col("q_len"), F.col("a_len"), cfg), SHORT_OR_LONG)
         .when(~scored_enough(F.col("meta.question_score"), cfg), LOW_SCORE)
         .otherwise(KEPT)
     )
-    staged = staged.withColumn("reached", reached.cast("byte"))
-    kept = ["Q", "A", "q_len", "a_len", "uid", "content_hash", "q_score", "a_count", "text_md5"]
-    return staged.select(*carry, "reached", *[F.when(F.col("reached") == KEPT, F.col(c)).alias(c) for c in kept])
+    kept = {c: F.col(c) for c in ("Q", "A", "q_len", "a_len")} | key_columns()
+    return staged.withColumn("reached", reached.cast("byte")).select(
+        *carry, "reached", *[F.when(F.col("reached") == KEPT, c).alias(name) for name, c in kept.items()]
+    )
 
 
 def prepare(
@@ -129,4 +129,7 @@ def prepare(
         remaining[stage_name] = sum(n for reach, n in by_reach.items() if reach > failed)
     remaining |= {"uid": n_uid, "content": n_content}
     require_rows(remaining)
-    return Prepared(materialize(clean, "clean"), funnel(spark, remaining), remaining, splits)
+    clean = materialize(clean, "clean")
+    if clean.count() != n_content:
+        raise ValueError(f"{row_id} is not unique")
+    return Prepared(clean, funnel(spark, remaining), remaining, splits)

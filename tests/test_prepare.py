@@ -70,6 +70,11 @@ def test_nothing_left(spark):
         job.prepare(qa_raw(spark, DATA), PrepConfig(min_question_score=10**6), row_id="row_id")
 
 
+def test_row_ids_must_be_unique(spark):
+    with pytest.raises(ValueError, match="not unique"):
+        job.prepare(qa_raw(spark, DATA).withColumn("row_id", F.lit(1).cast("long")), row_id="row_id")
+
+
 def test_configuration_is_checked():
     with pytest.raises(ValueError):
         PrepConfig(min_answer_len=5, max_answer_len=4)

@@ -39,6 +39,12 @@ def test_fuzz_against_the_plain_statement(spark):
         assert row.has_steps == spec.steps(p), repr(p)
 
 
+def test_items_of_a_list(spark):
+    values = ["1. a\n2. b\n3. c", "- - - a", "-\n-\n-\n", "\n\n - a\n\n\n2) b\n\t* c", "x 1. a\n1.a\n2.b", "1.\n2.\n3."]
+    pairs = [(v, "r") for v in values] + [("x" + "\n" * 500_000 + "y", "r")]
+    assert [r.has_steps for r in scored(spark, pairs)] == [*map(spec.steps, values), 0]
+
+
 def test_null_texts(spark):
     row = scored(spark, [(None, "x")])[0]
     assert (row.f1, row.rougeL, row.has_steps) == (0.0, 0.0, 0)
