@@ -34,81 +34,117 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _where(text: Column, needed: Callable[[Column], Column], change: Callable[[Column], Column]) -> Column:
-    """``change(text)`` for the texts that need it; a cheap test spares the others the work."""
-    return bind(text, lambda t: F.when(needed(t), change(t)).otherwise(t))
+# Cleaning steps. Each names its argument several times, to test cheaply whether a text needs the work at all, so it
+# must be given a plain column or a bound value.
 
 
-def _not_ascii(text: Column) -> Column:
-    return F.octet_length(text) > F.length(text)
+def _nfc(t: Column) -> Column:
+    composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(False))
+    return F.when(F.octet_length(t) > F.length(t), composed).otherwise(t)
 
 
-def _replace_all(text: Column, pairs: dict[str, str]) -> Column:
+def _strip_tags(t: Column) -> Column:
+    # Only the part up to the last ">" can hold a tag. Searching no further keeps unmatched "<" from rescanning the
+    # rest of the text each time.
+    tail = F.substring_index(t, ">", -1)
+    head = F.left(t, F.length(t) - F.length(tail))
+    stripped = F.concat(F.regexp_replace(head, "<[^>]++>", " "), tail)
+    return F.when(F.contains(t, F.lit("<")), stripped).otherwise(t)
+
+
+def _replace_present(t: Column, pairs: dict[str, str], sign: str | None = None) -> Column:
+    """Literal replacements, one after the other, in texts that hold ``sign`` (or else any of the strings)."""
+    needed = F.lit(False)
+    replaced = t
     for old, new in pairs.items():
-        text = F.replace(text, F.lit(old), F.lit(new))
+        needed = needed | F.contains(t, F.lit(old))
+        replaced = F.replace(replaced, F.lit(old), F.lit(new))
+    return F.when(needed if sign is None else F.contains(t, F.lit(sign)), replaced).otherwise(t)
+
+
+def _newlines(t: Column) -> Column:
+    return _replace_present(t, {"\r\n": "\n", "\r": "\n"}, "\r")
+
+
+def _rstrip_lines(t: Column) -> Column:
+    return F.array_join(F.transform(F.split(t, "\n"), lambda line: F.rtrim(line, F.lit(SPACES))), "\n")
+
+
+def _limit_blank_lines(t: Column) -> Column:
+    return F.when(F.contains(t, F.lit("\n" * 4)), F.regexp_replace(t, "\n{4,}", "\n\n\n")).otherwise(t)
+
+
+def _strip_start(t: Column) -> Column:
+    return F.ltrim(t, F.lit(SPACES + "\n"))
+
+
+def _strip_end(t: Column) -> Column:
+    # Every line is stripped already, so only line feeds can be left at the end.
+    return F.when(F.endswith(t, F.lit("\n")), F.rtrim(t, F.lit("\n"))).otherwise(t)
+
+
+def _math(t: Column) -> Column:
+    return _replace_present(t, MATH_DELIMITERS, "\\")
+
+
+def _zero_width(t: Column) -> Column:
+    return _replace_present(t, dict.fromkeys(ZERO_WIDTH, ""))
+
+
+_LINES = (_rstrip_lines, _limit_blank_lines, _strip_start, _strip_end)
+_MARKUP = (_math, _zero_width)
+_CLEANING = (_nfc, _strip_tags, _newlines, *_LINES, *_MARKUP)
+
+
+def _apply(text: Column, *steps: Callable[[Column], Column]) -> Column:
+    for step in steps:
+        text = bind(text, step)
     return text
 
 
 def nfc(text: Column) -> Column:
     """Unicode NFC, through the ICU library Spark ships."""
-    normalizer = F.lit("com.ibm.icu.text.Normalizer")
-    return _where(text, _not_ascii, lambda t: F.java_method(normalizer, F.lit("compose"), t, F.lit(False)))
+    return _apply(text, _nfc)
 
 
 def strip_tags(text: Column) -> Column:
-    """Replace every ``<...>`` by one space. Tags may span lines; entities stay as they are.
-
-    Only the part up to the last ``>`` can hold a tag. Searching no further keeps unmatched ``<`` from
-    rescanning the rest of the text each time.
-    """
-
-    def strip(t: Column) -> Column:
-        tail = F.substring_index(t, ">", -1)
-        head = F.left(t, F.length(t) - F.length(tail))
-        return F.concat(F.regexp_replace(head, "<[^>]++>", " "), tail)
-
-    return _where(text, lambda t: F.contains(t, F.lit("<")), strip)
+    """Replace every ``<...>`` by one space. Tags may span lines; entities stay as they are."""
+    return _apply(text, _strip_tags)
 
 
 def normalize_newlines(text: Column) -> Column:
     """CR LF and lone CR become LF."""
-    return _where(
-        text, lambda t: F.contains(t, F.lit("\r")), lambda t: _replace_all(t, {"\r\n": "\n", "\r": "\n"})
-    )
+    return _apply(text, _newlines)
 
 
 def collapse_blank_lines(text: Column) -> Column:
     """Right-strip each line, keep at most two blank lines in a row, strip both ends."""
-    lines = F.transform(F.split(text, "\n"), lambda line: F.rtrim(line, F.lit(SPACES)))
-    short = _where(
-        F.array_join(lines, "\n"),
-        lambda t: F.contains(t, F.lit("\n" * 4)),
-        lambda t: F.regexp_replace(t, "\n{4,}", "\n\n\n"),
-    )
-    return F.btrim(short, F.lit(SPACES + "\n"))
+    return _apply(text, *_LINES)
 
 
 def normalize_math(text: Column) -> Column:
     r"""``\[ \]`` become ``$$`` and ``\( \)`` become ``$``; then zero-width characters are removed."""
-    dollars = _where(text, lambda t: F.contains(t, F.lit("\\")), lambda t: _replace_all(t, MATH_DELIMITERS))
-    return _where(dollars, _not_ascii, lambda t: _replace_all(t, dict.fromkeys(ZERO_WIDTH, "")))
+    return _apply(text, *_MARKUP)
 
 
 def clean_text(text: Column) -> Column:
     """All cleaning steps in order; null becomes the empty string."""
-    cleaned = normalize_math(collapse_blank_lines(normalize_newlines(strip_tags(nfc(text)))))
-    return F.coalesce(cleaned, F.lit(""))
+    return F.coalesce(_apply(text, *_CLEANING), F.lit(""))
 
 
 def with_cleaned(df: DataFrame, *names: str) -> DataFrame:
-    """Replace the named string columns by their cleaned text.
+    """Replace the named string columns by their cleaned text; the fast form of ``clean_text``.
 
-    The cleaning sits in a generator. Catalyst moves later filters on the cleaned columns below a plain projection,
-    which would run the whole cleaning again inside the filter; it does not move them below a generator.
+    One projection per step lets generated code hold each intermediate text in a variable. The generator at the end is
+    a barrier: Catalyst moves later filters on the cleaned columns below projections, which would run the whole
+    cleaning again inside the filter, but not below a generator.
     """
-    cleaned = F.struct(*[clean_text(F.col(n)).alias(n) for n in names])
-    others = [F.col(c) for c in df.columns if c not in names]
-    return df.select(*others, F.inline(F.array(cleaned))).select(*df.columns)
+    columns = df.columns
+    for step in _CLEANING:
+        df = df.withColumns({n: step(F.col(n)) for n in names})
+    cleaned = F.struct(*[F.coalesce(F.col(n), F.lit("")).alias(n) for n in names])
+    others = [F.col(c) for c in columns if c not in names]
+    return df.select(*others, F.inline(F.array(cleaned))).select(*columns)
 
 
 def combined(question: Column, answer: Column) -> Column:
