@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.functions.text import BLANK_CLASS, SPACE_CLASS, single_spaced, word_count
+from answerloom.functions.text import BLANK_CLASS, SPACE_CLASS, bind, single_spaced, word_count
 
 # The ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -16,20 +16,16 @@ WORD = r"[\p{L}\p{N}_]"
 # Looking behind only where an article ends is cheaper than at every character.
 ARTICLES = rf"(?:an?|the)(?!{WORD})(?<!{WORD}(?:a|an|the))"
 
-# A numbered or bulleted item: first on its line, apart from blanks, and followed by whitespace. The whitespace before
-# it is taken as one run from its beginning, so a long run of blank lines is read once.
-ITEM = (
-    rf"(?:\A|(?<![{SPACE_CLASS}])[{BLANK_CLASS}]*+\n)[{SPACE_CLASS}]*+"
-    rf"(?:\p{{Nd}}++[.):]|[-\u2022*])(?=[{SPACE_CLASS}])"
-)
+# A numbered or bulleted item: first on its line, apart from blanks, and followed by whitespace.
+ITEM = rf"(?md)^[{BLANK_CLASS}]*+(?:\p{{Nd}}++[.):]|[-\u2022*])[{SPACE_CLASS}]"
 
-# What counts as visible working, and how often one kind of it must occur.
+# What counts as visible working, with a string it cannot do without, and how often one kind must occur.
 STEP_PATTERNS = (
-    r"\$\$[^$]+\$\$",
-    r"\$[^$]+\$",
-    ITEM,
-    rf"(?iu)step[{SPACE_CLASS}]*+\p{{Nd}}+|first[,.]|second[,.]|third[,.]|finally[,.]",
-    r"\\frac|\\sqrt|\\sum|\\int|\\cdot",
+    (r"\$\$[^$]+\$\$", "$$"),
+    (r"\$[^$]+\$", "$"),
+    (ITEM, ""),
+    (rf"(?iu)step[{SPACE_CLASS}]*+\p{{Nd}}+|first[,.]|second[,.]|third[,.]|finally[,.]", ""),
+    (r"\\frac|\\sqrt|\\sum|\\int|\\cdot", "\\"),
 )
 MIN_STEPS = 3
 
@@ -47,9 +43,16 @@ def exact_match(prediction: Column, reference: Column) -> Column:
 def token_f1(prediction: Column, reference: Column) -> Column:
     """F1 of distinct common tokens over both token counts. Takes normalised text."""
     common = F.size(F.array_intersect(F.split(prediction, " "), F.split(reference, " ")))
-    precision, recall = common / word_count(prediction), common / word_count(reference)
-    f1 = 2.0 * precision * recall / (precision + recall)
-    return F.when((prediction != "") & (reference != "") & (common > 0), f1).otherwise(F.lit(0.0))
+    counts = F.struct(
+        common.alias("common"), word_count(prediction).alias("predicted"), word_count(reference).alias("expected")
+    )
+
+    def f1(n: Column) -> Column:
+        precision, recall = n["common"] / n["predicted"], n["common"] / n["expected"]
+        some = (n["common"] > 0) & (n["predicted"] > 0) & (n["expected"] > 0)
+        return F.when(some, 2.0 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
+
+    return bind(counts, f1)
 
 
 def rouge_text(text: Column) -> Column:
@@ -95,8 +98,8 @@ def rouge_l(prediction: Column, reference: Column) -> Column:
 def step_proxy(text: Column) -> Column:
     """1 when any one of the working patterns occurs at least three times."""
     found = F.lit(False)
-    for pattern in STEP_PATTERNS:
-        found = found | (F.regexp_count(text, F.lit(pattern)) >= MIN_STEPS)
+    for pattern, sign in STEP_PATTERNS:
+        found = found | (F.contains(text, F.lit(sign)) & (F.regexp_count(text, F.lit(pattern)) >= MIN_STEPS))
     return F.coalesce(found, F.lit(False)).cast("int")
 
 

@@ -101,35 +101,29 @@ def prepare(
 ) -> Prepared:
     """Run the job on a frame of Q, A and optional meta.
 
-    ``row_id`` names a unique long column that settles ties between copies. Without one, ids are handed out as the
-    stage is written and serve only between copies whose kept columns are all equal.
+    ``row_id`` names a column that settles ties between copies and is kept. Ids of the job's own, handed out as the
+    stage is written, come last: they decide only between copies that agree in every kept column.
     """
     spark = raw.sparkSession
-    if row_id is None:
-        stage = stage_rows(raw, cfg).withColumn("row_id", F.monotonically_increasing_id())
-        ties = ("a_count", "uid", "row_id")
-    else:
-        stage = stage_rows(raw, cfg, (row_id,)).withColumnRenamed(row_id, "row_id")
-        ties = ("row_id",)
+    carry = (row_id,) if row_id else ()
+    ties = (*carry, "a_count", "uid", "stage_id")
+    stage = stage_rows(raw, cfg, carry).withColumn("stage_id", F.monotonically_increasing_id())
     stage = materialize(stage, "stage")
     by_reach = {r["reached"]: r["count"] for r in stage.groupBy("reached").count().collect()}
 
     kept = stage.filter(F.col("reached") == KEPT)
-    narrow = kept.select(*KEY_COLUMNS, "a_count", "row_id")
+    narrow = kept.select(*KEY_COLUMNS, *ties[:-2], "stage_id")
     by_uid = materialize(dedup_uid(narrow, ties), "by-uid")
-    survivors = materialize(dedup_content(by_uid, ties).select("row_id"), "survivors")
+    survivors = materialize(dedup_content(by_uid, ties).select("stage_id"), "survivors")
     n_uid, n_content = by_uid.count(), survivors.count()
 
     chosen = F.broadcast(survivors) if n_content <= BROADCAST_ROWS else survivors
-    rows = kept.join(chosen, "row_id", "left_semi")
-    clean = assign_split(to_instruction(rows, "row_id", "uid", "content_hash"), "content_hash", splits)
+    rows = kept.join(chosen, "stage_id", "left_semi")
+    clean = assign_split(to_instruction(rows, *carry, "uid", "content_hash"), "content_hash", splits)
 
     remaining = {"raw": sum(by_reach.values())}
     for stage_name, failed in (("empty", EMPTY), ("length", SHORT_OR_LONG), ("score", LOW_SCORE)):
         remaining[stage_name] = sum(n for reach, n in by_reach.items() if reach > failed)
     remaining |= {"uid": n_uid, "content": n_content}
     require_rows(remaining)
-    clean = materialize(clean, "clean")
-    if clean.count() != n_content:
-        raise ValueError(f"{row_id} is not unique")
-    return Prepared(clean, funnel(spark, remaining), remaining, splits)
+    return Prepared(materialize(clean, "clean"), funnel(spark, remaining), remaining, splits)

@@ -68,7 +68,7 @@ def split_name(key: str) -> str:
 
 QA = r"""
 p AS (
-  SELECT u.conv_id, u.conv_id * 100 + u.turn AS row_id,
+  SELECT u.conv_id, u.conv_id * 10000000 + u.turn AS row_id,
          CASE u.conv_id % 4
            WHEN 0 THEN '<p>' || u.text || '</p>'
            WHEN 1 THEN u.text || ' ' || chr(92) || '(x^2' || chr(92) || ')'
@@ -88,13 +88,13 @@ p AS (
 qa AS (
   SELECT row_id, q AS Q, a AS A, url, answer_id, question_score, answer_count FROM p
   UNION ALL
-  SELECT row_id + 100000000, q, a, url || '?copy', answer_id, question_score, answer_count FROM p WHERE conv_id % 5 = 0
+  SELECT row_id + 100000000000000000, q, a, url || '?copy', answer_id, question_score, answer_count FROM p WHERE conv_id % 5 = 0
   UNION ALL
-  SELECT row_id + 200000000, 'Re: ' || q, a, url, answer_id, question_score, answer_count FROM p WHERE conv_id % 5 = 1
+  SELECT row_id + 200000000000000000, 'Re: ' || q, a, url, answer_id, question_score, answer_count FROM p WHERE conv_id % 5 = 1
   UNION ALL
-  SELECT row_id + 300000000, '   ', a, url, answer_id, question_score, answer_count FROM p WHERE conv_id % 20 = 0
+  SELECT row_id + 300000000000000000, '   ', a, url, answer_id, question_score, answer_count FROM p WHERE conv_id % 20 = 0
   UNION ALL
-  SELECT row_id + 400000000, q, NULL, url, answer_id, question_score, answer_count FROM p WHERE conv_id % 20 = 1)"""
+  SELECT row_id + 400000000000000000, q, NULL, url, answer_id, question_score, answer_count FROM p WHERE conv_id % 20 = 1)"""
 
 CLEANED = f"""{QA},
 filled AS (
@@ -168,7 +168,7 @@ def _markup() -> str:
 
 PREDICTIONS = """
 samples AS (
-  SELECT r.conv_id * 100 + r.turn AS sample_id, r.conv_id, u.text AS instruction, r.text AS reference, n.text AS next
+  SELECT r.conv_id * 10000000 + r.turn AS sample_id, r.conv_id, u.text AS instruction, r.text AS reference, n.text AS next
   FROM conversations r
   JOIN conversations u ON u.conv_id = r.conv_id AND u.turn = r.turn - 1 AND u.role = 'user'
   JOIN conversations n ON n.conv_id = r.conv_id AND n.turn = r.turn + 2 AND n.role = 'assistant'

@@ -11,6 +11,11 @@ from answerloom.operators.shape import with_keys
 from answerloom.plans.prepare import Prepared, prepare
 
 
+# Rows are numbered by conversation and turn, copies of a row in ranges of their own.
+ID_STEP = 10**7
+COPY_STEP = 10**17
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,7 +35,7 @@ def qa_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_meta = conv % 10 == 3
     pairs = user.join(answer, ["conv_id", "turn"]).select(
         "conv_id",
-        (conv * 100 + F.col("turn")).alias("row_id"),
+        (conv * ID_STEP + F.col("turn")).alias("row_id"),
         F.when(conv % 4 == 0, F.concat(F.lit("<p>"), "q0", F.lit("</p>")))
         .when(conv % 4 == 1, F.concat("q0", F.lit(" \\(x^2\\)")))
         .when(conv % 4 == 2, F.concat("q0", F.lit("  \r\n\n\n\n\n\\[y=1\\]")))
@@ -49,10 +54,10 @@ def qa_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     copies = F.array(
         copy(F.lit(True), 0),
-        copy(conv % 5 == 0, 100_000_000, url=F.concat("url", F.lit("?copy"))),
-        copy(conv % 5 == 1, 200_000_000, q=F.concat(F.lit("Re: "), "q")),
-        copy(conv % 20 == 0, 300_000_000, q=F.lit("   ")),
-        copy(conv % 20 == 1, 400_000_000, a=F.lit(None).cast("string")),
+        copy(conv % 5 == 0, 1 * COPY_STEP, url=F.concat("url", F.lit("?copy"))),
+        copy(conv % 5 == 1, 2 * COPY_STEP, q=F.concat(F.lit("Re: "), "q")),
+        copy(conv % 20 == 0, 3 * COPY_STEP, q=F.lit("   ")),
+        copy(conv % 20 == 1, 4 * COPY_STEP, a=F.lit(None).cast("string")),
     )
     rows = pairs.select(F.explode(F.array_compact(copies)).alias("r"), "answer_id", "score", "answer_count")
     return rows.select(
@@ -105,7 +110,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     samples = answers.join(question, ["conv_id", "turn"]).join(later, ["conv_id", "turn"])
     samples = samples.withColumnRenamed("text", "reference").select(
-        (conv * 100 + F.col("turn")).alias("sample_id"),
+        (conv * ID_STEP + F.col("turn")).alias("sample_id"),
         "instruction",
         "reference",
         F.inline(
