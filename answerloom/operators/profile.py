@@ -3,7 +3,7 @@
 Statistics of integer columns are taken from their value counts. Counting is one hash aggregation with map-side
 partials, after which means, exact quantiles and histograms work on one row per distinct value. Text lengths and
 scores have few distinct values however many rows there are; an exact quantile over the rows themselves would instead
-send every task's values to a single final one.
+send every task's values to a single final one. For columns without such a bound there is ``approx_quantiles``.
 """
 
 from __future__ import annotations

@@ -25,15 +25,15 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def split_offsets(lines: DataFrame, schema: T.StructType, parts: int | None = None) -> DataFrame:
+def split_offsets(lines: DataFrame, schema: T.StructType | None = None, parts: int | None = None) -> DataFrame:
     """One row per split: its first ``seq``, line and valid-line counts, and how many of each precede it.
 
     The running sums are taken within range partitions and then over one total per partition, so no task sees more
-    than its share of the splits.
+    than its share of the splits. Without a schema every line counts as valid, and nothing is parsed.
     """
     spark = lines.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    valid = F.size(records(F.col("value"), schema)) == 1
+    valid = F.lit(True) if schema is None else F.size(records(F.col("value"), schema)) == 1
     counts = lines.groupBy(*_SPLIT).agg(
         F.min("seq").alias("first_seq"), F.count("*").alias("n_lines"), F.count_if(valid).alias("n_valid")
     )
@@ -78,7 +78,7 @@ def _records(numbered: DataFrame, schema: T.StructType) -> DataFrame:
 def read_numbered(spark: SparkSession, path: str | list[str], schema: T.StructType = INSTRUCTION_SCHEMA) -> DataFrame:
     """Every valid line with its physical line number ``line_no``."""
     lines = _lines(spark, path)
-    return _records(_numbered(lines, split_offsets(lines, schema)), schema)
+    return _records(_numbered(lines, split_offsets(lines)), schema)
 
 
 def head_rows(
