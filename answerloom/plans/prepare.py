@@ -117,7 +117,8 @@ def prepare(
     survivors = materialize(dedup_content(by_uid, ties).select("stage_id"), "survivors")
     n_uid, n_content = by_uid.count(), survivors.count()
 
-    chosen = F.broadcast(survivors) if n_content <= BROADCAST_ROWS else survivors
+    # Beyond the broadcast bound the ids are hashed per partition, which spares the wide rows a sort.
+    chosen = survivors.hint("broadcast" if n_content <= BROADCAST_ROWS else "shuffle_hash")
     rows = kept.join(chosen, "stage_id", "left_semi")
     clean = assign_split(to_instruction(rows, *carry, "uid", "content_hash"), "content_hash", splits)
 

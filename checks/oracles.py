@@ -204,6 +204,7 @@ def rouge_tokens(e: str) -> str:
 
 
 def steps(e: str) -> str:
+    # What counts as visible working.
     patterns = (
         r"\$\$[^$]+\$\$",
         r"\$[^$]+\$",
@@ -276,6 +277,7 @@ FROM (VALUES {rows}) b(lo, hi, bucket)
 LEFT JOIN {source} f ON f.{value} >= b.lo AND (b.hi IS NULL OR f.{value} < b.hi)"""
 
 
+# The score and math-density buckets.
 SCORES = [(0, 1, "0"), (1, 5, "1-4"), (5, 10, "5-9"), (10, 50, "10-49"), (50, 200, "50-199"), (200, None, "200+")]
 DENSITY = [(0, 1, "0"), (1, 3, "1-2"), (3, 7, "3-6"), (7, 15, "7-14"), (15, 31, "15-30"), (31, None, "31+")]
 

@@ -47,6 +47,13 @@ def test_survivors_join_by_shuffle_beyond_the_broadcast_limit(spark, run, monkey
     assert sorted(map(tuple, again.clean.collect())) == sorted(map(tuple, run.clean.collect()))
 
 
+def test_wide_rows_are_not_sorted_for_the_join(spark):
+    wide, ids = spark.range(10).withColumnRenamed("id", "stage_id"), spark.range(5).withColumnRenamed("id", "stage_id")
+    joined = wide.join(ids.hint("shuffle_hash"), "stage_id", "left_semi")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan and "Sort " not in plan
+
+
 def test_splits_and_leakage(run):
     counts = {r.split: r.n for r in run.split_counts().collect()}
     assert sum(counts.values()) == 160 and run.split("train").count() == counts["train"]
