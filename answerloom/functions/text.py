@@ -52,18 +52,14 @@ def _strip_tags(t: Column) -> Column:
     return F.when(F.contains(t, F.lit("<")), stripped).otherwise(t)
 
 
-def _replace_present(t: Column, pairs: dict[str, str], sign: str | None = None) -> Column:
-    """Literal replacements, one after the other, in texts that hold ``sign`` (or else any of the strings)."""
-    needed = F.lit(False)
-    replaced = t
+def _replace_all(t: Column, pairs: dict[str, str]) -> Column:
     for old, new in pairs.items():
-        needed = needed | F.contains(t, F.lit(old))
-        replaced = F.replace(replaced, F.lit(old), F.lit(new))
-    return F.when(needed if sign is None else F.contains(t, F.lit(sign)), replaced).otherwise(t)
+        t = F.replace(t, F.lit(old), F.lit(new))
+    return t
 
 
 def _newlines(t: Column) -> Column:
-    return _replace_present(t, {"\r\n": "\n", "\r": "\n"}, "\r")
+    return F.when(F.contains(t, F.lit("\r")), _replace_all(t, {"\r\n": "\n", "\r": "\n"})).otherwise(t)
 
 
 def _rstrip_lines(t: Column) -> Column:
@@ -84,11 +80,15 @@ def _strip_end(t: Column) -> Column:
 
 
 def _math(t: Column) -> Column:
-    return _replace_present(t, MATH_DELIMITERS, "\\")
+    return F.when(F.contains(t, F.lit("\\")), _replace_all(t, MATH_DELIMITERS)).otherwise(t)
 
 
 def _zero_width(t: Column) -> Column:
-    return _replace_present(t, dict.fromkeys(ZERO_WIDTH, ""))
+    # Looking for the bytes their encodings begin with takes two passes over the text instead of one per character.
+    needed = F.lit(False)
+    for lead in sorted({c.encode()[:2] for c in ZERO_WIDTH}):
+        needed = needed | F.contains(t.cast("binary"), F.lit(lead))
+    return F.when(needed, _replace_all(t, dict.fromkeys(ZERO_WIDTH, ""))).otherwise(t)
 
 
 _LINES = (_rstrip_lines, _limit_blank_lines, _strip_start, _strip_end)
