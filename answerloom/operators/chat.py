@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.functions.numbers import hash_bucket
+from answerloom.functions.numbers import hash_bucket, percent
 from answerloom.functions.text import token_count
 
 # Fixed value: the default training template. Its text up to {OUTPUT} is the inference prompt.
@@ -89,6 +89,12 @@ def token_budget(df: DataFrame, text: str = "text", budget: int = MAX_TOKENS, to
     return df.withColumn("n_tokens", counted.cast("int")).withColumn("fits", F.col("n_tokens") <= budget)
 
 
+def budget_share(budgeted: DataFrame) -> DataFrame:
+    """How many rows fit the budget, as a count and in percent."""
+    fits = F.count_if("fits")
+    return budgeted.agg(F.count("*").alias("n"), fits.alias("n_fits"), percent(fits, F.count("*")).alias("pct_fits"))
+
+
 def collect_turns(turns: DataFrame, per_part: int = TURNS_PER_PART) -> DataFrame:
     """Turn-per-row to (conv_id, part, conversations), the turns of a part in order.
 

@@ -1,8 +1,8 @@
 """The batch job as a program: raw JSON lines in; clean corpus, splits, profile and run summary out.
 
-    spark-submit corpus_job.py --input <jsonl> --output <folder>
+    spark-submit --py-files answerloom.zip answerloom/plans/corpus.py --input <jsonl> --output <folder>
 
-where ``corpus_job.py`` calls ``main()``. The output folder receives ``clean``, ``splits/split=<name>``,
+The output folder receives ``clean``, ``splits/split=<name>``,
 ``profile/<part>`` and ``funnel``.
 """
 
@@ -67,3 +67,7 @@ def main(arguments: list[str] | None = None) -> None:
     )
     spark = SparkSession.builder.appName("corpus preparation").getOrCreate()
     show_summary(build_corpus(spark, given.input, given.output, cfg, SplitConfig(seed=given.seed), given.format))
+
+
+if __name__ == "__main__":
+    main()

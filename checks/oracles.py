@@ -435,6 +435,8 @@ ORACLES: dict[str, str] = {
     "render_prompt": f"WITH {CLEAN} SELECT row_id, {PROMPT_TEXT} AS prompt FROM clean",
     "token_budget": f"""WITH {CLEAN} SELECT row_id, {token_count(CHAT_TEXT)}::integer AS n_tokens,
         {token_count(CHAT_TEXT)} <= 128 AS fits FROM clean""",
+    "token_budget_share": f"""SELECT count(*) AS n, count_if({token_count('text')} <= 512)::bigint AS n_fits,
+        100.0::double * count_if({token_count('text')} <= 512) / count(*) AS pct_fits FROM documents""",
     "pack_sequences": packs(),
     "collect_turns": """SELECT conv_id, turn // 64 AS part,
         (row_number() OVER (PARTITION BY conv_id, turn // 64 ORDER BY turn) - 1)::integer AS pos, role, text AS content

@@ -370,6 +370,12 @@ def token_budget(spark, sf_dir):
     return chat.token_budget(_chat(spark, sf_dir), budget=128).select("row_id", "n_tokens", "fits")
 
 
+@query
+def token_budget_share(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text")
+    return chat.budget_share(chat.token_budget(docs))
+
+
 @query
 def pack_sequences(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", text.token_count(F.col("text")).alias("tokens"))
