@@ -108,6 +108,5 @@ def register(spark: SparkSession) -> None:
     spark.udf.register("lcs_length", _lcs_function())
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION nfc(t STRING) RETURNS STRING RETURN "
-        "CASE WHEN octet_length(t) > length(t) "
-        "THEN java_method('com.ibm.icu.text.Normalizer', 'compose', t, false) ELSE t END"
+        "CASE WHEN t IS NOT NULL THEN java_method('com.ibm.icu.text.Normalizer', 'compose', t, false) END"
     )

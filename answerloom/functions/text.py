@@ -40,7 +40,7 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _nfc(t: Column) -> Column:
     composed = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), t, F.lit(False))
-    return F.when(F.octet_length(t) > F.length(t), composed).otherwise(t)
+    return F.when(t.isNotNull(), composed)
 
 
 def _strip_tags(t: Column) -> Column:
@@ -103,7 +103,11 @@ def _apply(text: Column, *steps: Callable[[Column], Column]) -> Column:
 
 
 def nfc(text: Column) -> Column:
-    """Unicode NFC, through the ICU library Spark ships."""
+    """Unicode NFC, through the ICU library Spark ships.
+
+    Spark does not look into a Java method and takes it for non-deterministic, so an aggregate function or a join
+    condition must be given the projected result.
+    """
     return _apply(text, _nfc)
 
 
@@ -128,7 +132,7 @@ def normalize_math(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """All cleaning steps in order; null becomes the empty string."""
+    """All cleaning steps in order; null becomes the empty string. Project it before aggregating, see ``nfc``."""
     return F.coalesce(_apply(text, *_CLEANING), F.lit(""))
 
 

@@ -89,3 +89,9 @@ def test_report_numbers(spark):
         percent(F.lit(1), F.lit(4)), percent(F.lit(0), F.lit(0)), thousands(F.lit(1234567)), text.preview(F.lit("abc"), 2)
     )
     assert tuple(row.first()) == (25.0, 0.0, "1,234,567", "ab")
+
+
+def test_cleaned_text_can_be_aggregated_once_projected(spark):
+    frame = spark.createDataFrame([("<b>aa",), (None,)], "t string")
+    assert frame.select(text.clean_text(F.col("t")).alias("t")).agg(F.max(F.length("t"))).first()[0] == 2
+    assert text.with_cleaned(frame, "t").agg(F.max(F.length("t"))).first()[0] == 2
