@@ -6,6 +6,9 @@ text itself moves for the few splits a range touches, and not at all when every
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,6 +65,25 @@ def split_offsets(lines: DataFrame, schema: T.StructType | None = None, parts: i
     return materialize(offsets, "split-offsets")
 
 
+def _leading(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, enough: Callable[[DataFrame], DataFrame], n: int
+) -> tuple[DataFrame, DataFrame]:
+    """The lines and split offsets of so many files, in path order, that their ``enough`` splits hold ``n`` valid lines.
+
+    Starts with as many files as can be read at once and doubles, so a short range of a large input reads few files.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    count = spark.sparkContext.defaultParallelism
+    while True:
+        chosen = [unquote(f) for f in files[:count]]
+        everything = count >= len(files) or any(c in f for f in chosen for c in "*?[]{}\\")
+        lines = _lines(spark, path if everything else chosen)
+        offsets = split_offsets(lines, schema)
+        if everything or (enough(offsets).agg(F.sum("n_valid")).first()[0] or 0) >= n:
+            return lines, offsets
+        count *= 2
+
+
 def _numbered(lines: DataFrame, offsets: DataFrame) -> DataFrame:
     """The lines of the given splits with ``line_no``, counted from 0 over all files."""
     few = offsets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -85,8 +107,8 @@ def head_rows(
     spark: SparkSession, path: str | list[str], n: int = 50_000, schema: T.StructType = INSTRUCTION_SCHEMA
 ) -> DataFrame:
     """The first ``n`` valid lines in file order."""
-    lines = _lines(spark, path)
-    near = split_offsets(lines, schema).filter((F.col("valid_before") < n) & (F.col("n_valid") > 0))
+    lines, offsets = _leading(spark, path, schema, lambda splits: splits, n)
+    near = offsets.filter((F.col("valid_before") < n) & (F.col("n_valid") > 0))
     return _records(_numbered(lines, near), schema).orderBy("line_no").limit(n)
 
 
@@ -98,8 +120,7 @@ def holdout_rows(
     schema: T.StructType = INSTRUCTION_SCHEMA,
 ) -> DataFrame:
     """Leave out the first ``skip`` physical lines, then the first ``take`` valid lines."""
-    lines = _lines(spark, path)
-    offsets = split_offsets(lines, schema)
+    lines, offsets = _leading(spark, path, schema, lambda splits: splits.filter(F.col("lines_before") >= skip), take)
     # Valid lines up to the end of the split in which the range begins. Splits that start `take` valid lines after
     # that cannot be reached.
     begin = offsets.filter(F.col("lines_before") <= skip).agg(F.max(F.col("valid_before") + F.col("n_valid"))).first()[0]

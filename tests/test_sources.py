@@ -77,15 +77,15 @@ def test_tolerant_scan_agrees_with_a_strict_parser(spark, folder):
 
 
 def instruction_files(folder, rng):
-    """Three files whose lines are numbered through, some of them blank or malformed."""
+    """Twelve files whose lines are numbered through, some of them blank or malformed."""
     everything = []
-    for part in range(3):
+    for part in range(10, 22):
         rows = []
-        for i in range(rng.randrange(300, 600)):
+        for i in range(rng.randrange(0, 250)):
             record = json.dumps({"instruction": f"{part}-{i} " + "x" * rng.randrange(80), "input": "", "output": "o"})
             rows.append(rng.choice(["", record[:-1], *ODD]) if rng.random() < 0.3 else record)
-        write(folder, f"part-{part}.jsonl", rows)
-        everything += rows
+        write(folder, f"part {part}%.jsonl", rows or [""])
+        everything += rows or [""]
     return [(i, json.loads(row).get("instruction")) for i, row in enumerate(everything) if parses(row)], everything
 
 
@@ -114,6 +114,13 @@ def test_lines_are_numbered_across_splits(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", default)
 
 
+def test_a_short_range_reads_few_files(spark, folder):
+    instruction_files(folder, random.Random(5))
+    near, _ = lines._leading(spark, folder, jsonl.INSTRUCTION_SCHEMA, lambda splits: splits, 10)
+    far, _ = lines._leading(spark, folder, jsonl.INSTRUCTION_SCHEMA, lambda splits: splits, 10_000)
+    assert near.select("file").distinct().count() == 4 and far.select("file").distinct().count() == 12
+
+
 def test_lines_join_by_shuffle_beyond_the_broadcast_limit(spark, folder, monkeypatch):
     valid, _ = instruction_files(folder, random.Random(4))
     monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
