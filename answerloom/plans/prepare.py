@@ -112,7 +112,9 @@ def prepare(
     by_reach = {r["reached"]: r["count"] for r in stage.groupBy("reached").count().collect()}
 
     kept = stage.filter(F.col("reached") == KEPT)
-    narrow = kept.select(*KEY_COLUMNS, *ties[:-2], "stage_id")
+    # As bytes the digests order like their hex text at half the size.
+    digests = {c: F.unhex(c) for c in ("content_hash", "text_md5")}
+    narrow = kept.select(*KEY_COLUMNS, *ties[:-2], "stage_id").withColumns(digests)
     by_uid = materialize(dedup_uid(narrow, ties), "by-uid")
     survivors = materialize(dedup_content(by_uid, ties).select("stage_id"), "survivors")
     n_uid, n_content = by_uid.count(), survivors.count()
