@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import exact_dedup, mixing, sharding
-from answerloom.llm.common import row_key, word_count
+from answerloom.llm import bpe, exact_dedup, mixing, quality, sharding, toxicity
+from answerloom.llm.common import id_remainder, row_key, word_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,17 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(digests, "row_key").select("doc_id", "keep_id", "group_size", "kept", hexed)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = id_remainder("doc_id", 4)
+    scores = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 2)
+    return scores.select("doc_id", (remainder == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -34,7 +45,13 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op6_sharding, op7_mixing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = id_remainder("doc_id", 5)
+    scores = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 0)
+    return scores.select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {q.__name__: q for q in (op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op10_toxicity)}
 
 ORACLES = {
     "op3_exact_dedup": """
