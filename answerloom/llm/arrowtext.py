@@ -38,12 +38,13 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose ``column`` holds about ``most_bytes``, a longer value alone."""
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int, most_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of up to ``most_rows`` rows whose ``column`` holds about ``most_bytes``, a longer value alone."""
     _, offsets = flat(batch.column(column))
     start = 0
     while start < batch.num_rows:
         end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most_bytes, "right")) - 1)
+        end = min(end, start + most_rows)
         yield batch.slice(start, end - start)
         start = end
 
@@ -101,12 +102,36 @@ def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).cast(pa.binary())
 
 
-def pack(values: np.ndarray) -> bytes:
-    """An array as compressed bytes."""
-    raw = np.ascontiguousarray(values).tobytes()
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, most_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """All batches in runs as of ``slices``, small neighbouring batches put together."""
+    held: list[pa.RecordBatch] = []
+    size = rows = 0
+    for batch in batches:
+        for part in slices(batch, column, most_bytes, most_rows):
+            n = len(flat(part.column(column))[0])
+            if held and (size + n > most_bytes or rows + part.num_rows > most_rows):
+                yield _joined(held)
+                held, size, rows = [], 0, 0
+            held.append(part)
+            size, rows = size + n, rows + part.num_rows
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def pack(values: np.ndarray, ascending: bool = False) -> bytes:
+    """An array as compressed bytes; steps instead of values where these ascend, equal bytes of all numbers together."""
+    if ascending:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def unpack(blob: bytes, dtype) -> np.ndarray:
+def unpack(blob: bytes, dtype, ascending: bool = False) -> np.ndarray:
     size = int.from_bytes(blob[:8], "little")
-    return np.frombuffer(pa.decompress(blob[8:], size, "zstd", asbytes=True), dtype)
+    raw = np.frombuffer(pa.decompress(blob[8:], size, "zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).reshape(-1).view(dtype)
+    return np.cumsum(values, dtype=values.dtype) if ascending else values

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import bpe, exact_dedup, mixing, quality, sharding, toxicity
+from answerloom.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, toxicity
 from answerloom.llm.common import id_remainder, row_key, word_count
 
 
@@ -45,13 +45,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = id_remainder("doc_id", 5)
     scores = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 0)
     return scores.select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op9_jaccard_join, op10_toxicity)}
 
 ORACLES = {
     "op3_exact_dedup": """
