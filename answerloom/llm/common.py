@@ -39,3 +39,16 @@ def id_remainder(doc_id: str, modulus: int) -> Column:
 def matching(rows: DataFrame, keys: DataFrame, n_keys: int, on: list[str], how: str = "left_semi") -> DataFrame:
     """``rows`` joined with the ``n_keys`` narrow rows of ``keys``: broadcast up to a fixed number, shuffled beyond it."""
     return rows.join(F.broadcast(keys) if n_keys <= BROADCAST_ROWS else keys, on, how)
+
+
+def keep_rows(df: DataFrame, id_col: str, text_col: str, gone: DataFrame, repeated: DataFrame, n_keys: int) -> DataFrame:
+    """``df`` without the rows whose key is in ``gone``, and one of the rows of each key in ``repeated``.
+
+    Both hold row keys (column ``row_key``) of id and text, ``n_keys`` at most; only rows of ``repeated`` are compared.
+    """
+    key = "__row_key"
+    gone, repeated = (x.select(F.col("row_key").alias(key)) for x in (gone, repeated))
+    rows = df.withColumn(key, row_key(id_col, text_col))
+    once = matching(matching(rows, gone, n_keys, [key], "left_anti"), repeated, n_keys, [key], "left_anti")
+    again = matching(rows, repeated, n_keys, [key]).dropDuplicates([key])
+    return once.unionByName(again).drop(key)

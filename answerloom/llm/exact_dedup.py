@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.common import matching, one_space, row_key
+from answerloom.llm.common import keep_rows, matching, one_space, row_key
 from answerloom.storage import BROADCAST_ROWS, materialize
 
 HEAD_CHARS = 64
@@ -70,12 +70,6 @@ def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The narrow keys of the rows to drop are broadcast while they are few. Rows that repeat a kept id and text are thinned
     by a window over those rows alone.
     """
-    key = "__row_key"
     groups = materialize(duplicate_groups(df, id_col, text_col).filter("group_size > 1"), "duplicates")
-    gone = groups.filter(~F.col("id").eqNullSafe(F.col("keep_id"))).select(F.col("row_key").alias(key))
-    repeated = groups.filter(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n_rows") > 1)).select(F.col("row_key").alias(key))
-    rows = df.withColumn(key, row_key(id_col, text_col))
-    n = groups.count()
-    once = matching(matching(rows, gone, n, [key], "left_anti"), repeated, n, [key], "left_anti")
-    again = matching(rows, repeated, n, [key]).dropDuplicates([key])
-    return once.unionByName(again).drop(key)
+    keeps = F.col("id").eqNullSafe(F.col("keep_id"))
+    return keep_rows(df, id_col, text_col, groups.filter(~keeps), groups.filter(keeps & (F.col("n_rows") > 1)), groups.count())

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.llm.arrowtext import flat, gather, lower_ascii, mix64, pack, pieces, unpack, word_hashes, words
-from answerloom.llm.common import matching, row_key
+from answerloom.llm.common import keep_rows, matching, row_key
 from answerloom.llm.components import components
 from answerloom.storage import materialize
 
@@ -304,7 +304,7 @@ def joined_region(percent: int):
 
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row_key, size, h1, h2, set) per row; the set only where asked for by the column ``wanted``."""
+    """(row_key, set) of each row: the high bytes of its sorted shingle hashes."""
     for part in pieces(batches, "text", SLICE_BYTES):
         values, counts = shingle_sets(*flat(part.column("text")))
         data = as_bytes(values)
@@ -322,7 +322,7 @@ def size_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
-    """(row_key, <id_col>, n_shingles, component_id): one row per input row.
+    """(row_key, <id_col>, n_shingles, component_id, component): one row per input row; ``component`` is a label.
 
     Two rows are linked when 100 * shared >= ``percent`` * union of their shingle sets. ``component_id`` is the smallest id
     that a row reaches over links, its own included; null ids come after all others. Null texts count as empty, and a row
@@ -362,10 +362,25 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = components(links)
     ids = members.select(F.col("class").alias("node"), "class_id").distinct()
     named = found.join(ids, "node").groupBy("component").agg(F.min("class_id").alias("component_id"))
-    named = found.join(named, "component").select(F.col("node").alias("class"), "component_id")
+    named = found.join(named, "component").select(F.col("node").alias("class"), "component", "component_id")
+    own_id = F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id"))
     return members.join(named, "class", "left").select(
-        "row_key", F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("id"))).alias("component_id")
-    )
+        "row_key", F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", own_id).alias("component_id"),
+        F.coalesce("component", "class").alias("component"),
+    )
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
+    """The rows of ``df`` with one row of each component, the one of the smallest id; all columns unchanged.
+
+    Rows without words are linked with nothing and all stay.
+    """
+    found = jaccard_components(df, id_col, text_col, percent).filter("n_shingles > 0").select("row_key", F.col(id_col).alias("id"), "component")
+    found = materialize(found, "components")
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("best"), F.count("*").alias("of"))
+    several = found.join(best.filter("of > 1"), "component").select("row_key", (F.col("row_key") == F.col("best.row_key")).alias("stays"))
+    several = materialize(several.groupBy("row_key", "stays").agg(F.count("*").alias("n")), "near-duplicates")
+    return keep_rows(df, id_col, text_col, several.filter("not stays"), several.filter("stays and n > 1"), several.count())
 
 
 def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -128,13 +128,21 @@ def score_quality(df: DataFrame, labels: DataFrame, learn: Column, id_col: str =
     Labels are learnt from up to ``most`` rows of ``labels`` where ``learn`` holds. Null texts count as empty, and empty
     texts are compared like others. Without any usable label each score is 0.5; an empty table gives none.
     """
-    sample = labelled_sample(df, labels, label, learn, most, id_col, text_col).select("text", "label").toArrow()
+    sample = labelled_sample(df, labels, label, learn, most, id_col, text_col).select("text", "label")
+
+    def sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                counts = pa.array(list(term_counts(*flat(part.column("text")))), pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([part.column("label"), counts], names=["label", "counts"])
+
+    # No texts come back but N_TERMS numbers for each of at most ``most`` rows.
+    sample = sample.mapInArrow(sample_counts, "label int, counts array<float>").toArrow()
     seen, rows = document_frequencies(df, text_col)
     idf = (np.log((rows + 1) / (seen + 1)) + 0.1).astype(np.float32)
     known = np.array(sample.column("label").to_pylist(), np.float64)
     prior = float(known.mean()) if len(known) else 0.5
-    counts = [term_counts(*flat(part.column("text"))) for b in sample.combine_chunks().to_batches() for part in slices(b, "text", SLICE_BYTES)]
-    counts = np.concatenate([np.zeros((0, N_TERMS), np.float32), *counts])
+    counts = np.array(sample.column("counts").combine_chunks().flatten(), np.float32).reshape(-1, N_TERMS)
     axes = latent_axes(counts, idf) if len(counts) else np.zeros((N_TERMS, 1), np.float32)
     model = df.sparkSession.sparkContext.broadcast((idf, axes, latent(counts, idf, axes), known, prior))
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -200,11 +200,12 @@ def fit_weights(found: np.ndarray, labels: np.ndarray, strength: float = 2.0, ro
     return w
 
 
-def score_toxicity(df: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", most: int = MOST_LABELLED, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(<id_col>, score, then ``keep``): one row per input row, score from 0 to 1.
+def with_toxicity(df: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", most: int = MOST_LABELLED, score_col: str = "score") -> DataFrame:
+    """All rows and columns of ``df`` and ``score_col``, from 0 to 1; a column of that name is replaced.
 
     Lexicon and weights are learnt from up to ``most`` rows of ``labels`` where ``learn`` holds; without labels the general
-    list and weights stand. Null and empty texts match no pattern and get the score of a clean text.
+    list and weights stand. Null and empty texts match no pattern and get the score of a clean text. Repeated rows get
+    equal scores, an empty table gives an empty one.
     """
     sample = labelled_sample(df, labels, label, learn, most, id_col, text_col).select("text", "label").cache()
     lexicon = learn_lexicon(sample)
@@ -221,15 +222,13 @@ def score_toxicity(df: DataFrame, labels: DataFrame, learn: Column, id_col: str
     found = np.array([x.found for x in fitted]).reshape(-1, len(PATTERNS) + 1)
     weights = fit_weights(found, np.array([x.label for x in fitted], float))
 
-    names = [f"__{i}" for i in range(len(keep))]
-    texts = df.select(F.col(id_col).alias("__id"), *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], F.col(text_col).alias("__text"))
-    fields = texts.schema.fields
-    schema = StructType([StructField("__id", fields[0].dataType), StructField("score", DoubleType()), *fields[1:-1]])
+    rows = df.drop(score_col)
+    schema = StructType([*rows.schema.fields, StructField(score_col, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text", SLICE_BYTES):
-                score = probability(evidence(*flat(part.column("__text")), lexicon, heads), weights)
-                yield pa.RecordBatch.from_arrays([part.column("__id"), pa.array(score), *part.columns[1:-1]], names=schema.names)
+            for part in slices(batch, text_col, SLICE_BYTES):
+                score = probability(evidence(*flat(part.column(text_col)), lexicon, heads), weights)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=schema.names)
 
-    return texts.mapInArrow(run, schema).toDF(id_col, "score", *keep)
+    return rows.mapInArrow(run, schema)
