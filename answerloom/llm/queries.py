@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, toxicity
+from answerloom.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, substring, toxicity
 from answerloom.llm.common import id_remainder, row_key, word_count
 
 
@@ -13,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = exact_dedup.exact_duplicates(docs)
@@ -55,7 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op9_jaccard_join, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op9_jaccard_join, op10_toxicity)}
 
 ORACLES = {
     "op3_exact_dedup": """
