@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, substring, toxicity
+from answerloom.llm import bpe, embedding_dedup, exact_dedup, jaccard, mixing, ppm, quality, sharding, substring, toxicity
 from answerloom.llm.common import id_remainder, row_key, word_count
 
 
@@ -18,6 +18,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = id_remainder("doc_id", 10)
+    scores = ppm.score_texts(table(spark, sf_dir, "documents"), remainder != 0)
+    return scores.withColumn("held_out", remainder == 0).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = exact_dedup.exact_duplicates(docs)
@@ -50,6 +58,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -60,13 +72,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {q.__name__: q for q in (op1_substring_dedup, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op9_jaccard_join, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity)}
 
 ORACLES = {
     "op3_exact_dedup": """
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS n FROM documents),
         k AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n) AS text_sha256 FROM k""",
+    "op8_embedding_dedup": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l AS MATERIALIZED (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            AND list_cosine_similarity(a.e, b.e) >= 0.95),
+        r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS b FROM r GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(c.b, e.vec_id)) AS component_id,
+               e.vec_id <= coalesce(c.b, e.vec_id) AS kept
+        FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id""",
     "op7_mixing": """
         WITH d AS (
           SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
