@@ -61,6 +61,7 @@ def mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "
     rows = df.select(
         row_key(*df.columns).alias("row_key"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.cast("long").alias("size"), key.alias("key")
     )
+    rows = materialize(rows, "sizes")  # read by each of the passes below
     targets = source_targets(rows.select("source", "size")).withColumnRenamed("source", "of")
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).withColumn("range", F.left("key", F.lit(key_digits)))
     sums = rows.groupBy("place", "range").agg(F.sum("size").alias("in_range"))
