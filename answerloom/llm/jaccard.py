@@ -4,12 +4,13 @@
 2. Candidates for a pivot. Documents that are no near copies lie at distance 1 from each other, so distances to a few
    pivots would tell nothing; there must be a pivot in every neighbourhood. For sets of some size, linked pairs differ in
    at most D shingles: with the shingles dealt by hash into D + 1 (and some spare) parts, a linked pair agrees wholly in
-   one part at least. Sets that agree in a part share a cell, and the least of a cell is its pivot. So both ends
+   one part at least. Sets that agree in a part share a cell, and a cell has one pivot. So both ends
    of every link come to one pivot, and what shares only a passage seldom does.
 3. The distance of each candidate to its pivot is computed exactly. All within the threshold t are linked with the pivot,
    so links among them add nothing to components. What is left of a region, the members beyond t, and those members
    within t that the triangle inequality allows to be linked to them (distances to the pivot no more than t apart), are
-   joined among themselves recursively, with pivots of their own, in one group; a region above ``REGION_SHINGLES`` is
+   joined among themselves recursively, with pivots of their own, in one group (a set none of
+   whose rarest shingles within the group is shared drops out first); a region above ``REGION_SHINGLES`` is
    dealt into blocks, each pair of which is a group.
 4. Components of the links.
 
@@ -155,6 +156,21 @@ def from_bytes(data: np.ndarray) -> np.ndarray:
     return wide.reshape(-1).view(">u8").astype(np.uint64)
 
 
+def leader(cell: np.ndarray, member: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The pivot of each cell: the member that meets most others over all cells here, of these the one of least key.
+
+    In a family of copies that is a middle one, common to most of its cells, so that few pivots serve the family.
+    """
+    met = np.bincount(cell)[cell] - 1
+    popular = np.bincount(member, met, len(key))
+    rank = np.empty(len(key), np.int64)
+    order = np.lexsort((key, -popular))
+    rank[order] = np.arange(len(key))
+    best = np.full(int(cell.max()) + 1, len(key))
+    np.minimum.at(best, cell, rank[member])
+    return order[best]
+
+
 def cell_rows(n_buckets: int, percent: int):
     """Per slice of (row_key, text): its cells for each bucket, and which sets share a cell within the slice."""
 
@@ -169,9 +185,10 @@ def cell_rows(n_buckets: int, percent: int):
                 continue
             cell, idx = packed >> np.uint64(IDX_BITS), (packed & np.uint64((1 << IDX_BITS) - 1)).astype(np.int64)
             new = np.concatenate([[True], cell[1:] != cell[:-1]])
-            leader = idx[np.flatnonzero(new)][np.cumsum(new) - 1]
-            pairs = np.unique(idx[~new] << 32 | leader[~new])
-            kept = packed[new]
+            leaders = leader(np.cumsum(new) - 1, idx, np.arange(len(keys)))
+            own = leaders[np.cumsum(new) - 1]
+            pairs = np.unique((idx << 32 | own)[idx != own])
+            kept = cell[new] << np.uint64(IDX_BITS) | leaders.astype(np.uint64)
             bucket = (cell[new] >> np.uint64(CELL_BITS - 32)) * np.uint64(n_buckets) >> np.uint64(32)
             edges = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=np.uint64))
             rows = [(b, pack(kept[edges[b] : edges[b + 1]], True), pack(keys)) for b in range(n_buckets) if edges[b] < edges[b + 1]]
@@ -186,7 +203,7 @@ def cell_rows(n_buckets: int, percent: int):
 
 
 def pivot_rows(table: pa.Table) -> pa.Table:
-    """(x, pivot, local) of one bucket: the sets of each cell that several slices have, with the least of them."""
+    """(x, pivot, local) of one bucket: the sets of each cell that several slices have, with its pivot."""
     cell, key, local = [], [], []
     for cells_, keys in zip(table.column("cells").to_pylist(), table.column("keys").to_pylist(), strict=True):
         keys = unpack(keys, np.int64)
@@ -205,8 +222,8 @@ def pivot_rows(table: pa.Table) -> pa.Table:
             at = np.minimum(np.searchsorted(shared, cell), len(shared) - 1)
             hit = shared[at] == cell
             at, key = at[hit], key[hit]
-            pivot = np.full(len(shared), np.iinfo(np.int64).max)
-            np.minimum.at(pivot, at, key)
+            names, member = np.unique(key, return_inverse=True)
+            pivot = names[leader(at, member, names)]
             pairs = np.unique(np.stack([key, pivot[at]], 1)[key != pivot[at]], axis=0)
     own = np.concatenate([np.zeros((0, 2), np.int64), *local])
     both = np.concatenate([pairs, own])
@@ -237,6 +254,25 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def may_link(values: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of a group may be linked with another one of it.
+
+    With all sets ordered from the group's rarest shingle to its commonest, linked sets share a shingle among their first
+    size - ceil(percent * size / 100) + 1.
+    """
+    _, value, often = np.unique(values, return_inverse=True, return_counts=True)
+    of = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((value, often[value], of))
+    value, of = value[order], of[order]
+    place = np.arange(len(value)) - np.repeat(np.cumsum(counts) - counts, counts)
+    head = place < (counts - -(-percent * counts // 100) + 1)[of]
+    value, of = value[head], of[head]
+    met = np.bincount(value, minlength=len(often))[value] > 1
+    out = np.zeros(len(counts), bool)
+    out[of[met]] = True
+    return out
+
+
 class Region:
     """Sets of one group and a way to count what one shares with all."""
 
@@ -285,9 +321,12 @@ def joined_region(percent: int):
         _, first = np.unique(keys, return_index=True)
         table, keys = table.take(pa.array(first)), keys[first]
         data, offsets = flat(table.column("set"))
-        region = Region(from_bytes(data), np.diff(offsets) // SET_BYTES, percent)
+        values, counts = from_bytes(data), np.diff(offsets) // SET_BYTES
         beyond = ~table.column("linked").to_numpy(zero_copy_only=False)
         distance, t = table.column("distance").to_numpy(), 1 - percent / 100 + 1e-9
+        open_ = may_link(values, counts, percent)
+        region = Region(values[np.repeat(open_, counts)], counts[open_], percent)
+        keys, beyond, distance = keys[open_], beyond[open_], distance[open_]
         links: list[tuple[int, int]] = []
         inner = np.flatnonzero(~beyond)
         for y in np.flatnonzero(beyond):
