@@ -9,7 +9,7 @@ likely.
 The trie grows with the corpus, so it is kept in parts by the two bytes before the predicted one, whose deeper
 contexts then lie in one part; what is needed of orders 0 and 1 has a fixed size and is broadcast. Rows are dealt into
 chunks by hash. A chunk sends each part the distinct contexts and bytes it holds, with their training counts; a part sums
-the counts of all chunks and answers each with the logarithms it asked for, in its order; the chunk adds them up by row.
+the counts of all chunks and answers each with the logarithms it asked for; the chunk adds them up by row.
 So the number of contexts shuffled is that of distinct ones per chunk, not of positions. Word counts for the word-level
 base score go the same way. Texts are shuffled once. ``CHUNK_BYTES`` bounds the memory of a chunk, ``PART_BYTES`` that of a part.
 """
@@ -131,58 +131,62 @@ def runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1]]))
 
 
-class Chunk:
-    """One chunk's distinct grams and words with their training counts, gathered block by block."""
-
-    def __init__(self, table: pa.Table, n_parts: int):
-        table = table.take(pa.array(np.argsort(table.column("row_key").to_numpy(), kind="stable"))).combine_chunks()
-        self.blocks = [b for batch in table.to_batches() for b in slices(batch, "text", BLOCK_BYTES, BLOCK_ROWS)]
-        grams, words_ = [], []
-        for block in self.blocks:
-            stream, train = Stream(*flat(block.column("text"))), _flags(block.column("train"))
-            packed = stream.grams() << np.uint64(1) | np.repeat(train, stream.size)
-            grams.append(_counted(packed))
-            hashes, doc = stream.tokens()
-            words_.append(_counted_by(hashes, train[doc]))
-        self.grams, self.gram_counts = _summed(*zip(*grams, strict=True))
-        self.words, self.word_counts = _summed(*zip(*words_, strict=True))
-        gram_part = part_of(self.grams, n_parts)
-        word_part = ((self.words >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
-        self.gram_order = np.argsort(gram_part, kind="stable")
-        self.gram_edges = np.searchsorted(gram_part[self.gram_order], np.arange(n_parts + 1))
-        self.word_edges = np.searchsorted(word_part, np.arange(n_parts + 1))
-
-    def requests(self, chunk: int, n_parts: int) -> pa.Table:
-        grams, counts = self.grams[self.gram_order], self.gram_counts[self.gram_order].astype(np.uint32)
-        rows = []
-        for p in range(n_parts):
-            g, w = slice(*self.gram_edges[p : p + 2]), slice(*self.word_edges[p : p + 2])
-            rows.append((p, chunk, pack(grams[g], True), pack(counts[g]), pack(self.words[w], True), pack(self.word_counts[w].astype(np.uint32))))
-        return pa.Table.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["part", "chunk", "grams", "gram_counts", "words", "word_counts"])
-
-    def scores(self, replies: pa.Table) -> pa.Table:
-        replies = replies.sort_by("part").to_pylist()
-        logs = np.empty(len(self.grams))
-        logs[self.gram_order] = np.concatenate([unpack(r["logs"], np.float32) for r in replies])
-        counts = np.concatenate([unpack(r["counts"], np.int64) for r in replies])
-        total, kinds = sum(r["total"] for r in replies), sum(r["kinds"] for r in replies)
-        per_word = np.log10((counts + PAD) / (total + PAD * (kinds + 1)))
-        out = []
-        for block in self.blocks:
-            stream, n = Stream(*flat(block.column("text"))), block.num_rows
-            packed = stream.grams() << np.uint64(8) | np.repeat(np.arange(n, dtype=np.uint64), stream.size)
-            packed.sort()
-            doc = (packed & np.uint64(255)).astype(np.int64)
-            packed >>= np.uint64(8)
-            run = runs(packed)
-            of_run = logs[np.searchsorted(self.grams, packed[run])]
-            score = np.bincount(doc, np.repeat(of_run, np.diff(np.append(run, len(packed)))), n) / np.log(10)
-            hashes, doc = stream.tokens()
-            at = np.searchsorted(self.words, hashes)
-            known = np.bincount(doc, counts[at] > 0, n).astype(np.int64)
-            columns = [block.column("id"), pa.array(stream.n_words + 1), pa.array(known), pa.array(np.full(n, total)), pa.array(np.bincount(doc, per_word[at], n)), pa.array(score)]
-            out.append(pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
-        return pa.Table.from_batches(out)
+def blocks(table: pa.Table) -> list[pa.RecordBatch]:
+    return [b for batch in table.combine_chunks().to_batches() for b in slices(batch, "text", BLOCK_BYTES, BLOCK_ROWS)]
+
+
+def requests(table: pa.Table, chunk: int, n_parts: int) -> pa.Table:
+    """A chunk's distinct grams and words with their training counts, gathered block by block, for each part."""
+    grams, words_ = [], []
+    for block in blocks(table):
+        stream, train = Stream(*flat(block.column("text"))), _flags(block.column("train"))
+        packed = stream.grams() << np.uint64(1) | np.repeat(train, stream.size)
+        grams.append(_counted(packed))
+        hashes, doc = stream.tokens()
+        words_.append(_counted_by(hashes, train[doc]))
+    grams, gram_counts = _summed(*zip(*grams, strict=True))
+    words_, word_counts = _summed(*zip(*words_, strict=True))
+    gram_part = part_of(grams, n_parts)
+    order = np.argsort(gram_part, kind="stable")
+    grams, gram_counts = grams[order], gram_counts[order].astype(np.uint32)
+    word_part = ((words_ >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+    edges = [np.searchsorted(x, np.arange(n_parts + 1)) for x in (gram_part[order], word_part)]
+    rows = []
+    for p in range(n_parts):
+        g, w = (slice(e[p], e[p + 1]) for e in edges)
+        rows.append((p, chunk, pack(grams[g], True), pack(gram_counts[g]), pack(words_[w], True), pack(word_counts[w].astype(np.uint32))))
+    return pa.Table.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["part", "chunk", "grams", "gram_counts", "words", "word_counts"])
+
+
+def _ordered(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, values = np.concatenate(keys), np.concatenate(values)
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def scores(table: pa.Table, replies: pa.Table) -> pa.Table:
+    """The scores of a chunk's rows from what all parts say of its grams and words."""
+    replies = replies.to_pylist()
+    grams, logs = _ordered([unpack(r["grams"], np.uint64, True) for r in replies], [unpack(r["logs"], np.float32) for r in replies])
+    words_, counts = _ordered([unpack(r["words"], np.uint64, True) for r in replies], [unpack(r["counts"], np.int64) for r in replies])
+    total, kinds = sum(r["total"] for r in replies), sum(r["kinds"] for r in replies)
+    per_word = np.log10((counts + PAD) / (total + PAD * (kinds + 1)))
+    out = []
+    for block in blocks(table):
+        stream, n = Stream(*flat(block.column("text"))), block.num_rows
+        packed = stream.grams() << np.uint64(8) | np.repeat(np.arange(n, dtype=np.uint64), stream.size)
+        packed.sort()
+        doc = (packed & np.uint64(255)).astype(np.int64)
+        packed >>= np.uint64(8)
+        run = runs(packed)
+        of_run = logs[np.searchsorted(grams, packed[run])].astype(np.float64)
+        score = np.bincount(doc, np.repeat(of_run, np.diff(np.append(run, len(packed)))), n) / np.log(10)
+        hashes, doc = stream.tokens()
+        at = np.searchsorted(words_, hashes)
+        known = np.bincount(doc, counts[at] > 0, n).astype(np.int64)
+        columns = [block.column("id"), pa.array(stream.n_words + 1), pa.array(known), pa.array(np.full(n, total)), pa.array(np.bincount(doc, per_word[at], n)), pa.array(score)]
+        out.append(pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
+    return pa.Table.from_batches(out)
 
 
 def _flags(column: pa.Array) -> np.ndarray:
@@ -214,7 +218,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def answers(pairs):
-    """The function of one part: logarithms and word counts for each chunk, in the order of its request."""
+    """The function of one part: logarithms and word counts for what each chunk asked."""
 
     def run(table: pa.Table) -> pa.Table:
         asked = table.to_pylist()
@@ -224,10 +228,10 @@ def answers(pairs):
         logs = log_probabilities(grams_here, gram_counts, pairs.value).astype(np.float32)
         total, kinds = int(word_counts.sum()), int((word_counts > 0).sum())
         rows = [
-            (r["part"], r["chunk"], pack(logs[np.searchsorted(grams_here, g)]), pack(word_counts[np.searchsorted(words_here, w)]), total, kinds)
+            (r["part"], r["chunk"], r["grams"], pack(logs[np.searchsorted(grams_here, g)]), r["words"], pack(word_counts[np.searchsorted(words_here, w)]), total, kinds)
             for r, g, w in zip(asked, grams, words_, strict=True)
         ]
-        return pa.Table.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["part", "chunk", "logs", "counts", "total", "kinds"])
+        return pa.Table.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], names=["part", "chunk", "grams", "logs", "words", "counts", "total", "kinds"])
 
     return run
 
@@ -267,15 +271,12 @@ def score_texts(df: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     chunks = texts.withColumn("chunk", F.pmod("row_key", F.lit(n_chunks).cast("long"))).groupBy("chunk")
 
     def ask(table: pa.Table) -> pa.Table:
-        return Chunk(table, n_parts).requests(table.column("chunk")[0].as_py(), n_parts)
-
-    def add_up(table: pa.Table, replies: pa.Table) -> pa.Table:
-        return Chunk(table, n_parts).scores(replies)
+        return requests(table, table.column("chunk")[0].as_py(), n_parts)
 
     asked = chunks.applyInArrow(ask, "part long, chunk long, grams binary, gram_counts binary, words binary, word_counts binary")
-    replies = asked.groupBy("part").applyInArrow(answers(pairs), "part long, chunk long, logs binary, counts binary, total long, kinds long")
+    replies = asked.groupBy("part").applyInArrow(answers(pairs), "part long, chunk long, grams binary, logs binary, words binary, counts binary, total long, kinds long")
     id_type = texts.schema["id"].dataType.simpleString()
-    scores = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(
-        add_up, f"id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    scored = chunks.cogroup(replies.groupBy("chunk")).applyInArrow(
+        scores, f"id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    return scores.withColumnRenamed("id", id_col)
+    return scored.withColumnRenamed("id", id_col)
