@@ -1,12 +1,14 @@
 """Rows of JSON-lines files by their position.
 
-A line's position is its split plus its place within the split. Only per-split counts are ever put in order, so the
-text itself moves for the few splits a range touches, and not at all when every line is numbered.
+The lines are read and parsed in one scan and written to the shared folder with their split and their place in the scan.
+Everything later reads that table: where Spark cuts the files depends on the session and on the cores that are alive, so
+a second scan could cut them elsewhere. A line's number is its split's offset plus its place within the split. Only
+per-split counts are ever put in order, and a range is a filter on line numbers, so no text is sorted or shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,36 +16,71 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from answerloom.sources.jsonl import INSTRUCTION_SCHEMA, records
-from answerloom.storage import BROADCAST_ROWS, materialize
-
-_SPLIT = ["file", "start"]
-
-
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("seq"),
-        "value",
-    )
-
-
-def split_offsets(lines: DataFrame, schema: T.StructType | None = None, parts: int | None = None) -> DataFrame:
-    """One row per split: its first ``seq``, line and valid-line counts, and how many of each precede it.
+from answerloom.storage import materialize
+
+# Splits whose offsets (three numbers each) are broadcast; 48 MB, enough for some 250 TB of splits of 128 MB.
+BROADCAST_SPLITS = 2_000_000
+# Bytes per core that the first attempt at a range reads.
+FIRST_BYTES = 128 << 20
+
+
+@dataclass(frozen=True)
+class Lines:
+    """``rows`` (split, seq, record, null where the line holds none) and ``offsets`` (one row per split)."""
+
+    rows: DataFrame
+    offsets: DataFrame
+
+    def numbered(self) -> DataFrame:
+        """The lines that hold a record, with ``line_no``, counted from 0 over all files."""
+        chosen = self.offsets.select("split", "first_seq", "lines_before")
+        few = chosen.limit(BROADCAST_SPLITS + 1).count() <= BROADCAST_SPLITS
+        rows = self.rows.filter("record IS NOT NULL").join(F.broadcast(chosen) if few else chosen, "split", "left")
+        line_no = F.col("lines_before") + F.col("seq") - F.col("first_seq")
+        unknown = F.raise_error(F.lit("a line of a split that was not counted")).cast("long")
+        return rows.select(F.coalesce(line_no, unknown).alias("line_no"), "record.*")
+
+    def n_valid(self) -> int:
+        return self.offsets.agg(F.sum("n_valid")).first()[0] or 0
+
+    def nth_valid(self, n: int) -> int | None:
+        """The line number of the ``n``-th valid line, counted from 1; None when there are fewer. Reads one split's places."""
+        split = self.offsets.filter((F.col("valid_before") < n) & (F.col("valid_before") + F.col("n_valid") >= n)).first()
+        if n < 1 or split is None:
+            return None
+        places = self.rows.filter((F.col("split") == split.split) & F.col("record").isNotNull()).select("seq")
+        place = places.orderBy("seq").offset(n - split.valid_before - 1).first().seq
+        return split.lines_before + place - split.first_seq
+
+    def valid_before(self, line_no: int) -> int:
+        """How many valid lines precede line ``line_no``."""
+        split = self.offsets.filter((F.col("lines_before") <= line_no) & (F.col("lines_before") + F.col("n_lines") > line_no)).first()
+        if split is None:
+            return self.n_valid() if line_no > 0 else 0
+        inside = (F.col("split") == split.split) & (F.col("seq") < split.first_seq + line_no - split.lines_before)
+        return split.valid_before + self.rows.filter(inside & F.col("record").isNotNull()).count()
+
+
+def read_lines(spark: SparkSession, path: str | list[str], schema: T.StructType = INSTRUCTION_SCHEMA, parts: int | None = None) -> Lines:
+    """Read, parse and write the lines once, and count them per split.
 
     The running sums are taken within range partitions and then over one total per partition, so no task sees more
-    than its share of the splits. Without a schema every line counts as valid, and nothing is parsed.
+    than its share of the splits.
     """
-    spark = lines.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    valid = F.lit(True) if schema is None else F.size(records(F.col("value"), schema)) == 1
-    counts = lines.groupBy(*_SPLIT).agg(
-        F.min("seq").alias("first_seq"), F.count("*").alias("n_lines"), F.count_if(valid).alias("n_valid")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("seq"),
+        F.get(records(F.col("value"), schema), F.lit(0)).alias("record"),
     )
-    ranged = materialize(
-        counts.repartitionByRange(parts, *_SPLIT).withColumn("part", F.spark_partition_id()), "splits"
+    lines = materialize(lines.withColumn("split", F.xxhash64("file", "start")), "lines")
+    counts = lines.groupBy("split", "file", "start").agg(
+        F.min("seq").alias("first_seq"), F.count("*").alias("n_lines"), F.count_if(F.col("record").isNotNull()).alias("n_valid")
     )
-    before = Window.partitionBy("part").orderBy(*_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    order = ["file", "start"]
+    ranged = materialize(counts.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "splits")
+    before = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         ranged.groupBy("part")
@@ -55,61 +92,58 @@ def split_offsets(lines: DataFrame, schema: T.StructType | None = None, parts: i
         )
     )
     offsets = ranged.join(F.broadcast(totals), "part").select(
-        *_SPLIT,
+        "split",
         "first_seq",
         "n_lines",
         "n_valid",
         (F.col("lines_base") + F.coalesce(F.sum("n_lines").over(before), F.lit(0))).alias("lines_before"),
         (F.col("valid_base") + F.coalesce(F.sum("n_valid").over(before), F.lit(0))).alias("valid_before"),
     )
-    return materialize(offsets, "split-offsets")
-
+    return Lines(lines.drop("file", "start"), materialize(offsets, "split-offsets"))
 
-def _leading(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, enough: Callable[[DataFrame], DataFrame], n: int
-) -> tuple[DataFrame, DataFrame]:
-    """The lines and split offsets of so many files, in path order, that their ``enough`` splits hold ``n`` valid lines.
 
-    Starts with as many files as can be read at once and doubles, so a short range of a large input reads few files.
-    """
-    files = sorted(spark.read.text(path).inputFiles())
-    count = spark.sparkContext.defaultParallelism
-    while True:
-        chosen = [unquote(f) for f in files[:count]]
-        everything = count >= len(files) or any(c in f for f in chosen for c in "*?[]{}\\")
-        lines = _lines(spark, path if everything else chosen)
-        offsets = split_offsets(lines, schema)
-        if everything or (enough(offsets).agg(F.sum("n_valid")).first()[0] or 0) >= n:
-            return lines, offsets
-        count *= 2
+def _files(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int]]:
+    """(file, bytes) in path order; reads no content."""
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"), "length")
+    return sorted((x.file, x.length) for x in listed.collect())
 
 
-def _numbered(lines: DataFrame, offsets: DataFrame) -> DataFrame:
-    """The lines of the given splits with ``line_no``, counted from 0 over all files."""
-    few = offsets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    chosen = offsets.select(*_SPLIT, "first_seq", "lines_before")
-    joined = lines.join(F.broadcast(chosen) if few else chosen, _SPLIT)
-    line_no = F.col("lines_before") + F.col("seq") - F.col("first_seq")
-    return joined.withColumn("line_no", line_no)
+def _leading(spark: SparkSession, path: str | list[str], schema: T.StructType, skip: int, n: int) -> Lines:
+    """The lines of so many files, in path order, that ``n`` valid ones follow their first ``skip`` lines.
 
-
-def _records(numbered: DataFrame, schema: T.StructType) -> DataFrame:
-    return numbered.select("line_no", F.inline(records(F.col("value"), schema)))
+    Starts with as many bytes as the cores can read at once and doubles, so a short range of many files reads few.
+    """
+    files = _files(spark, path)
+    most = FIRST_BYTES * spark.sparkContext.defaultParallelism
+    while True:
+        chosen, size = [], 0
+        for file, length in files:
+            if chosen and size + length > most:
+                break
+            chosen.append(unquote(file))
+            size += length
+        everything = len(chosen) == len(files) or any(c in f for f in chosen for c in "*?[]{}\\")
+        lines = read_lines(spark, path if everything else chosen, schema)
+        if everything or lines.n_valid() - lines.valid_before(skip) >= n:
+            return lines
+        most *= 2
 
 
 def read_numbered(spark: SparkSession, path: str | list[str], schema: T.StructType = INSTRUCTION_SCHEMA) -> DataFrame:
     """Every valid line with its physical line number ``line_no``."""
-    lines = _lines(spark, path)
-    return _records(_numbered(lines, split_offsets(lines)), schema)
+    return read_lines(spark, path, schema).numbered()
 
 
 def head_rows(
-    spark: SparkSession, path: str | list[str], n: int = 50_000, schema: T.StructType = INSTRUCTION_SCHEMA
+    spark: SparkSession, path: str | list[str], n: int | None = 50_000, schema: T.StructType = INSTRUCTION_SCHEMA
 ) -> DataFrame:
-    """The first ``n`` valid lines in file order."""
-    lines, offsets = _leading(spark, path, schema, lambda splits: splits, n)
-    near = offsets.filter((F.col("valid_before") < n) & (F.col("n_valid") > 0))
-    return _records(_numbered(lines, near), schema).orderBy("line_no").limit(n)
+    """The first ``n`` valid lines in file order (None: all), with ``line_no``; the rows come in no given order."""
+    if n is None:
+        return read_numbered(spark, path, schema)
+    lines = _leading(spark, path, schema, 0, n)
+    last = lines.nth_valid(n)
+    rows = lines.numbered()
+    return rows if last is None and n > 0 else rows.filter(F.col("line_no") <= (-1 if last is None else last))
 
 
 def holdout_rows(
@@ -119,18 +153,11 @@ def holdout_rows(
     take: int = 1_000,
     schema: T.StructType = INSTRUCTION_SCHEMA,
 ) -> DataFrame:
-    """Leave out the first ``skip`` physical lines, then the first ``take`` valid lines."""
-    lines, offsets = _leading(spark, path, schema, lambda splits: splits.filter(F.col("lines_before") >= skip), take)
-    # Valid lines up to the end of the split in which the range begins. Splits that start `take` valid lines after
-    # that cannot be reached.
-    begin = offsets.filter(F.col("lines_before") <= skip).agg(F.max(F.col("valid_before") + F.col("n_valid"))).first()[0]
-    near = offsets.filter(
-        (F.col("lines_before") + F.col("n_lines") > skip)
-        & (F.col("valid_before") < (begin or 0) + take)
-        & (F.col("n_valid") > 0)
-    )
-    numbered = _numbered(lines, near).filter(F.col("line_no") >= skip)
-    return _records(numbered, schema).orderBy("line_no").limit(take)
+    """Leave out the first ``skip`` physical lines, then the first ``take`` valid lines, in no given order."""
+    lines = _leading(spark, path, schema, skip, take)
+    rows = lines.numbered().filter(F.col("line_no") >= skip)
+    last = lines.nth_valid(lines.valid_before(skip) + take)
+    return rows if last is None else rows.filter(F.col("line_no") <= last)
 
 
 def head_and_holdout(
@@ -145,10 +172,12 @@ def head_and_holdout(
     Counting valid lines for both parts is what keeps them apart: a skip in physical lines starts inside the head as
     soon as one line of it is malformed.
     """
-    first = head_rows(spark, path, n + take, schema)
-    position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("line_no"))
-    part = F.when(position <= n, "head").otherwise("holdout")
-    return first.withColumn("part", part)
+    lines = _leading(spark, path, schema, 0, n + take)
+    border, last = lines.nth_valid(n), lines.nth_valid(n + take)
+    rows = lines.numbered()
+    rows = rows if last is None else rows.filter(F.col("line_no") <= last)
+    head = F.lit(True) if border is None and n > 0 else F.col("line_no") <= (-1 if border is None else border)
+    return rows.withColumn("part", F.when(head, "head").otherwise("holdout"))
 
 
 def overlap(left: DataFrame, right: DataFrame, key: str = "line_no") -> DataFrame:

@@ -89,43 +89,86 @@ def instruction_files(folder, rng):
     return [(i, json.loads(row).get("instruction")) for i, row in enumerate(everything) if parses(row)], everything
 
 
-def test_lines_are_numbered_across_splits(spark, folder):
-    valid, everything = instruction_files(folder, random.Random(3))
+def pairs(frame):
+    return sorted((r.line_no, r.instruction) for r in frame.collect())
+
+
+@pytest.fixture
+def small_splits(spark):
     default = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
-        assert spark.read.text(folder).rdd.getNumPartitions() > 10
-
-        def pairs(frame):
-            return [(r.line_no, r.instruction) for r in frame.collect()]
-
-        assert sorted(pairs(lines.read_numbered(spark, folder))) == valid
-        for n in (1, 100, 700, 10_000):
-            assert pairs(lines.head_rows(spark, folder, n)) == valid[:n]
-            later = [v for v in valid if v[0] >= n][:50]
-            assert pairs(lines.holdout_rows(spark, folder, n, 50)) == later
-        both = lines.head_and_holdout(spark, folder, 200, 40)
-        head, rest = both.filter("part = 'head'"), both.filter("part = 'holdout'")
-        assert pairs(head) == valid[:200] and pairs(rest) == valid[200:240]
-        assert lines.overlap(head, rest).count() == 0
-        # A skip in physical lines starts inside a head that holds malformed lines.
-        assert lines.overlap(head, lines.holdout_rows(spark, folder, 200, 40)).count() > 0
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
-
-
-def test_a_short_range_reads_few_files(spark, folder):
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
+def test_lines_are_numbered_across_splits(spark, folder, small_splits):
+    valid, everything = instruction_files(folder, random.Random(3))
+    assert spark.read.text(folder).rdd.getNumPartitions() > 10
+    assert pairs(lines.read_numbered(spark, folder)) == valid
+    for n in (0, 1, 100, 700, 10_000):
+        assert pairs(lines.head_rows(spark, folder, n)) == valid[:n]
+        later = [v for v in valid if v[0] >= n][:50]
+        assert pairs(lines.holdout_rows(spark, folder, n, 50)) == later
+    assert pairs(lines.head_rows(spark, folder, None)) == valid
+    both = lines.head_and_holdout(spark, folder, 200, 40)
+    head, rest = both.filter("part = 'head'"), both.filter("part = 'holdout'")
+    assert pairs(head) == valid[:200] and pairs(rest) == valid[200:240]
+    assert lines.overlap(head, rest).count() == 0
+    # A skip in physical lines starts inside a head that holds malformed lines.
+    assert lines.overlap(head, lines.holdout_rows(spark, folder, 200, 40)).count() > 0
+
+
+@pytest.mark.parametrize("many", [True, False])
+def test_numbers_do_not_depend_on_where_files_are_cut(spark, folder, many):
+    """The number of cores may change between a call and the action on its result; Spark then cuts files elsewhere."""
+    rows = [json.dumps({"instruction": f"i{i}", "input": "", "output": "o" * (i % 50)}) for i in range(20_000)]
+    step = 2000 if many else len(rows)
+    for k in range(0, len(rows), step):
+        write(folder, f"f{k:05d}.jsonl", rows[k : k + step])
+    calls = {
+        "all": lambda: lines.read_numbered(spark, folder),
+        "head": lambda: lines.head_rows(spark, folder, 15_000),
+        "holdout": lambda: lines.holdout_rows(spark, folder, 17_000, 1_000),
+        "both": lambda: lines.head_and_holdout(spark, folder, 12_000, 500),
+    }
+    sizes = {"all": range(20_000), "head": range(15_000), "holdout": range(17_000, 18_000), "both": range(12_500)}
+    setting = "spark.sql.files.minPartitionNum"
+    for name, call in calls.items():
+        spark.conf.set(setting, "3")
+        frame = call()
+        spark.conf.set(setting, "64")
+        found = pairs(frame)
+        spark.conf.unset(setting)
+        assert found == [(i, f"i{i}") for i in sizes[name]]
+
+
+def test_a_line_of_an_uncounted_split_is_an_error(spark, folder):
+    instruction_files(folder, random.Random(6))
+    read = lines.read_lines(spark, folder)
+    broken = lines.Lines(read.rows, read.offsets.filter("lines_before > 0"))
+    with pytest.raises(Exception, match="not counted"):
+        broken.numbered().collect()
+
+
+def test_ranges_sort_and_shuffle_no_text(spark, folder, small_splits):
+    instruction_files(folder, random.Random(5))
+    for frame in (lines.head_rows(spark, folder, 300), lines.holdout_rows(spark, folder, 300, 50), lines.head_and_holdout(spark, folder, 100, 50)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("TakeOrdered", "Window", "Sort", "Exchange hash", "Exchange range"))
+
+
+def test_a_short_range_reads_few_files(spark, folder, monkeypatch):
     instruction_files(folder, random.Random(5))
-    near, _ = lines._leading(spark, folder, jsonl.INSTRUCTION_SCHEMA, lambda splits: splits, 10)
-    far, _ = lines._leading(spark, folder, jsonl.INSTRUCTION_SCHEMA, lambda splits: splits, 10_000)
-    assert near.select("file").distinct().count() == 4 and far.select("file").distinct().count() == 12
+    monkeypatch.setattr(lines, "FIRST_BYTES", 2000)
+    near = lines._leading(spark, folder, jsonl.INSTRUCTION_SCHEMA, 0, 10)
+    far = lines._leading(spark, folder, jsonl.INSTRUCTION_SCHEMA, 0, 10_000)
+    assert near.offsets.count() < 4 and far.offsets.count() == 12
 
 
 def test_lines_join_by_shuffle_beyond_the_broadcast_limit(spark, folder, monkeypatch):
     valid, _ = instruction_files(folder, random.Random(4))
-    monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
-    frame = lines.read_numbered(spark, folder)
-    assert sorted((r.line_no, r.instruction) for r in frame.collect()) == valid
+    monkeypatch.setattr(lines, "BROADCAST_SPLITS", 0)
+    assert pairs(lines.read_numbered(spark, folder)) == valid
 
 
 def test_training_log(spark, folder):
