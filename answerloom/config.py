@@ -7,13 +7,18 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class PrepConfig:
-    """Row filters. Length bounds are inclusive and count characters of the cleaned text."""
+    """Row filters and the content key. Length bounds are inclusive and count characters of the cleaned text.
 
+    ``content_prefix`` is how many characters of each side make the content key; None: all.
+    """
+
+    # The default thresholds.
     min_question_len: int = 40
     max_question_len: int = 1500
     min_answer_len: int = 100
     max_answer_len: int = 4000
     min_question_score: int = 5
+    content_prefix: int | None = 200
 
     def __post_init__(self):
         if self.min_question_len > self.max_question_len or self.min_answer_len > self.max_answer_len:
@@ -24,6 +29,7 @@ class PrepConfig:
 class SplitConfig:
     """Shares of train / validation / test, kept to 1/10000, and the seed that fixes them."""
 
+    # The default shares and seed.
     train: float = 0.8
     validation: float = 0.1
     test: float = 0.1

@@ -6,9 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Fixed value: a decimal number.
+NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def int_or_zero(text: Column) -> Column:
-    """The integer a metadata string holds, its fraction cut off; 0 when it is null, not a number or too large."""
-    return F.coalesce(F.regexp_replace(text.cast("string"), r"\.[0-9]*\s*$", "").try_cast("int"), F.lit(0))
+    """The integer a metadata string holds, its fraction cut off; 0 when it is null, not a number or too large.
+
+    Exponents count (``1e3`` is 1000); words that only some readers take for numbers, like ``NaN`` or ``1d``, do not.
+    """
+    plain = F.when(text.cast("string").rlike(NUMBER), text.cast("string"))
+    value = F.trim(plain).try_cast("double")
+    return F.coalesce(F.when(F.abs(value) < 2.0**31, value.cast("int")), F.lit(0))
 
 
 def percent(part: Column, whole: Column) -> Column:

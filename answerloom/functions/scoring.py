@@ -36,8 +36,8 @@ def normalize_answer(text: Column) -> Column:
 
 
 def exact_match(prediction: Column, reference: Column) -> Column:
-    """1 when both normalised texts are equal. Takes normalised text."""
-    return (prediction == reference).cast("int")
+    """1 when both normalised texts are equal; a missing one equals nothing and scores 0. Takes normalised text."""
+    return F.coalesce((prediction == reference).cast("int"), F.lit(0))
 
 
 def token_f1(prediction: Column, reference: Column) -> Column:

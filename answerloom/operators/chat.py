@@ -29,6 +29,7 @@ ROLES = {
     "system": "system",
 }
 
+PARAGRAPH = "\n\n"
 MAX_TOKENS = 512
 TURNS_PER_PART = 64
 
@@ -69,12 +70,56 @@ def standardize_roles(df: DataFrame, column: str = "conversations") -> DataFrame
     return df.withColumn(column, F.transform(column, turn))
 
 
+def _template_parts(template: str) -> tuple[str, str, str, str]:
+    """The template's preface, and what stands before a question, between it and its answer, and after the answer.
+
+    The preface is what precedes the paragraph of ``{INPUT}``.
+    """
+    found = re.fullmatch(r"(.*?)\{INPUT\}(.*?)\{OUTPUT\}(.*)", template, re.DOTALL)
+    if not found or any("{INPUT}" in x or "{OUTPUT}" in x for x in found.groups()):
+        raise ValueError("a template holds {INPUT} once and {OUTPUT} once after it")
+    preface, gap, opening = found[1].rpartition(PARAGRAPH)
+    return preface + gap, opening, found[2], found[3]
+
+
 def render_chat(
-    df: DataFrame, template: str = CHAT_TEMPLATE, column: str = "conversations", end: str = ""
+    df: DataFrame, template: str = CHAT_TEMPLATE, column: str = "conversations", end: str = "", part: str | None = None
 ) -> DataFrame:
-    """Add ``text``: the template filled with the user and the assistant turn, then ``end``."""
-    content = [F.get(F.col(column), F.lit(i))["content"] for i in (0, 1)]
-    return df.withColumn("text", fill_template(template + end, {"INPUT": content[0], "OUTPUT": content[1]}))
+    """Add ``text``: the turns in order by role, each answer followed by ``end``.
+
+    The text begins with the template's preface, or with the system turn that opens the conversation in its place. Every
+    turn is rendered: assistant turns as answers, later system turns as paragraphs, all others as questions. Text is
+    null for a conversation without an assistant turn; ``without_answer`` counts these. With a ``part`` column (see
+    ``collect_turns``) the later parts continue the text of part 0, so the texts of all parts, joined, are the
+    conversation's; no part's text is null, as its answer may be in another. Null content reads as empty.
+    """
+    preface, opening, between, after = _template_parts(template)
+    first = F.lit(True) if part is None else F.col(part) == 0
+    turns = F.col(column)
+    led = F.get(turns, F.lit(0))["role"] == "system"
+
+    def rendered(turn: Column, i: Column) -> Column:
+        content = F.coalesce(turn["content"], F.lit(""))
+        lead = F.when(first & (i == F.when(led, 1).otherwise(0)), "").otherwise(PARAGRAPH)
+        return (
+            F.when((turn["role"] == "system") & first & (i == 0), F.concat(content, F.lit(PARAGRAPH)))
+            .when(turn["role"] == "system", F.concat(lead, content))
+            .when(turn["role"] == "assistant", F.concat(F.lit(between), content, F.lit(after + end)))
+            .otherwise(F.concat(lead, F.lit(opening), content))
+        )
+
+    start = F.when(first & ~F.coalesce(led, F.lit(False)), preface).otherwise("")
+    text = F.concat(start, F.array_join(F.transform(turns, rendered), ""))
+    return df.withColumn("text", text if part else F.when(has_answer(column), text))
+
+
+def has_answer(column: str = "conversations") -> Column:
+    return F.exists(column, lambda t: t["role"] == "assistant")
+
+
+def without_answer(df: DataFrame, column: str = "conversations") -> DataFrame:
+    """How many conversations there are, and how many of them have no assistant turn and so no text."""
+    return df.agg(F.count("*").alias("n"), F.count_if(~F.coalesce(has_answer(column), F.lit(False))).alias("n_unanswered"))
 
 
 def render_prompt(df: DataFrame, instruction: str = "instruction", template: str = CHAT_TEMPLATE) -> DataFrame:
@@ -95,12 +140,29 @@ def budget_share(budgeted: DataFrame) -> DataFrame:
     return budgeted.agg(F.count("*").alias("n"), fits.alias("n_fits"), percent(fits, F.count("*")).alias("pct_fits"))
 
 
-def collect_turns(turns: DataFrame, per_part: int = TURNS_PER_PART) -> DataFrame:
+def require_turns(turns: DataFrame) -> DataFrame:
+    """``turns`` itself, or ValueError when a turn has no conversation or number, or a number occurs twice in one.
+
+    Counts (conv_id, turn) pairs, combined map-side.
+    """
+    wrong = turns.groupBy("conv_id", "turn").count().filter("conv_id IS NULL OR turn IS NULL OR count > 1")
+    found = wrong.limit(1).collect()
+    if found:
+        raise ValueError(f"turns need a conversation and a number of their own: {tuple(found[0])}")
+    return turns
+
+
+def collect_turns(turns: DataFrame, per_part: int = TURNS_PER_PART, checked: bool = False) -> DataFrame:
     """Turn-per-row to (conv_id, part, conversations), the turns of a part in order.
 
-    A part holds the turns numbered ``part * per_part`` and on, at most ``per_part`` of them. An ordinary
-    conversation is one part; an endless one becomes many rows on many tasks instead of one unbounded array.
+    A part holds the turns numbered ``part * per_part`` and on. An ordinary conversation is one part; an endless one
+    becomes many rows on many tasks. Turn numbers are distinct within a conversation (``require_turns`` sees to it unless
+    the caller has ``checked``), so a part has at most ``per_part`` turns. ``join_parts`` puts parts together again, and
+    ``render_chat`` renders them so that their texts join.
     """
+    if per_part < 2:
+        raise ValueError("a part holds a system turn and what follows it, so two turns at least")
+    turns = turns if checked else require_turns(turns)
     part = F.floor(F.col("turn") / per_part).alias("part")
     ordered = F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
     return (
@@ -116,24 +178,32 @@ def collect_turns(turns: DataFrame, per_part: int = TURNS_PER_PART) -> DataFrame
     )
 
 
-def pack_sequences(
-    df: DataFrame, key: str, tokens: str, budget: int = MAX_TOKENS, rows_per_shard: int = 100_000
-) -> DataFrame:
+def join_parts(parts: DataFrame) -> DataFrame:
+    """(conv_id, conversations): each conversation whole, for callers whose conversations fit into a row."""
+    ordered = F.sort_array(F.collect_list(F.struct("part", "conversations")))
+    return parts.groupBy("conv_id").agg(F.flatten(F.transform(ordered, lambda p: p["conversations"])).alias("conversations"))
+
+
+def pack_sequences(df: DataFrame, key: str, tokens: str, shards: int, budget: int = MAX_TOKENS) -> DataFrame:
     """Pack short rows into sequences: (shard, pack_id, ids, n_tokens).
 
-    Rows are spread over shards by the hash of their key, as many shards as keep each near ``rows_per_shard`` rows.
-    Within a shard they are taken in key order, and a sequence is closed when the next row would exceed ``budget``. A
-    row above the budget has a sequence to itself. Only keys and counts are shuffled.
+    Rows are spread over ``shards`` shards by the hash of their key. Within a shard, which one task sorts and packs, they
+    are taken in key order, and a sequence is closed when the next row would exceed ``budget``. A row above the budget has a
+    sequence to itself. Only keys and counts are shuffled. A null key or count is an error.
     """
-    shards = max(1, -(-df.count() // rows_per_shard))
-    # A closure travels to the Python workers by value, so they need not have this package installed.
-    schema = "shard long, pack_id long, ids array<long>, n_tokens long"
+    narrow = df.select(
+        hash_bucket(F.col(key), shards).alias("shard"),
+        F.coalesce(F.col(key), F.raise_error(F.lit("a row to pack has no key"))).alias("id"),
+        F.coalesce(F.col(tokens).cast("long"), F.raise_error(F.lit("a row to pack has no token count")).cast("long")).alias("n"),
+    )
+    schema = f"shard long, pack_id long, ids array<{narrow.schema['id'].dataType.simpleString()}>, n_tokens long"
 
+    # A closure travels to the Python workers by value, so they need not have this package installed.
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        packed: list[tuple[int, int, list[int], int]] = []
+        packed: list[tuple[int, int, list, int]] = []
         ordered = rows.sort_values("id")
         shard = int(rows["shard"].iloc[0])
-        ids: list[int] = []
+        ids: list = []
         filled = 0
         for row_id, n in zip(ordered["id"].tolist(), ordered["n"].tolist()):
             if ids and filled + n > budget:
@@ -144,9 +214,4 @@ def pack_sequences(
         packed.append((shard, len(packed), ids, filled))
         return pd.DataFrame(packed, columns=["shard", "pack_id", "ids", "n_tokens"])
 
-    narrow = df.select(
-        hash_bucket(F.col(key), shards).alias("shard"),
-        F.col(key).cast("long").alias("id"),
-        F.col(tokens).cast("long").alias("n"),
-    )
     return narrow.groupBy("shard").applyInPandas(pack, schema)

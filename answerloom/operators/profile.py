@@ -20,6 +20,7 @@ TRUNCATION_CHARS = 4000
 
 # Lower bound, upper bound (exclusive) and label of the score and math-density buckets.
 SCORE_BUCKETS = ((0, 1, "0"), (1, 5, "1-4"), (5, 10, "5-9"), (10, 50, "10-49"), (50, 200, "50-199"), (200, None, "200+"))
+BELOW_ZERO = "below 0"
 DENSITY_BUCKETS = ((0, 1, "0"), (1, 3, "1-2"), (3, 7, "3-6"), (7, 15, "7-14"), (15, 31, "15-30"), (31, None, "31+"))
 
 
@@ -104,9 +105,13 @@ def _in_bucket(value: Column, lo: int, hi: int | None) -> Column:
 
 
 def score_profile(df: DataFrame) -> DataFrame:
-    """Rows and mean answer length per score bucket, up to the bucket of the highest score; empty buckets read 0."""
+    """Rows and mean answer length per score bucket, up to the bucket of the highest score; empty buckets read 0.
+
+    Rows with negative scores, where there are any, come in a bucket of their own, ``below 0`` with a null bound.
+    """
     score, a_len = F.col("q_score"), F.col("a_len")
-    inside = [_in_bucket(score, lo, hi) for lo, hi, _ in SCORE_BUCKETS]
+    buckets = [(None, 0, BELOW_ZERO), *SCORE_BUCKETS]
+    inside = [score < 0, *[_in_bucket(score, lo, hi) for lo, hi, _ in SCORE_BUCKETS]]
     one = df.agg(
         F.max(score).alias("top"),
         *[F.count_if(b).alias(f"n{i}") for i, b in enumerate(inside)],
@@ -114,14 +119,15 @@ def score_profile(df: DataFrame) -> DataFrame:
     )
     rows = [
         F.struct(
-            F.lit(lo).alias("lo"),
+            F.lit(lo).cast("int").alias("lo"),
             F.lit(label).alias("bucket"),
             F.col(f"n{i}").alias("n"),
             F.coalesce(F.col(f"avg{i}"), F.lit(0.0)).alias("avg_a_len"),
         )
-        for i, (lo, _, label) in enumerate(SCORE_BUCKETS)
+        for i, (lo, _, label) in enumerate(buckets)
     ]
-    return one.select("top", F.inline(F.array(*rows))).filter(F.col("lo") <= F.col("top")).drop("top")
+    shown = (F.col("lo") <= F.col("top")) | (F.col("lo").isNull() & (F.col("n") > 0))
+    return one.select("top", F.inline(F.array(*rows))).filter(shown).drop("top")
 
 
 def density_profile(df: DataFrame) -> DataFrame:

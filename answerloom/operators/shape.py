@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.numbers import int_or_zero
 
+# Fixed value: the characters of each side that the content key covers by default.
 PREFIX_CHARS = 200
 
 
@@ -15,17 +16,21 @@ def record_uid(url: Column, answer_id: Column) -> Column:
     return F.concat_ws("|", F.coalesce(url, F.lit("")), F.coalesce(answer_id.cast("string"), F.lit("")))
 
 
-def content_hash(question: Column, answer: Column) -> Column:
-    """md5 of the first 200 characters of each side, joined without a separator."""
-    return F.md5(F.concat(F.substring(question, 1, PREFIX_CHARS), F.substring(answer, 1, PREFIX_CHARS)))
+def content_hash(question: Column, answer: Column, prefix: int | None = PREFIX_CHARS) -> Column:
+    """md5 of the first ``prefix`` characters of each side, joined without a separator; None takes the whole texts.
 
+    With a prefix, texts that differ only after it count as copies.
+    """
+    sides = [question, answer] if prefix is None else [F.substring(side, 1, prefix) for side in (question, answer)]
+    return F.md5(F.concat(*sides))
 
-def key_columns() -> dict[str, Column]:
+
+def key_columns(prefix: int | None = PREFIX_CHARS) -> dict[str, Column]:
     """The two duplicate keys, and the columns that order copies, from cleaned Q, A and meta."""
     q, a = F.col("Q"), F.col("A")
     return {
         "uid": record_uid(F.col("meta.url"), F.col("meta.answer_id")),
-        "content_hash": content_hash(q, a),
+        "content_hash": content_hash(q, a, prefix),
         "q_score": int_or_zero(F.col("meta.question_score")),
         "a_count": int_or_zero(F.col("meta.answer_count")),
         "text_md5": F.md5(F.concat(q, a)),

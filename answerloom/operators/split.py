@@ -13,14 +13,18 @@ BUCKETS = 10_000
 
 def _by_share(position: Column, cfg: SplitConfig, scale: int) -> Column:
     return (
-        F.when(position < round(cfg.train * BUCKETS) * scale / BUCKETS, "train")
+        F.when(position.isNull(), None)
+        .when(position < round(cfg.train * BUCKETS) * scale / BUCKETS, "train")
         .when(position < round((cfg.train + cfg.validation) * BUCKETS) * scale / BUCKETS, "validation")
         .otherwise("test")
     )
 
 
 def assign_split(df: DataFrame, key: str = "content_hash", cfg: SplitConfig = SplitConfig()) -> DataFrame:
-    """Add ``split``, fixed by the key and the seed alone: same result for any layout, equal keys stay together."""
+    """Add ``split``, fixed by the key and the seed alone: same result for any layout, equal keys stay together.
+
+    A row without a key gets no split, which ``check_conservation`` then reports.
+    """
     bucket = hash_bucket(F.col(key), BUCKETS, f"{cfg.seed}|")
     return df.withColumn("split", _by_share(bucket, cfg, BUCKETS))
 
@@ -70,6 +74,14 @@ def leakage(df: DataFrame, keys: tuple[str, ...] = ("uid", "content_hash")) -> D
     )
 
 
+def check_leakage(found: DataFrame) -> DataFrame:
+    """``leakage`` rows themselves, or ValueError when a key occurs in more than one split."""
+    leaking = [(r["key_kind"], r["leaking_keys"]) for r in found.collect() if r["leaking_keys"]]
+    if leaking:
+        raise ValueError(f"keys occur in more than one split: {leaking}")
+    return found
+
+
 def sample_k(df: DataFrame, key: str, k: int = 50, seed: int = 42) -> DataFrame:
     """A seeded sample of ``k`` rows (all, when there are fewer), the same for any layout."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))

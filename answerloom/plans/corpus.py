@@ -3,7 +3,8 @@
     spark-submit --py-files answerloom.zip answerloom/plans/corpus.py --input <jsonl> --output <folder>
 
 The output folder receives ``clean``, ``splits/split=<name>``,
-``profile/<part>`` and ``funnel``.
+``profile/<part>``, ``leakage`` and ``funnel``. The job fails before it writes anything else when the splits do not add up or
+a duplicate key occurs in two of them.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from pyspark.sql import functions as F
 
 from answerloom.config import PrepConfig, SplitConfig
 from answerloom.functions.numbers import thousands
+from answerloom.operators.split import check_leakage
 from answerloom.plans.prepare import Prepared, prepare
 from answerloom.sources.jsonl import read_raw
 from answerloom.sources.sinks import write_clean, write_splits
+from answerloom.storage import run_tables
 
 
 def build_corpus(
@@ -30,6 +33,7 @@ def build_corpus(
 ) -> Prepared:
     run = prepare(read_raw(spark, source), cfg, splits)
     run.split_counts()
+    check_leakage(run.leakage()).coalesce(1).write.mode("overwrite").json(f"{output}/leakage")
     write_clean(run.clean, f"{output}/clean", fmt)
     write_splits(run.clean, f"{output}/splits", fmt)
     for name, part in run.profile().items():
@@ -56,6 +60,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--min-answer-len", type=int, default=cfg.min_answer_len)
     parser.add_argument("--max-answer-len", type=int, default=cfg.max_answer_len)
     parser.add_argument("--min-question-score", type=int, default=cfg.min_question_score)
+    parser.add_argument("--content-prefix", type=int, default=cfg.content_prefix, help="0: whole texts")
     parser.add_argument("--seed", type=int, default=splits.seed)
     given = parser.parse_args(arguments)
     cfg = PrepConfig(
@@ -64,9 +69,11 @@ def main(arguments: list[str] | None = None) -> None:
         given.min_answer_len,
         given.max_answer_len,
         given.min_question_score,
+        given.content_prefix or None,
     )
     spark = SparkSession.builder.appName("corpus preparation").getOrCreate()
-    show_summary(build_corpus(spark, given.input, given.output, cfg, SplitConfig(seed=given.seed), given.format))
+    with run_tables(spark):
+        show_summary(build_corpus(spark, given.input, given.output, cfg, SplitConfig(seed=given.seed), given.format))
 
 
 if __name__ == "__main__":

@@ -33,11 +33,9 @@ def evaluate_predictions(
 ) -> Evaluation:
     """Score rows of (sample_id, model, instruction, reference, prediction).
 
-    The scores are written once; every report reads them.
+    The scores, and the models side by side, are written once; every report reads them.
     """
     scored = materialize(score_pairs(predictions), "scored")
     require_unique(scored, "model", "sample_id")
-    deltas = score_delta(scored, base, tuned)
-    return Evaluation(
-        scored, score_summary(scored), score_compare(scored, base, tuned), deltas, top_improved(deltas, k)
-    )
+    deltas = materialize(score_delta(scored, base, tuned), "deltas")
+    return Evaluation(scored, score_summary(scored), score_compare(deltas), deltas, top_improved(deltas, k))

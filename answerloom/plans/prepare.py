@@ -25,6 +25,7 @@ from answerloom.operators.profile import (
     quantiles,
     score_profile,
     summary,
+    truncation_risk,
     value_counts,
 )
 from answerloom.operators.shape import key_columns, to_instruction
@@ -40,9 +41,10 @@ CLEAN_COLUMNS = ["instruction", "input", "output", "q_len", "a_len", "q_score",
 
 @dataclass(frozen=True)
 class Prepared:
-    """Results of one run. ``clean`` holds the instruction rows with keys and split."""
+    """Results of one run. ``clean`` holds the instruction rows with keys and split, ``stage`` every row's answer length."""
 
     clean: DataFrame
+    stage: DataFrame
     funnel: DataFrame
     remaining: dict[str, int]
     cfg: SplitConfig
@@ -68,11 +70,14 @@ class Prepared:
             "score_profile": score_profile(rows),
             "density_profile": density_profile(rows),
             "display_share": display_share(rows),
+            # Answers that a length limit would cut, counted before the length filter drops them.
+            "truncation_risk": truncation_risk(self.stage.filter(F.col("reached") > EMPTY), "answer_chars"),
         }
 
 
 def stage_rows(raw: DataFrame, cfg: PrepConfig = PrepConfig(), carry: tuple[str, ...] = ()) -> DataFrame:
-    """Every raw row with how far it ``reached``; cleaned text and keys only where it passed all row filters.
+    """Every raw row with how far it ``reached`` and its ``answer_chars``; cleaned text and keys only where it passed all
+    row filters.
 
     Rows without text are not cleaned, and keys are worked out only for rows that pass.
     """
@@ -87,9 +92,9 @@ def stage_rows(raw: DataFrame, cfg: PrepConfig = PrepConfig(), carry: tuple[str,
         .when(~scored_enough(F.col("meta.question_score"), cfg), LOW_SCORE)
         .otherwise(KEPT)
     )
-    kept = {c: F.col(c) for c in ("Q", "A", "q_len", "a_len")} | key_columns()
+    kept = {c: F.col(c) for c in ("Q", "A", "q_len", "a_len")} | key_columns(cfg.content_prefix)
     return staged.withColumn("reached", reached.cast("byte")).select(
-        *carry, "reached", *[F.when(F.col("reached") == KEPT, c).alias(name) for name, c in kept.items()]
+        *carry, "reached", F.col("a_len").alias("answer_chars"), *[F.when(F.col("reached") == KEPT, c).alias(name) for name, c in kept.items()]
     )
 
 
@@ -119,8 +124,8 @@ def prepare(
     survivors = materialize(dedup_content(by_uid, ties).select("stage_id"), "survivors")
     n_uid, n_content = by_uid.count(), survivors.count()
 
-    # Beyond the broadcast bound the ids are hashed per partition, which spares the wide rows a sort.
-    chosen = survivors.hint("broadcast" if n_content <= BROADCAST_ROWS else "shuffle_hash")
+    # Beyond the broadcast bound both sides are sorted, which spills where a hashed side would have to fit in memory.
+    chosen = survivors.hint("broadcast" if n_content <= BROADCAST_ROWS else "merge")
     rows = kept.join(chosen, "stage_id", "left_semi")
     clean = assign_split(to_instruction(rows, *carry, "uid", "content_hash"), "content_hash", splits)
 
@@ -129,4 +134,4 @@ def prepare(
         remaining[stage_name] = sum(n for reach, n in by_reach.items() if reach > failed)
     remaining |= {"uid": n_uid, "content": n_content}
     require_rows(remaining)
-    return Prepared(materialize(clean, "clean"), funnel(spark, remaining), remaining, splits)
+    return Prepared(materialize(clean, "clean"), stage.select("reached", "answer_chars"), funnel(spark, remaining), remaining, splits)

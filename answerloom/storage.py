@@ -7,8 +7,12 @@ column pruning and filter pushdown for the readers.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,16 +30,37 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
 
 
+_run: ContextVar[str] = ContextVar("run", default="")
+
+
+@contextmanager
+def run_tables(spark: SparkSession) -> Iterator[str]:
+    """Tables written inside go to a folder of their own, which is deleted on the way out, and with it what reads them.
+
+    Write results elsewhere before leaving. Without it tables stay until the shared folder's own retention.
+    """
+    folder = f"run-{uuid.uuid4().hex}"
+    outer = _run.set(folder)
+    path = f"{shared_folder(spark).rstrip('/')}/{folder}"
+    try:
+        yield path
+    finally:
+        _run.reset(outer)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    parts = (shared_folder(spark).rstrip("/"), _run.get(), f"{name}-{uuid.uuid4().hex}")
+    return "/".join(p for p in parts if p)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from answerloom.operators.chat import CHAT_TEMPLATE
-from checks.queries import HEAD, ROWS_PER_SHARD, SKIP, TAKE
+from checks.queries import HEAD, SHARDS, SKIP, TAKE
 
 # Whitespace without the line feed, as an RE2 class body.
 WS = (
@@ -171,20 +171,20 @@ samples AS (
   SELECT r.conv_id * 10000000 + r.turn AS sample_id, r.conv_id, u.text AS instruction, r.text AS reference, n.text AS next
   FROM conversations r
   JOIN conversations u ON u.conv_id = r.conv_id AND u.turn = r.turn - 1 AND u.role = 'user'
-  JOIN conversations n ON n.conv_id = r.conv_id AND n.turn = r.turn + 2 AND n.role = 'assistant'
+  LEFT JOIN conversations n ON n.conv_id = r.conv_id AND n.turn = r.turn + 2 AND n.role = 'assistant'
   WHERE r.role = 'assistant'),
 preds AS (
   SELECT sample_id, 'base' AS model, instruction, reference,
          next || CASE conv_id % 4 WHEN 0 THEN chr(10) || '$$a=1$$ $$b$$ $$c$$'
                                   WHEN 1 THEN chr(10) || chr(92) || 'frac' || chr(92) || 'sum x' ELSE '' END AS prediction
-  FROM samples
+  FROM samples WHERE conv_id % 9 <> 4
   UNION ALL
   SELECT sample_id, 'tuned', instruction, reference,
          CASE WHEN conv_id % 10 = 0 THEN 'The ' || reference || ' .'
               ELSE next || ' ' || instruction ||
                    CASE conv_id % 3 WHEN 0 THEN chr(10) || '1. one' || chr(10) || ' - two' || chr(10) || '3) three'
                                     WHEN 1 THEN ' First, step 1. Finally, STEP 2' ELSE '' END END
-  FROM samples)"""
+  FROM samples WHERE conv_id % 9 <> 7)"""
 
 
 def normalize(e: str) -> str:
@@ -237,9 +237,9 @@ norm AS (
          {rouge_tokens('prediction')} AS rp, {rouge_tokens('reference')} AS rr FROM preds),
 counted AS (
   SELECT *, length({tokens('np')}) AS cp, length({tokens('nr')}) AS cr,
-         length(list_distinct(list_intersect({tokens('np')}, {tokens('nr')}))) AS common FROM norm),
+         coalesce(length(list_distinct(list_intersect({tokens('np')}, {tokens('nr')}))), 0) AS common FROM norm),
 metrics AS (
-  SELECT sample_id, model, instruction, reference, prediction, (np = nr)::integer AS em,
+  SELECT sample_id, model, instruction, reference, prediction, coalesce((np = nr)::integer, 0) AS em,
          CASE WHEN common > 0
               THEN 2.0::double * (common::double / cp) * (common::double / cr)
                    / ((common::double / cp) + (common::double / cr))
@@ -248,7 +248,7 @@ metrics AS (
 
 ROUGE = f"""{METRICS},
 full_metrics AS (
-  SELECT * EXCLUDE (rp, rr), CASE WHEN length(rp) + length(rr) = 0 THEN 0.0::double
+  SELECT * EXCLUDE (rp, rr), CASE WHEN prediction IS NULL OR length(rp) + length(rr) = 0 THEN 0.0::double
          ELSE 2.0::double * {lcs('rr', 'rp')} / (length(rp) + length(rr)) END AS rougeL
   FROM metrics)"""
 
@@ -332,7 +332,7 @@ def leakage() -> str:
 def packs() -> str:
     return f"""WITH RECURSIVE items AS (
   SELECT doc_id, {token_count('text')} AS tokens,
-         {bucket('doc_id::varchar', f'(SELECT greatest(1, ceil(count(*) / {float(ROWS_PER_SHARD)}))::bigint FROM documents)', '')} AS shard
+         {bucket('doc_id::varchar', SHARDS, '')} AS shard
   FROM documents),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id) AS rn FROM items),
 walk AS (
@@ -346,6 +346,26 @@ SELECT shard, pack_id, string_agg(doc_id::varchar, ',' ORDER BY doc_id) AS ids,
 FROM walk GROUP BY 1, 2"""
 
 
+def multi_turn() -> str:
+    preface, opening = _before.rsplit(chr(10) * 2, 1)
+    gap = text(chr(10) * 2)
+    return f"""WITH t AS (
+  SELECT conv_id, turn // 64 AS part, turn, role, text, row_number() OVER w AS n, first_value(role) OVER w AS opener
+  FROM conversations WINDOW w AS (PARTITION BY conv_id, turn // 64 ORDER BY turn)),
+p AS (
+  SELECT *, CASE WHEN part = 0 AND n = (CASE WHEN opener = 'system' THEN 2 ELSE 1 END) THEN '' ELSE {gap} END AS lead FROM t),
+r AS (
+  SELECT conv_id, part, turn, role,
+         (CASE WHEN part = 0 AND n = 1 AND role <> 'system' THEN {text(preface)} || {gap} ELSE '' END) ||
+         (CASE WHEN role = 'system' AND part = 0 AND n = 1 THEN text || {gap}
+               WHEN role = 'system' THEN lead || text
+               WHEN role = 'assistant' THEN {text(_between)} || text || '<end>'
+               ELSE lead || {text(opening)} || text END) AS piece
+  FROM p)
+SELECT conv_id, part, string_agg(piece, '' ORDER BY turn) AS text
+FROM r GROUP BY 1, 2"""
+
+
 def improved() -> str:
     return f"""WITH {ROUGE},
 d AS (SELECT b.sample_id, b.instruction, b.reference, b.prediction AS base_prediction, t.prediction AS tuned_prediction,
@@ -437,6 +457,13 @@ ORACLES: dict[str, str] = {
         {token_count(CHAT_TEXT)} <= 128 AS fits FROM clean""",
     "token_budget_share": f"""SELECT count(*) AS n, count_if({token_count('text')} <= 512)::bigint AS n_fits,
         100.0::double * count_if({token_count('text')} <= 512) / count(*) AS pct_fits FROM documents""",
+    "render_multi_turn": multi_turn(),
+    "unanswered_conversations": """SELECT count(*) AS n, count_if(answers = 0)::bigint AS n_unanswered
+        FROM (SELECT count_if(role = 'assistant') AS answers FROM conversations GROUP BY conv_id)""",
+    "chat_from_split": f"WITH {CLEAN} SELECT row_id, {CHAT_TEXT} AS text FROM clean WHERE split = 'train'",
+    "eval_prompts_from_split": f"""WITH {CLEAN} SELECT content_hash AS sample_id, instruction, output AS reference,
+        {PROMPT_TEXT} AS prompt FROM clean WHERE split = 'test' ORDER BY md5('42|' || content_hash), content_hash LIMIT 50""",
+    "split_random": f"WITH {CLEAN} SELECT row_id, true AS known, true AS repeats FROM clean",
     "pack_sequences": packs(),
     "collect_turns": """SELECT conv_id, turn // 64 AS part,
         (row_number() OVER (PARTITION BY conv_id, turn // 64 ORDER BY turn) - 1)::integer AS pos, role, text AS content
@@ -451,16 +478,21 @@ ORACLES: dict[str, str] = {
         FROM metrics""",
     "score_summary": f"""WITH {ROUGE} SELECT model, count(*) AS n, round(avg(em), 9) AS em, round(avg(f1), 9) AS f1,
         round(avg(rougeL), 9) AS rougeL, round(avg(has_steps), 9) AS has_steps FROM full_metrics GROUP BY 1""",
-    "score_compare": f"WITH {ROUGE} "
+    "score_compare": f"""WITH {ROUGE}, paired AS (SELECT sample_id FROM full_metrics GROUP BY 1 HAVING count(*) = 2),
+        n AS (SELECT (SELECT count(*) FROM paired) AS n_paired,
+                     (SELECT count(DISTINCT sample_id) FROM full_metrics) - (SELECT count(*) FROM paired) AS n_unpaired)
+        """
     + " UNION ALL ".join(
         f"""SELECT '{m}' AS metric, round(avg({m}) FILTER (model = 'base'), 9) AS base,
         round(avg({m}) FILTER (model = 'tuned'), 9) AS tuned,
-        round(avg({m}) FILTER (model = 'tuned') - avg({m}) FILTER (model = 'base'), 9) AS delta FROM full_metrics"""
+        round(avg({m}) FILTER (model = 'tuned') - avg({m}) FILTER (model = 'base'), 9) AS delta,
+        max(n_paired) AS n_paired, max(n_unpaired) AS n_unpaired
+        FROM full_metrics, n WHERE sample_id IN (SELECT sample_id FROM paired)"""
         for m in ("em", "f1", "rougeL", "has_steps")
     ),
-    "score_delta": f"""WITH {METRICS} SELECT sample_id, round(b.f1, 9) AS base_f1, round(t.f1, 9) AS tuned_f1,
-        round(t.f1 - b.f1, 9) AS delta
-        FROM (SELECT * FROM metrics WHERE model = 'base') b JOIN (SELECT * FROM metrics WHERE model = 'tuned') t
+    "score_delta": f"""WITH {METRICS} SELECT sample_id, b.sample_id IS NOT NULL AND t.sample_id IS NOT NULL AS paired,
+        round(b.f1, 9) AS base_f1, round(t.f1, 9) AS tuned_f1, round(t.f1 - b.f1, 9) AS delta
+        FROM (SELECT * FROM metrics WHERE model = 'base') b FULL JOIN (SELECT * FROM metrics WHERE model = 'tuned') t
         USING (sample_id)""",
     "top_k_improved": improved(),
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from answerloom.functions import scoring, text
 from answerloom.functions.features import dollar_count, has_display_math
 from answerloom.operators import chat, dedup, evaluate, filters, profile, shape, split
+from answerloom.plans import chat_corpus
 from answerloom.plans.prepare import CLEAN_COLUMNS
 from answerloom.sources import jsonl, lines, sinks
 from answerloom.storage import materialize, new_path
@@ -28,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 HEAD, SKIP, TAKE = 200, 200, 100
-ROWS_PER_SHARD = 256
+SHARDS = 8
 
 
 def query(function: Query) -> Query:
@@ -319,8 +320,11 @@ def split_hash(spark, sf_dir):
 
 @query
 def split_random(spark, sf_dir):
-    rows = split.assign_split_random(prepared(spark, sf_dir).clean.drop("split"))
-    return rows.select("row_id", *sinks.INSTRUCTION_COLUMNS, "split")
+    """Whether each row has one known split, and the same one in a second draw over the same written table."""
+    rows = prepared(spark, sf_dir).clean.drop("split")
+    first, second = (split.assign_split_random(rows).select("row_id", F.col("split").alias(name)) for name in ("a", "b"))
+    both = first.join(second, "row_id", "full")
+    return both.select("row_id", F.col("a").isin("train", "validation", "test").alias("known"), F.col("a").eqNullSafe(F.col("b")).alias("repeats"))
 
 
 @query
@@ -360,6 +364,27 @@ def render_chat(spark, sf_dir):
     return _chat(spark, sf_dir).select("row_id", "text")
 
 
+@query
+def render_multi_turn(spark, sf_dir):
+    parts = chat.collect_turns(table(spark, sf_dir, "conversations"))
+    return chat.render_chat(parts, end="<end>", part="part").select("conv_id", "part", "text")
+
+
+@query
+def unanswered_conversations(spark, sf_dir):
+    return chat.without_answer(chat.join_parts(chat.collect_turns(table(spark, sf_dir, "conversations"))))
+
+
+@query
+def chat_from_split(spark, sf_dir):
+    return chat_corpus.split_chat(prepared(spark, sf_dir)).select("row_id", "text")
+
+
+@query
+def eval_prompts_from_split(spark, sf_dir):
+    return chat_corpus.split_prompts(prepared(spark, sf_dir))
+
+
 @query
 def render_prompt(spark, sf_dir):
     return chat.render_prompt(prepared(spark, sf_dir).clean).select("row_id", "prompt")
@@ -379,7 +404,7 @@ def token_budget_share(spark, sf_dir):
 @query
 def pack_sequences(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", text.token_count(F.col("text")).alias("tokens"))
-    packs = chat.pack_sequences(docs, "doc_id", "tokens", rows_per_shard=ROWS_PER_SHARD)
+    packs = chat.pack_sequences(docs, "doc_id", "tokens", SHARDS)
     return packs.withColumn("ids", F.array_join(F.transform("ids", lambda i: i.cast("string")), ","))
 
 
@@ -441,14 +466,14 @@ def score_summary(spark, sf_dir):
 
 @query
 def score_compare(spark, sf_dir):
-    return _rounded(evaluate.score_compare(_scored(spark, sf_dir)), "base", "tuned", "delta")
+    return _rounded(evaluate.score_compare(evaluate.score_delta(_scored(spark, sf_dir))), "base", "tuned", "delta")
 
 
 @query
 def score_delta(spark, sf_dir):
     unique = evaluate.require_unique(predictions(spark, sf_dir), "model", "sample_id")
     deltas = evaluate.score_delta(evaluate.score_pairs(unique))
-    return _rounded(deltas.select("sample_id", "base_f1", "tuned_f1", "delta"), "base_f1", "tuned_f1", "delta")
+    return _rounded(deltas.select("sample_id", "paired", "base_f1", "tuned_f1", "delta"), "base_f1", "tuned_f1", "delta")
 
 
 @query

@@ -95,7 +95,11 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sample_id, model, instruction, reference, prediction): an answer is the reference for its question, and the
-    next answer of the conversation stands in for the models' predictions."""
+    next answer of the conversation stands in for the models' predictions.
+
+    The last answer of a conversation has no next one, so its predictions are missing, but for those that copy the
+    reference. Some samples are answered by one model only, by ``conv_id``.
+    """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     answers = turns.filter("role = 'assistant'")
     question = turns.filter("role = 'user'").select(
@@ -108,19 +112,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tuned = F.when(conv % 10 == 0, F.concat(F.lit("The "), "reference", F.lit(" ."))).otherwise(
         F.concat("next", F.lit(" "), "instruction", F.coalesce(steps, F.lit("")))
     )
-    samples = answers.join(question, ["conv_id", "turn"]).join(later, ["conv_id", "turn"])
-    samples = samples.withColumnRenamed("text", "reference").select(
-        (conv * ID_STEP + F.col("turn")).alias("sample_id"),
-        "instruction",
-        "reference",
-        F.inline(
-            F.array(
-                F.struct(F.lit("base").alias("model"), F.concat("next", math).alias("prediction")),
-                F.struct(F.lit("tuned").alias("model"), tuned.alias("prediction")),
-            )
-        ),
+    samples = answers.join(question, ["conv_id", "turn"]).join(later, ["conv_id", "turn"], "left")
+    rows = F.array(
+        F.when(conv % 9 != 4, F.struct(F.lit("base").alias("model"), F.concat("next", math).alias("prediction"))),
+        F.when(conv % 9 != 7, F.struct(F.lit("tuned").alias("model"), tuned.alias("prediction"))),
+    )
+    return samples.withColumnRenamed("text", "reference").select(
+        (conv * ID_STEP + F.col("turn")).alias("sample_id"), "instruction", "reference", F.inline(F.array_compact(rows))
     )
-    return samples
 
 
 def instruction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,7 @@ def test_packing(spark):
     rng = random.Random(2)
     sizes = {i: rng.choice([0, 1, 30, 100, 511, 512, 513, 2000]) for i in range(2000)}
     frame = spark.createDataFrame(list(sizes.items()), "id long, n int")
-    packs = chat.pack_sequences(frame, "id", "n", rows_per_shard=300).collect()
+    packs = chat.pack_sequences(frame, "id", "n", 7).collect()
     shards = {p.shard for p in packs}
     assert shards == set(range(7))
     assert sorted(i for p in packs for i in p.ids) == list(range(2000))
@@ -70,6 +70,73 @@ def test_packing(spark):
         mine = sorted((p.pack_id, p.ids, p.n_tokens) for p in packs if p.shard == shard)
         items = sorted((i, sizes[i]) for _, ids, _ in mine for i in ids)
         assert [(ids, n) for _, ids, n in mine] == next_fit(items, 512)
-    again = chat.pack_sequences(frame.repartition(3), "id", "n", rows_per_shard=300).collect()
+    again = chat.pack_sequences(frame.repartition(3), "id", "n", 7).collect()
     assert sorted(map(tuple, again), key=str) == sorted(map(tuple, packs), key=str)
-    assert chat.pack_sequences(frame.limit(0), "id", "n").count() == 0
+    assert chat.pack_sequences(frame.limit(0), "id", "n", 7).count() == 0
+
+
+def test_packing_of_text_keys_and_of_nulls(spark):
+    frame = spark.createDataFrame([("b", 300), ("a", 200), ("c", 100)], "id string, n int")
+    packs = chat.pack_sequences(frame, "id", "n", 1).collect()
+    assert [(p.ids, p.n_tokens) for p in packs] == [(["a", "b"], 500), (["c"], 100)]
+    for row in [("d", None), (None, 5)]:
+        with pytest.raises(Exception, match="has no"):
+            chat.pack_sequences(frame.union(spark.createDataFrame([row], frame.schema)), "id", "n", 1).collect()
+
+
+def plain_chat(turns, end=""):
+    """The rendering rules over (role, content) pairs."""
+    preface, gap, opening = chat.CHAT_TEMPLATE.partition("{INPUT}")[0].rpartition("\n\n")
+    between = chat.CHAT_TEMPLATE.partition("{INPUT}")[2].partition("{OUTPUT}")[0]
+    if not any(role == "assistant" for role, _ in turns):
+        return None
+    if turns[0][0] == "system":
+        text, rest = turns[0][1] + gap, turns[1:]
+    else:
+        text, rest = preface + gap, turns
+    for i, (role, content) in enumerate(rest):
+        lead = gap if i else ""
+        text += between + content + end if role == "assistant" else lead + ("" if role == "system" else opening) + content
+    return text
+
+
+CONVERSATIONS = [
+    [("user", "a"), ("assistant", "b")],
+    [("system", "s {INPUT}"), ("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d")],
+    [("user", "only")],
+    [("system", "s")],
+    [("assistant", "first"), ("user", "a"), ("user", "b"), ("tool", "t"), ("assistant", "x"), ("assistant", "y"), ("system", "late")],
+    [("user" if i % 2 == 0 else "assistant", str(i)) for i in range(7)],
+]
+
+
+def turn_rows(spark):
+    rows = [(c, i, role, content) for c, turns in enumerate(CONVERSATIONS) for i, (role, content) in enumerate(turns)]
+    random.Random(1).shuffle(rows)
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+@pytest.mark.parametrize("per_part", [64, 3, 2])
+def test_whole_conversations_are_rendered_by_role(spark, per_part):
+    parts = chat.collect_turns(turn_rows(spark), per_part)
+    whole = chat.render_chat(chat.join_parts(parts), end="<e>").collect()
+    assert {r.conv_id: r.text for r in whole} == {c: plain_chat(t, "<e>") for c, t in enumerate(CONVERSATIONS)}
+    assert tuple(chat.without_answer(chat.join_parts(parts)).first()) == (6, 2)
+    rendered = sorted((r.conv_id, r.part, r.text) for r in chat.render_chat(parts, end="<e>", part="part").collect())
+    for c in (0, 1, 4, 5):
+        assert "".join(t for conv, _, t in rendered if conv == c) == plain_chat(CONVERSATIONS[c], "<e>")
+
+
+def test_templates_need_both_places(records):
+    for template in ("{INPUT}", "{OUTPUT}{INPUT}", "{INPUT}{INPUT}{OUTPUT}"):
+        with pytest.raises(ValueError):
+            chat.render_chat(records, template)
+
+
+@pytest.mark.parametrize("extra", [(None, 0, "user", "x"), (1, None, "user", "x"), (1, 0, "user", "again")])
+def test_turns_without_a_place_of_their_own_are_an_error(spark, extra):
+    turns = turn_rows(spark)
+    with pytest.raises(ValueError, match="two turns"):
+        chat.collect_turns(turns, 1)
+    with pytest.raises(ValueError, match="of their own"):
+        chat.collect_turns(turns.union(spark.createDataFrame([extra], turns.schema)))

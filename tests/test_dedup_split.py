@@ -99,3 +99,25 @@ def test_sample(spark):
 def test_shares_are_checked():
     with pytest.raises(ValueError):
         SplitConfig(0.8, 0.1, 0.2)
+
+
+def test_rows_without_a_key_get_no_split(spark):
+    rows = split.assign_split(spark.createDataFrame([("a",), (None,)], "content_hash string"))
+    assert [r.split for r in rows.filter("content_hash IS NULL").collect()] == [None]
+    with pytest.raises(ValueError, match="hold 1 rows"):
+        split.check_conservation(split.split_counts(rows), 2)
+
+
+def test_leaking_keys_are_an_error(spark):
+    rows = spark.createDataFrame([("u", "c", "train"), ("u", "d", "test")], "uid string, content_hash string, split string")
+    with pytest.raises(ValueError, match="uid"):
+        split.check_leakage(split.leakage(rows))
+    assert split.check_leakage(split.leakage(rows.limit(1))).count() == 2
+
+
+def test_whole_texts_as_content_key(spark):
+    from answerloom.operators.shape import content_hash
+
+    rows = spark.createDataFrame([("q", "x" * 200 + "a"), ("q", "x" * 200 + "b")], "q string, a string")
+    for prefix, n in ((200, 1), (None, 2)):
+        assert rows.select(content_hash(rows.q, rows.a, prefix).alias("h")).distinct().count() == n

@@ -75,6 +75,12 @@ def test_score_profile(frame, lengths, top):
     assert [r.avg_a_len for r in rows] == pytest.approx(expected["mean"].tolist())
 
 
+def test_negative_scores_have_a_bucket(spark):
+    rows = spark.createDataFrame([(-3, 10), (-1, 20), (2, 5)], "q_score int, a_len int")
+    found = {r.bucket: (r.n, r.avg_a_len) for r in profile.score_profile(rows).collect()}
+    assert found == {"below 0": (2, 15.0), "0": (0, 0.0), "1-4": (1, 5.0)}
+
+
 def test_density_profile(frame, lengths):
     rows = {r.bucket: (r.n, r.pct) for r in profile.density_profile(frame).collect()}
     bounds = {"0": (0, 0), "1-2": (1, 2), "3-6": (3, 6), "7-14": (7, 14), "15-30": (15, 30), "31+": (31, 10**9)}

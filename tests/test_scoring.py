@@ -62,7 +62,7 @@ def test_models_are_compared_by_sample(spark):
     results = evaluate.score_pairs(evaluate.require_unique(frame, "model", "sample_id"))
     top = evaluate.top_improved(evaluate.score_delta(results)).collect()
     assert [(r["rank"], r.sample_id) for r in top] == [(1, 1), (2, 3), (3, 5), (4, 7), (5, 0)]
-    compared = {r.metric: r for r in evaluate.score_compare(results).collect()}
+    compared = {r.metric: r for r in evaluate.score_compare(evaluate.score_delta(results)).collect()}
     assert compared["em"].base == 0 and compared["em"].tuned == 0.5
     assert {r.model: r.n for r in evaluate.score_summary(results).collect()} == {"base": 8, "tuned": 8}
     with pytest.raises(ValueError, match="not unique"):

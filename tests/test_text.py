@@ -80,8 +80,8 @@ def test_math_features(spark, value, count, display):
 
 
 def test_integers_from_text(spark):
-    values = ["7", " 7 ", "7.9", "-3", "n/a", "", None, "99999999999", "1e2", "true"]
-    assert column(spark, values, int_or_zero) == [7, 7, 7, -3, 0, 0, 0, 0, 0, 0]
+    values = ["7", " 7 ", "7.9", "-3", "n/a", "", None, "99999999999", "1e2", "true", "1e99", "NaN", "1d"]
+    assert column(spark, values, int_or_zero) == [7, 7, 7, -3, 0, 0, 0, 0, 100, 0, 0, 0, 0]
 
 
 def test_report_numbers(spark):
