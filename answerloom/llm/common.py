@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.storage import BROADCAST_ROWS
+from answerloom.storage import BROADCAST_ROWS, materialize
 
 # Fixed value: the white space that separates words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -41,6 +41,15 @@ def matching(rows: DataFrame, keys: DataFrame, n_keys: int, on: list[str], how:
     return rows.join(F.broadcast(keys) if n_keys <= BROADCAST_ROWS else keys, on, how)
 
 
+def joined(rows: DataFrame, keys: DataFrame, on: list[str], how: str, name: str) -> DataFrame:
+    """``rows`` joined with narrow ``keys`` that are written and counted first, so that few of them are broadcast.
+
+    Then rows of one key, however many, stay where they are.
+    """
+    keys = materialize(keys, name)
+    return matching(rows, keys, keys.count(), on, how)
+
+
 def keep_rows(df: DataFrame, id_col: str, text_col: str, gone: DataFrame, repeated: DataFrame, n_keys: int) -> DataFrame:
     """``df`` without the rows whose key is in ``gone``, and one of the rows of each key in ``repeated``.
 

@@ -27,14 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from answerloom.llm.arrowtext import binary_array, flat, gather, mix64, pack, pieces, unpack, word_hashes, words
-from answerloom.llm.common import row_key
+from answerloom.llm.common import joined, row_key
 from answerloom.storage import materialize
 
 WINDOW = 35
 PREFIX = 8  # words, a power of two
 GROUP_SUFFIXES = 2000
-SLICE_BYTES = 8 << 20
-BUCKET_BYTES = 24 << 20  # text whose suffixes one task compares
+SLICE_BYTES = 4 << 20
+BUCKET_BYTES = 16 << 20  # text whose suffixes one task compares
 WORD_BYTES = 5  # of a word's hash, where suffixes of one prefix are compared
 
 
@@ -81,7 +81,10 @@ class Anchors:
 
 
 def occurrence_rows(key: np.ndarray, row: np.ndarray, at: np.ndarray, n_buckets: int) -> list[dict]:
-    """Rows for the buckets of ``key``: one occurrence of each key, and all of those that occur several times here."""
+    """One occurrence of each key, for the bucket of the key, and all of those that occur several times here.
+
+    The latter are known to be repeated and go to any bucket, so that a key that is everywhere meets in none.
+    """
     order = np.lexsort((at, row, key))
     key, row, at = key[order], row[order], at[order]
     new = np.ones(len(key), bool)
@@ -90,10 +93,13 @@ def occurrence_rows(key: np.ndarray, row: np.ndarray, at: np.ndarray, n_buckets:
     out = []
     for kind, use in (("first", new), ("repeated", several)):
         k, r, a, s = key[use], row[use], at[use], several[use]
-        bucket = ((k >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
-        edges = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=np.uint64))
-        for b in np.flatnonzero(np.diff(edges)):
-            part = slice(edges[b], edges[b + 1])
+        if kind == "first":
+            bucket = ((k >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+            edges = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=np.uint64))
+            cut = [(b, slice(edges[b], edges[b + 1])) for b in np.flatnonzero(np.diff(edges))]
+        else:
+            cut = [(int(r[0]) % n_buckets, slice(0, len(k)))] if len(k) else []
+        for b, part in cut:
             names, index = np.unique(r[part], return_inverse=True)
             out.append(
                 {"bucket": int(b), "kind": kind, "key": pack(k[part], True), "row": pack(names, True), "index": pack(index.astype(np.uint32)),
@@ -285,7 +291,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     anchors = parts.groupBy("bucket").applyInArrow(repeated_anchors, "prefix long, row_key long, place int")
     anchors = materialize(anchors, "repeated-anchors")
     large = anchors.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP_SUFFIXES)
-    marked = anchors.join(large, "prefix", "left").select("row_key", F.struct("place", F.col("n").isNotNull().alias("large")).alias("a"))
+    marked = joined(anchors, large, ["prefix"], "left", "large-groups").select("row_key", F.struct("place", F.col("n").isNotNull().alias("large")).alias("a"))
     marked = marked.groupBy("row_key").agg(F.collect_set("a").alias("a")).select("row_key", F.col("a.place").alias("places"), F.col("a.large").alias("large"))
     # The id comes along unused: with the columns of the join in remove_repeats, one shuffle of the texts serves both.
     parts = texts.join(marked, "row_key").mapInArrow(suffix_rows(n_buckets, window), PARTS_SQL)
