@@ -66,13 +66,13 @@ def is_match(symbol: int) -> bool:
     return kind(symbol) in (INSULT, THREAT)
 
 
-def nearby(opening: int, mark: int, alphabet: Iterable[int]) -> Transducer:
-    """Marks insults and threats up to ``REACH`` words after a word of class ``opening``."""
+def nearby(opening: int, mark: int, alphabet: Iterable[int], kinds: tuple[int, ...] = (INSULT, THREAT)) -> Transducer:
+    """Marks words of ``kinds`` up to ``REACH`` words after a word of class ``opening``."""
 
     def rule(left, symbol):
         if kind(symbol) == opening:
             return REACH, symbol
-        return max(0, left - 1), symbol | mark if left and is_match(symbol) else symbol
+        return max(0, left - 1), symbol | mark if left and kind(symbol) in kinds else symbol
 
     return tabulate(0, rule, alphabet)
 
@@ -90,7 +90,8 @@ def reporting(alphabet: Iterable[int]) -> Transducer:
 def left_to_right() -> Transducer:
     grammar = nearby(NEGATION, NEGATED, CLASSES)
     grammar = compose(grammar, reporting(outputs(grammar)))
-    return compose(grammar, nearby(TARGET, TARGETED, outputs(grammar)))
+    # "You idiot" is aimed at you, but who kills is not whom a threat is aimed at: that comes after it.
+    return compose(grammar, nearby(TARGET, TARGETED, outputs(grammar), (INSULT,)))
 
 
 LEFT = left_to_right()

@@ -31,9 +31,10 @@ from answerloom.llm.labelled import labelled_sample
 
 MOST_LABELLED = 8000
 MOST_TERMS = 2000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SHORTEST, LONGEST = 4, 8  # letters of a learnt beginning of a word
 PRECISION = 0.6  # share of toxic rows among those with a learnt term
+LEAST_CASES = 3
 SURPRISE = 4.0  # log odds against chance beyond the number of terms tried
 GENERAL_ROWS = 4.0  # what a general insult counts before labels are seen
 
@@ -146,25 +147,57 @@ def term_rows(sample: DataFrame) -> DataFrame:
     return counted.groupBy("term", "whole").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def context_rows(sample: DataFrame, terms: list[tuple[str, bool]]) -> DataFrame:
+    """(term, whole, toxic, clean): in how many contexts, the words before and after, each of the terms stands."""
+    words, beginnings = {t for t, whole in terms if whole}, {t for t, whole in terms if not whole}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                read = _WORD.findall((text or "").lower())
+                for before, word, after in zip(["", *read], read, [*read[1:], ""], strict=False):
+                    context = f"{before} {after}"
+                    if word in words:
+                        found.add((word, True, label, context))
+                    found.update((word[:n], False, label, context) for n in range(SHORTEST, min(LONGEST, len(word)) + 1) if word[:n] in beginnings)
+            columns = zip(*found, strict=True) if found else ((), (), (), ())
+            kinds = (pa.string(), pa.bool_(), pa.int32(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["term", "whole", "label", "context"])
+
+    found = sample.mapInArrow(run, "term string, whole boolean, label int, context string").distinct()
+    return found.groupBy("term", "whole").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
+
+
+def telling(base: float, tried: int) -> Column:
+    """Whether a term's share of toxic cases is above PRECISION and beyond chance among ``tried`` terms."""
+    toxic, clean = F.col("toxic"), F.col("clean")
+    n = toxic + clean
+    odds = toxic * F.log(toxic / n / base) + F.coalesce(clean * F.log(F.nullif(clean, F.lit(0)) / n / (1 - base)), F.lit(0.0))
+    return (toxic >= LEAST_CASES) & (toxic >= PRECISION * n) & (odds >= math.log(max(tried, 1)) + SURPRISE)
+
+
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """General insults, kept as far as the labels bear them out, and the terms that set toxic rows apart."""
+    """General insults, kept as far as the labels bear them out, and the terms that set toxic rows apart.
+
+    Terms are found by the rows that have them and confirmed by the contexts they stand in, of which copies have the same.
+    """
     rows, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     words, beginnings = dict.fromkeys(INSULTS, GENERAL_ROWS / (GENERAL_ROWS + 1)), {}
     if not toxic or toxic == rows:
         return Lexicon(words, {})
     counts = term_rows(sample).cache()
     tried = counts.count()
-    # How unlikely a term's share of toxic rows is by accident, as a log of odds.
-    n, base = F.col("toxic") + F.col("clean"), toxic / rows
-    odds = F.col("toxic") * F.log(F.col("toxic") / n / base) + F.coalesce(F.col("clean") * F.log(F.nullif("clean", F.lit(0)) / n / (1 - base)), F.lit(0.0))
-    telling = (odds >= math.log(max(tried, 1)) + SURPRISE) & (F.col("toxic") >= PRECISION * n) & (F.col("toxic") > 0)
     listed = F.col("whole") & F.col("term").isin(INSULTS)
-    best = counts.filter(telling).orderBy(F.desc("toxic"), F.desc("whole"), F.length("term").desc(), "term").limit(MOST_TERMS).collect()
+    order = [F.desc("toxic"), F.desc("whole"), F.length("term").desc(), "term"]
+    frequent = counts.filter(telling(toxic / rows, 1)).orderBy(*order).limit(MOST_TERMS).collect()
     for x in counts.filter(listed).collect():
         words[x.term] = (x.toxic + GENERAL_ROWS) / (x.toxic + x.clean + GENERAL_ROWS + 1)
     counts.unpersist()
+    contexts = context_rows(sample, [(x.term, x.whole) for x in frequent])
     taken: list = []
-    for x in best:  # from frequent to rare; a term within or around a taken one must add rows
+    for x in contexts.filter(telling(toxic / rows, tried)).orderBy(*order).collect():  # MOST_TERMS at most
+        # From frequent to rare; a term within or around a taken one must add contexts.
         related = [t for t in taken if x.term.startswith(t.term) and not t.whole or t.term.startswith(x.term) and not x.whole]
         if any(x.term.startswith(t.term) or x.toxic < 1.2 * t.toxic for t in related):
             continue
