@@ -30,8 +30,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_VOCABULARY = 300_000
 MATRIX_BYTES = 256
 MATRIX_CELLS = 1 << 21
-SLICE_BYTES = 4 << 20
-KEPT_PIECES = 300_000
+SLICE_BYTES = 2 << 20
+KEPT_PIECES = 150_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -150,6 +150,12 @@ class Vocabulary:
                         heapq.heappush(heap, (known[pair], x, *pair))
         return [t for t in ids if t >= 0]
 
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The bytes of each run of ids between offsets."""
+        lengths = self.lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[offsets]
+        return binary_array(self.data[gather(self.starts[ids], lengths)], ends)
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of one piece after the other, ids per piece)."""
         counts = np.zeros(len(pieces), np.int64)
@@ -229,15 +235,18 @@ def _rank_file(path: str | None) -> bytes:
         return f.read()
 
 
-def encode(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), ranks: str | None = None) -> DataFrame:
+def encode(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), ranks: str | None = None, decoded: bool = False) -> DataFrame:
     """``keep`` and n_tokens long, ids binary (little-endian unsigned 32-bit): one row per input row, in no given order.
 
-    Null counts as an empty text, which has no ids. ``ranks`` is the rank file's path on the driver.
+    Null counts as an empty text, which has no ids. ``ranks`` is the rank file's path on the driver. With ``decoded`` a
+    column of that name has the bytes that the ids decode to, worked out from the ids by the same worker.
     """
     lines = df.sparkSession.sparkContext.broadcast(_rank_file(ranks))
     pattern = public_tokenizers.PATTERN
     rows = df.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    schema = StructType([*rows.schema.fields[:-1], StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
+    added = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())]
+    added += [StructField("decoded", BinaryType())] if decoded else []
+    schema = StructType([*rows.schema.fields[:-1], *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(load(lines.value), pattern)
@@ -245,8 +254,10 @@ def encode(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
             for part in slices(batch, "__text", SLICE_BYTES):
                 ids, counts = encoder.encode(part.column("__text").to_pylist())
                 ends = np.concatenate([[0], np.cumsum(counts)])
-                columns = part.columns[:-1] + [pa.array(counts, pa.int64()), binary_array(ids.astype("<u4").view(np.uint8), ends * 4)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "n_tokens", "ids"])
+                columns = [*part.columns[:-1], pa.array(counts, pa.int64()), binary_array(ids.astype("<u4").view(np.uint8), ends * 4)]
+                if decoded:
+                    columns.append(encoder.vocabulary.decode(ids, ends))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -261,10 +272,7 @@ def decode(df: DataFrame, ids_col: str = "ids", ranks: str | None = None) -> Dat
         for batch in batches:
             for part in slices(batch, ids_col, SLICE_BYTES):
                 data, offsets = flat(part.column(ids_col))
-                ids = np.frombuffer(data.tobytes(), "<u4")
-                lengths = tokens.lengths[ids]
-                ends = np.concatenate([[0], np.cumsum(lengths)])[offsets // 4]
-                decoded = binary_array(tokens.data[gather(tokens.starts[ids], lengths)], ends)
+                decoded = tokens.decode(np.frombuffer(data.tobytes(), "<u4"), offsets // 4)
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=[*part.schema.names, "decoded"])
 
     return df.mapInArrow(run, schema)

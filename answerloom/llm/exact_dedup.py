@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.common import keep_rows, matching, one_space, row_key
+from answerloom.llm.common import joined, keep_rows, matching, one_space, row_key
 from answerloom.storage import BROADCAST_ROWS, materialize
 
 HEAD_CHARS = 64
@@ -38,7 +38,7 @@ def duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     left = rows
     for keys in (["length"], ["length", "head"]):
         shared = left.groupBy(keys).agg(F.sum("n_rows").alias("n")).filter("n > 1").select(keys)
-        left = left.join(shared, keys, "left_semi")
+        left = joined(left, shared, keys, "left_semi", "shared")
     left = materialize(left, "same-head")
 
     texts = df.select(row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("t"))

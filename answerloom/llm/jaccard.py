@@ -14,8 +14,8 @@
    dealt into blocks, each pair of which is a group.
 4. Components of the links.
 
-Cells are reduced in the slice of rows where they arise (one row per cell and slice, the others hang onto it), so a
-cell that a third of all rows share costs a row per slice. Texts are not shuffled in steps 1 and 2; in step 3 the sets
+Crowded cells are reduced in the slice of rows where they arise (one member goes on, the others hang onto it), so a cell
+that a third of all rows share costs a member per slice. Texts are not shuffled in steps 1 and 2; in step 3 the sets
 of the candidates are.
 """
 
@@ -28,16 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.arrowtext import flat, gather, lower_ascii, mix64, pack, pieces, unpack, word_hashes, words
-from answerloom.llm.common import keep_rows, matching, row_key
+from answerloom.llm.arrowtext import flat, gather, lower_ascii, mix64, pack, pieces, slices, unpack, word_hashes, words
+from answerloom.llm.common import joined, keep_rows, matching, row_key
 from answerloom.llm.components import components
 from answerloom.storage import materialize
 
 WIDTH = 4
 LINK_PERCENT = 85  # 100 * intersection >= 85 * union
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 BUCKET_BYTES = 64 << 20  # text whose cells one task reduces
-REGION_SHINGLES = 4_000_000
+REGION_SHINGLES = 1_000_000
+SLICE_MEMBERS = 16  # of a cell that a slice sends; of more it sends one, and the others hang onto that
 IDX_BITS = 16
 CELL_BITS = 64 - IDX_BITS
 SET_BYTES = 6  # of a shingle hash, where sets are compared
@@ -185,11 +186,12 @@ def cell_rows(n_buckets: int, percent: int):
                 continue
             cell, idx = packed >> np.uint64(IDX_BITS), (packed & np.uint64((1 << IDX_BITS) - 1)).astype(np.int64)
             new = np.concatenate([[True], cell[1:] != cell[:-1]])
-            leaders = leader(np.cumsum(new) - 1, idx, np.arange(len(keys)))
-            own = leaders[np.cumsum(new) - 1]
-            pairs = np.unique((idx << 32 | own)[idx != own])
-            kept = cell[new] << np.uint64(IDX_BITS) | leaders.astype(np.uint64)
-            bucket = (cell[new] >> np.uint64(CELL_BITS - 32)) * np.uint64(n_buckets) >> np.uint64(32)
+            run = np.cumsum(new) - 1
+            own = leader(run, idx, np.arange(len(keys)))[run]
+            crowded = np.bincount(run)[run] > SLICE_MEMBERS
+            pairs = np.unique((idx << 32 | own)[crowded & (idx != own)])
+            kept = packed[~crowded | (idx == own)]
+            bucket = (kept >> np.uint64(IDX_BITS) >> np.uint64(CELL_BITS - 32)) * np.uint64(n_buckets) >> np.uint64(32)
             edges = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=np.uint64))
             rows = [(b, pack(kept[edges[b] : edges[b + 1]], True), pack(keys)) for b in range(n_buckets) if edges[b] < edges[b + 1]]
             if len(pairs):
@@ -203,28 +205,27 @@ def cell_rows(n_buckets: int, percent: int):
 
 
 def pivot_rows(table: pa.Table) -> pa.Table:
-    """(x, pivot, local) of one bucket: the sets of each cell that several slices have, with its pivot."""
-    cell, key, local = [], [], []
-    for cells_, keys in zip(table.column("cells").to_pylist(), table.column("keys").to_pylist(), strict=True):
-        keys = unpack(keys, np.int64)
-        if cells_ is None:
-            local.append(keys.reshape(-1, 2))
-        else:
-            packed = unpack(cells_, np.uint64, True)
-            cell.append(packed >> np.uint64(IDX_BITS))
-            key.append(keys[(packed & np.uint64((1 << IDX_BITS) - 1)).astype(np.int64)])
+    """(x, pivot, local) of one bucket: the sets of each cell that several have, with its pivot."""
+    rows = [(None if c is None else unpack(c, np.uint64, True), unpack(k, np.int64)) for c, k in zip(table.column("cells").to_pylist(), table.column("keys").to_pylist(), strict=True)]
+    local = [keys.reshape(-1, 2) for packed, keys in rows if packed is None]
+    sent = [(packed, keys) for packed, keys in rows if packed is not None]
+    ordered = np.concatenate([np.zeros(0, np.uint64), *[packed >> np.uint64(IDX_BITS) for packed, _ in sent]])
+    ordered.sort()
+    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
     pairs = np.zeros((0, 2), np.int64)
-    if cell:
-        cell, key = np.concatenate(cell), np.concatenate(key)
-        ordered = np.sort(cell)
-        shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        if len(shared):
-            at = np.minimum(np.searchsorted(shared, cell), len(shared) - 1)
-            hit = shared[at] == cell
-            at, key = at[hit], key[hit]
-            names, member = np.unique(key, return_inverse=True)
-            pivot = names[leader(at, member, names)]
-            pairs = np.unique(np.stack([key, pivot[at]], 1)[key != pivot[at]], axis=0)
+    if len(shared):
+        at, key = [], []
+        for packed, keys in sent:
+            cell = packed >> np.uint64(IDX_BITS)
+            place = np.minimum(np.searchsorted(shared, cell), len(shared) - 1)
+            hit = shared[place] == cell
+            at.append(place[hit])
+            key.append(keys[(packed[hit] & np.uint64((1 << IDX_BITS) - 1)).astype(np.int64)])
+        at, key = np.concatenate(at), np.concatenate(key)
+        names, member = np.unique(key, return_inverse=True)
+        pivot = names[leader(at, member, names)]
+        pairs = np.unique(np.stack([key, pivot[at]], 1)[key != pivot[at]], axis=0)
     own = np.concatenate([np.zeros((0, 2), np.int64), *local])
     both = np.concatenate([pairs, own])
     return pa.table({"x": both[:, 0], "pivot": both[:, 1], "local": np.arange(len(both)) >= len(pairs)})
@@ -241,7 +242,7 @@ def shared_count(a: np.ndarray, b: np.ndarray) -> int:
 
 def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(x, pivot, n_x, n_pivot, shared) from rows that hold both sets."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, "x_set", SLICE_BYTES)):
         a, b = (flat(batch.column(c)) for c in ("x_set", "pivot_set"))
         sizes = [np.diff(offsets) // SET_BYTES for _, offsets in (a, b)]
         sets = [(from_bytes(data), offsets // SET_BYTES) for data, offsets in (a, b)]
@@ -374,7 +375,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kinds = ["n", "h1", "h2"]
     classes = sizes.filter("n > 0").groupBy(kinds).agg(F.min("row_key").alias("class"), F.min("id").alias("class_id"), F.count("*").alias("of"))
     several = classes.filter("of > 1").select(*kinds, "class", "class_id")
-    members = sizes.join(several, kinds, "left").select("id", "row_key", "n", F.coalesce("class", "row_key").alias("class"), F.coalesce("class_id", "id").alias("class_id"))
+    members = joined(sizes, several, kinds, "left", "several").select("id", "row_key", "n", F.coalesce("class", "row_key").alias("class"), F.coalesce("class_id", "id").alias("class_id"))
     members = materialize(members, "classes")
 
     total = df.agg(F.sum(F.octet_length(text_col)).alias("n")).first().n or 0

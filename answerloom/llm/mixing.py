@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from answerloom.llm.common import row_key
-from answerloom.storage import materialize
+from answerloom.storage import BROADCAST_ROWS, materialize
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -49,18 +49,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     return rated.select("source", "source_size", "place", F.least(F.col("limit").cast("double"), shared).alias("target"))
 
 
+def _place(df: DataFrame, size: Column, id_col: str, seed: int) -> list[Column]:
+    """What orders a source's rows: the random key first, then id, size and 64 bits of all columns."""
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string")))
+    return [key.alias("key"), F.col(id_col).alias("id"), size.cast("long").alias("size"), row_key(*df.columns).alias("row_key")]
+
+
 def mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", key_digits: int = KEY_DIGITS, seed: int = SEED) -> DataFrame:
-    """(row_key, <id_col>, size, source_size, target, taken, copies): one row per input row.
+    """(<id_col>, size, source_size, target, taken, copies, and the source, key and epochs it follows from): a row per row.
 
     ``taken`` is how much of the row's size the mix takes, epochs included; over a source it adds up to the rounded target.
     ``copies`` is the number of whole copies to write: the row at the border counts when at least half of it is taken, and
     a row of size 0, being free, goes along once. A null source is a source, null ids share one random key, and rows of
     one key are ordered by id, size and ``row_key`` (64 bits of all columns), so that reruns agree.
     """
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string")))
-    rows = df.select(
-        row_key(*df.columns).alias("row_key"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.cast("long").alias("size"), key.alias("key")
-    )
+    rows = df.select(F.col(source_col).alias("source"), *_place(df, size, id_col, seed))
     rows = materialize(rows, "sizes")  # read by each of the passes below
     targets = source_targets(rows.select("source", "size")).withColumnRenamed("source", "of")
     rows = rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).withColumn("range", F.left("key", F.lit(key_digits)))
@@ -74,19 +77,25 @@ def mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "
     rest = F.round("target").cast("long") - epochs * F.col("source_size")
     part = F.greatest(F.lit(0).cast("long"), F.least("size", rest - F.col("start")))
     whole = F.when(F.col("size") == 0, 1).otherwise(epochs + (part * 2 >= F.col("size")).cast("long"))
-    return rows.select(
-        "row_key", F.col("id").alias(id_col), "size", "source_size", "target", (epochs * F.col("size") + part).alias("taken"), whole.alias("copies")
-    )
+    taken = epochs * F.col("size") + part
+    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"), whole.alias("copies"), "source", "key", "row_key", epochs.alias("epochs"))
 
 
-def take_mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def take_mix(df: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", seed: int = SEED) -> DataFrame:
     """The rows of ``df``, each as often as the mix takes it, all columns unchanged.
 
-    Rows that repeat all columns are told apart by nothing, so they are taken together as often as their sum says.
+    Within a source the rows up to some place in its random order are taken once more than the others, so a row is told
+    by its place and its source's cut: one row per source is joined, and no text is shuffled. Rows that repeat all columns
+    have one place and are taken equally often.
     """
-    key = "__row_key"
-    taken = mix(df, size, id_col, source_col).groupBy(F.col("row_key").alias(key)).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n"))
-    taken = materialize(taken, "taken")
-    rows = df.withColumn(key, row_key(*df.columns)).join(taken.filter("__copies > 0"), key)
-    rows = rows.filter("__n = 1").unionByName(rows.filter("__n > 1").dropDuplicates([key]))
+    mixed = mix(df, size, id_col, source_col, seed=seed)
+    place = F.struct("key", F.col(id_col).alias("id"), "size", "row_key")
+    more = (F.col("size") > 0) & (F.col("copies") > F.col("epochs"))
+    cuts = mixed.groupBy(F.col("source").alias("__source")).agg(F.max("epochs").alias("__epochs"), F.max(F.when(more, place)).alias("__cut"))
+    cuts = materialize(cuts, "cuts")
+    rows = df.withColumn("__place", F.struct(*_place(df, size, id_col, seed)))
+    rows = rows.join(F.broadcast(cuts) if cuts.count() <= BROADCAST_ROWS else cuts, F.col(source_col).eqNullSafe(F.col("__source")))
+    once_more = F.coalesce(F.col("__place") <= F.col("__cut"), F.lit(False)).cast("long")
+    copies = F.when(F.col("__place.size") == 0, 1).otherwise(F.col("__epochs") + once_more)
+    rows = rows.withColumn("__copies", copies).filter("__copies > 0")
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*df.columns)

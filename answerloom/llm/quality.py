@@ -26,6 +26,7 @@ AXES = 24
 VOTERS = 32
 SHARPNESS = 4
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 2048  # of N_TERMS numbers each
 BLOCK_ROWS = 512
 
 _CLASS = np.zeros(256, dtype=np.int32)  # 0: small letters and bytes of other scripts
@@ -110,7 +111,7 @@ def document_frequencies(df: DataFrame, text_col: str = "text") -> tuple[np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, rows = np.zeros(N_TERMS, np.int64), 0
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES, SLICE_ROWS):
                 seen += (term_counts(*flat(part.column("text"))) > 0).sum(0)
                 rows += part.num_rows
         found = np.flatnonzero(seen)
@@ -132,7 +133,7 @@ def score_quality(df: DataFrame, labels: DataFrame, learn: Column, id_col: str =
 
     def sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES, SLICE_ROWS):
                 counts = pa.array(list(term_counts(*flat(part.column("text")))), pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([part.column("label"), counts], names=["label", "counts"])
 
@@ -151,7 +152,7 @@ def score_quality(df: DataFrame, labels: DataFrame, learn: Column, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, axes, voters, known, prior = model.value
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES, SLICE_ROWS):
                 score = vote(latent(term_counts(*flat(part.column("text"))), idf, axes), voters, known, prior)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(score)], names=[id_col, "score"])
 

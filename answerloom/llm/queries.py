@@ -42,7 +42,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    coded = bpe.encode(table(spark, sf_dir, "documents"), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -75,6 +75,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity)}
 
 ORACLES = {
+    "op1_substring_dedup": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        p AS (SELECT doc_id, w[i] AS word, i, CASE WHEN i + 34 <= len(w) THEN array_to_string(w[i:i + 34], ' ') END AS win
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        m AS (SELECT *, CASE WHEN win IS NOT NULL AND count(*) OVER (PARTITION BY win) > 1 THEN 1 ELSE 0 END AS twice FROM p),
+        c AS (SELECT *, max(twice) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM m),
+        k AS (SELECT doc_id, sum(gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY 1)
+        SELECT doc_id, len(w) AS n_words, cast(coalesce(n, 0) AS bigint) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
+    "op9_jaccard_join": """
+        WITH RECURSIVE d AS (
+          SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM d),
+        u AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s),
+        l AS MATERIALIZED (
+          SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+          GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+        SELECT doc_id, len(s) AS n_shingles, least(doc_id, coalesce(c.b, doc_id)) AS component_id
+        FROM s LEFT JOIN c ON c.a = s.doc_id""",
     "op3_exact_dedup": """
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS n FROM documents),
         k AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size FROM t)

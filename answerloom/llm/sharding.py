@@ -87,12 +87,19 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
 
 
 def pack_into(sizes: list[int], n_bins: int) -> list[int]:
-    """Best fit decreasing with the smallest capacity, found by bisection, that needs no more than ``n_bins`` bins."""
-    if not sizes:
-        return []
-    low = max(max(sizes), -(-sum(sizes) // n_bins))
+    """Best fit decreasing with the smallest capacity, found by bisection, that needs no more than ``n_bins`` bins.
+
+    An item above the mean of what it leaves to the other bins has a bin to itself. At the others' mean plus their largest
+    size nothing lacks room: otherwise every bin would be filled beyond the mean.
+    """
+    rest, left, bins = sorted(sizes), sum(sizes), n_bins
+    while bins > 1 and rest and rest[-1] * bins > left:
+        left, bins = left - rest.pop(), bins - 1
+    if not rest:
+        return best_fit_decreasing(sizes, 1)
+    low = max(1, -(-left // bins))
     fits = lambda capacity: max(best_fit_decreasing(sizes, capacity)) < n_bins
-    span = range(low, low + max(sizes) + 1)
+    span = range(low, low + rest[-1] + 1)
     return best_fit_decreasing(sizes, span[bisect.bisect_left(span, True, key=fits)])
 
 

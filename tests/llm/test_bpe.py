@@ -48,6 +48,7 @@ def test_kept_pieces_are_dropped_when_many(encoder, reference, monkeypatch):
 
 def test_documents_round_trip(documents, rows, reference):
     found = bpe.decode(bpe.encode(documents)).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, bpe.encode(documents, decoded=True).collect()), key=str)
     assert found[0].__fields__ == ["doc_id", "n_tokens", "ids", "decoded"]
     got = Counter((x.doc_id, x.n_tokens, hashlib.sha256(x.ids).hexdigest(), bytes(x.decoded)) for x in found)
     ids = [reference.encode_ordinary(t or "") for _, t, _ in rows]

@@ -54,7 +54,7 @@ def test_small_sources_stop_at_three_epochs(spark):
 
 
 def test_reruns_and_layouts_agree(documents):
-    pick = lambda df: sorted((x.row_key, x.taken) for x in mixing.mix(df, word_count("text")).collect())
+    pick = lambda df: sorted((x.key, x.size, x.row_key, x.taken) for x in mixing.mix(df, word_count("text")).collect())
     assert pick(documents) == pick(documents.repartition(1))
 
 

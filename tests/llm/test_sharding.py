@@ -33,6 +33,12 @@ def test_fewest_bins_within_the_capacity():
     assert sharding.pack_into([], 3) == []
 
 
+def test_all_bins_are_used_beside_an_oversized_item():
+    bins = sharding.pack_into([100] + [1] * 90, 10)
+    filled = Counter(bins)
+    assert filled[bins[0]] == 1 and sorted(filled.values()) == [1] + [10] * 9
+
+
 def test_shards_of_documents(documents, rows):
     found = sharding.shard(documents, n_shards=4).collect()
     assert Counter((x.doc_id, x.size, x.text_crc32) for x in found) == Counter(
