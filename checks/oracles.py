@@ -392,10 +392,13 @@ ORACLES: dict[str, str] = {
     "head_holdout_disjoint": f"""WITH {LINES} SELECT line_no,
         CASE WHEN nth < {HEAD} THEN 'head' ELSE 'holdout' END AS part, instruction
         FROM valid WHERE nth < {HEAD + TAKE}""",
+    "head_holdout_overlap": f"""WITH {LINES}, later AS (SELECT * FROM valid WHERE line_no >= {HEAD} ORDER BY line_no LIMIT {TAKE})
+        SELECT line_no, instruction FROM later WHERE nth < {HEAD}""",
     "loss_curve": f"WITH {LOSS} SELECT step, loss FROM loss ORDER BY step",
     "final_loss": f"WITH {LOSS} SELECT max(step) AS step, max_by(loss, step) AS loss FROM loss",
     "sink_clean_roundtrip": f"WITH {CLEAN} SELECT instruction, input, output FROM clean",
     "sink_splits_roundtrip": f"WITH {CLEAN} SELECT instruction, input, output, split FROM clean",
+    "sink_split_folders_roundtrip": f"WITH {CLEAN} SELECT instruction, input, output, split FROM clean",
     "sink_chat_roundtrip": f"WITH {CLEAN} "
     + exchange(("role", "content"), ("instruction", "output"), ("user", "assistant"), f"{CHAT_TEXT} AS text, "),
     "funnel_report": funnel(),
@@ -420,6 +423,7 @@ ORACLES: dict[str, str] = {
     "display_share": f"""WITH {FEATURES} SELECT count_if(latex_total = 0)::bigint AS no_math_rows,
         100.0::double * count_if(has_display) / count(*) AS pct_display FROM feats""",
     "length_quantiles": """SELECT 'n_chars' AS series, quantile_cont(n_chars::double, 0.99) AS quantile FROM documents""",
+    "approx_length_quantiles": "SELECT 'n_chars' AS series, true AS within FROM documents LIMIT 1",
     "length_histogram": histogram(),
     "score_profile": f"WITH {FEATURES} "
     + bucket_rows(

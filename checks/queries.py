@@ -86,6 +86,14 @@ def head_holdout_disjoint(spark, sf_dir):
     return lines.head_and_holdout(spark, _lines_path(spark, sf_dir), HEAD, TAKE).select("line_no", "part", "instruction")
 
 
+@query
+def head_holdout_overlap(spark, sf_dir):
+    """What a hold-out by physical lines shares with a head of valid lines, some lines being malformed."""
+    path = _lines_path(spark, sf_dir)
+    later = lines.holdout_rows(spark, path, HEAD, TAKE)
+    return lines.overlap(lines.head_rows(spark, path, HEAD), later).select("line_no", "instruction")
+
+
 def _training_log(spark, sf_dir):
     path = new_path(spark, "training-log")
     loss = F.when(F.col("event_type") == "click", F.col("value"))
@@ -121,6 +129,14 @@ def sink_splits_roundtrip(spark, sf_dir):
     return spark.read.schema("instruction string, input string, output string, split string").json(path)
 
 
+@query
+def sink_split_folders_roundtrip(spark, sf_dir):
+    paths = {name: new_path(spark, name) for name in ("train", "validation", "test")}
+    sinks.write_split_folders(prepared(spark, sf_dir).clean, paths)
+    parts = [jsonl.read_tolerant(spark, path).withColumn("split", F.lit(name)) for name, path in paths.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _chat(spark, sf_dir):
     clean = prepared(spark, sf_dir).clean.select("row_id", *sinks.INSTRUCTION_COLUMNS)
     return chat.render_chat(chat.standardize_roles(chat.to_conversation(clean)))
@@ -273,6 +289,15 @@ def length_quantiles(spark, sf_dir):
     return profile.quantiles(profile.value_counts(table(spark, sf_dir, "documents"), "n_chars"))
 
 
+@query
+def approx_length_quantiles(spark, sf_dir):
+    """Whether the approximate 99th percentile lies between the exact 98th and the largest value."""
+    docs = table(spark, sf_dir, "documents")
+    found = profile.approx_quantiles(docs, "n_chars")
+    exact = docs.agg(F.percentile("n_chars", F.lit(0.98)).alias("low"), F.max("n_chars").alias("high"))
+    return found.crossJoin(F.broadcast(exact)).select("series", F.col("quantile").between(F.col("low"), F.col("high")).alias("within"))
+
+
 @query
 def length_histogram(spark, sf_dir):
     lengths = profile.value_counts(prepared(spark, sf_dir).clean, "q_len", "a_len")
