@@ -219,15 +219,9 @@ class Encoder:
         return out, np.diff(ends)
 
 
-_loaded: dict[int, Vocabulary] = {}
-
-
 def load(lines: bytes) -> Vocabulary:
-    """The vocabulary of a rank file's bytes, built once per process."""
-    key = hash(lines)
-    if key not in _loaded:
-        _loaded[key] = Vocabulary({base64.b64decode(t): int(i) for t, i in (x.split() for x in lines.splitlines() if x)})
-    return _loaded[key]
+    """The vocabulary of a rank file's bytes; a task builds it once."""
+    return Vocabulary({base64.b64decode(t): int(i) for t, i in (x.split() for x in lines.splitlines() if x)})
 
 
 def _rank_file(path: str | None) -> bytes:

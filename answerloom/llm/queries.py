@@ -21,7 +21,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = id_remainder("doc_id", 10)
     scores = ppm.score_texts(table(spark, sf_dir, "documents"), remainder != 0)
-    return scores.withColumn("held_out", remainder == 0).select(
+    return scores.withColumn("held_out", F.coalesce(remainder == 0, F.lit(False))).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
 
@@ -38,7 +38,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = id_remainder("doc_id", 4)
     scores = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder != 2)
-    return scores.select("doc_id", (remainder == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scores.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = id_remainder("doc_id", 5)
     scores = toxicity.with_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), remainder != 0)
-    return scores.select("doc_id", (remainder == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scores.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity)}
