@@ -47,7 +47,7 @@ def duplicate_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hashes = texts.select("row_key", digest("t").alias("sha")).groupBy("row_key").agg(F.min("sha").alias("sha"))
     hashed = materialize(left.join(hashes, "row_key"), "same-text")
     groups = hashed.groupBy("length", "sha").agg(F.min("id").alias("keep_id"), F.sum("n_rows").alias("group_size"))
-    found = hashed.select("row_key", "length", "sha").join(groups, ["length", "sha"])
+    found = joined(hashed.select("row_key", "length", "sha"), groups, ["length", "sha"], "inner", "groups")
     return rows.join(found.select("row_key", "keep_id", "group_size"), "row_key", "left").select(
         "row_key", "id", "n_rows", F.coalesce("keep_id", "id").alias("keep_id"), F.coalesce("group_size", "n_rows").alias("group_size")
     )

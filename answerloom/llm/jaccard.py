@@ -436,10 +436,10 @@ def _region_links(distances: DataFrame, sets: DataFrame, percent: int) -> DataFr
     open_ = distances.groupBy("pivot").agg(
         F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest"), F.count(F.when(~F.col("linked"), 1)).alias("beyond")
     )
-    rows = distances.join(open_.filter("beyond > 0"), "pivot").filter(~F.col("linked") | (F.col("distance") >= F.col("nearest") - t))
+    rows = joined(distances, open_.filter("beyond > 0"), ["pivot"], "inner", "open-regions").filter(~F.col("linked") | (F.col("distance") >= F.col("nearest") - t))
     sizes = rows.groupBy("pivot").agg(F.sum("n_x").alias("shingles"), F.count("*").alias("members"))
     sizes = sizes.filter("members > 1").select("pivot", F.ceil(F.col("shingles") / REGION_SHINGLES).cast("int").alias("blocks"))
-    rows = rows.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+    rows = joined(rows, sizes, ["pivot"], "inner", "region-sizes").withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.xxhash64("pivot", F.least("block", "other"), F.greatest("block", "other"))
     rows = rows.select(group.alias("group"), "x", "distance", "linked").distinct()
