@@ -418,7 +418,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     found = jaccard_components(df, id_col, text_col, percent).filter("n_shingles > 0").select("row_key", F.col(id_col).alias("id"), "component")
     found = materialize(found, "components")
     best = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("best"), F.count("*").alias("of"))
-    several = found.join(best.filter("of > 1"), "component").select("row_key", (F.col("row_key") == F.col("best.row_key")).alias("stays"))
+    several = joined(found, best.filter("of > 1"), ["component"], "inner", "best").select("row_key", (F.col("row_key") == F.col("best.row_key")).alias("stays"))
     several = materialize(several.groupBy("row_key", "stays").agg(F.count("*").alias("n")), "near-duplicates")
     return keep_rows(df, id_col, text_col, several.filter("not stays"), several.filter("stays and n > 1"), several.count())
 
