@@ -1,8 +1,9 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are classed as insults, threats, targets, negations and words of reported speech. Five transducers, composed in
-``grammar``, read the classes of a clause and write the patterns that match: an insult or a targeted threat, each with the
-context it stands in (targeted, negated, reported). A document's evidence is the strength of its matched patterns, and
+The lexicon maps words to classes: insults with their strength, threats, targets, negations and words of reported speech.
+Transducers for negation, reported speech and targets, composed into one in ``grammar``, read the classes of a clause from
+the left, and one for targets that follow reads its output from the right. They write the patterns that match: an
+insult or a targeted threat, each with the context it stands in (targeted, negated, reported). A document's evidence is the strength of its matched patterns, and
 weights per pattern turn evidence into a probability; a clause without a pattern adds nothing.
 
 Insults are a general list and those learnt from labelled rows: whole words, or beginnings of words where the endings vary,
