@@ -1,14 +1,15 @@
 """Near-duplicate embeddings by a PCA-ordered tiled comparison.
 
-Equal vectors become one class with a count. The second moments of all classes give the principal axes, and vectors are
-rotated onto them, so that leading dimensions carry most of a product. Vectors are dealt into blocks along the first axis;
+Only vectors of equal length are compared, and each length has axes and blocks of its own. Equal vectors become one class
+with a count. The second moments of a length's classes give the principal axes, and vectors are rotated onto them, so that leading dimensions carry most of a product. Vectors are dealt into blocks along the first axis;
 unit vectors whose cosine reaches the threshold lie no more than r apart on any axis, so a vector meets only the blocks
 within r of it, each pair of blocks in one group. Within a group, tiles of products are accumulated from the leading
 dimensions; what the remaining dimensions can add is at most the product of the remainders' norms, and a pair is given up
 as soon as this cannot reach the threshold. Pairs that stay are decided by their cosine in double precision.
 
 A group gives counts and one link per vector that spans its connected pairs, so that dense groups do not give pairs. A
-block holds ``BLOCK_BYTES`` of vectors, and the work is that of the pairs of blocks which the first axis cannot part.
+block holds ``BLOCK_BYTES`` of vectors, and the work is that of the pairs of blocks which the first axis cannot part. Axes
+only save work: beyond ``AXES_BYTES`` of them, the lengths with fewer bytes of vectors keep their plain coordinates.
 """
 
 from __future__ import annotations
@@ -26,14 +27,15 @@ from answerloom.storage import materialize
 
 THRESHOLD = 0.95
 BLOCK_BYTES = 4 << 20
+AXES_BYTES = 128 << 20  # of all axes together, which every task receives
 TILE_ROWS = 512
 SLACK = 1e-4  # for products of leading dimensions in single precision
 
 
-def usable(vector: Column, dimension: int) -> Column:
-    """Of the table's dimension, without null or non-finite components, and not zero."""
+def usable(vector: Column) -> Column:
+    """Without null or non-finite components, and not zero."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    whole = vector.isNotNull() & (F.size(vector) == dimension) & F.forall(vector, lambda x: F.coalesce(finite(x), F.lit(False)))
+    whole = vector.isNotNull() & F.forall(vector, lambda x: F.coalesce(finite(x), F.lit(False)))
     return F.coalesce(whole & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
@@ -62,6 +64,26 @@ def principal_axes(classes: DataFrame, dimension: int) -> np.ndarray:
     return vectors[:, ::-1]
 
 
+def by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of each vector length in each batch."""
+    for batch in batches:
+        length = pc.list_value_length(batch.column("vector"))
+        lengths = pc.unique(length).to_pylist()
+        for d in lengths:
+            yield d, batch if len(lengths) == 1 else batch.filter(pc.equal(length, d))
+
+
+def axes_by_length(classes: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]:
+    """Principal axes of the lengths with most bytes of vectors, as many as ``AXES_BYTES`` hold."""
+    axes, held = {}, 0
+    for d in sorted(sizes, key=lambda d: (-d * sizes[d], d)):
+        held += d * d * 8
+        if held > AXES_BYTES:
+            break
+        axes[d] = principal_axes(classes.filter(F.col("length") == d), d)
+    return axes
+
+
 def cut_points(dimension: int) -> list[int]:
     """After how many leading dimensions a pair is looked at."""
     return sorted({max(1, dimension // 4), max(1, dimension // 2), dimension})
@@ -99,7 +121,7 @@ def united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def compared(axes: np.ndarray, threshold: float):
+def compared(axes: dict[int, np.ndarray], threshold: float):
     def run(table: pa.Table) -> pa.Table:
         """(key, root, links) of one pair of blocks: a vector of the same connected set, and how many vectors are linked."""
         table = table.combine_chunks()
@@ -107,8 +129,9 @@ def compared(axes: np.ndarray, threshold: float):
         table = table.take(pa.array(np.argsort(~left, kind="stable")))
         n_left = int(left.sum())
         key, times = table.column("key").to_numpy(), table.column("times").to_numpy()
-        plain = unit_rows(table.column("vector").combine_chunks(), len(axes))
-        x = plain @ axes
+        length = table.column("length")[0].as_py()
+        plain = unit_rows(table.column("vector").combine_chunks(), length)
+        x = plain @ axes[length] if length in axes else plain
         n = len(x)
         begin = n_left if n_left < n else 0  # one block is compared with itself
         links, label = np.zeros(n, np.int64), np.arange(n)
@@ -130,58 +153,64 @@ def compared(axes: np.ndarray, threshold: float):
     return run
 
 
+def block_bounds(classes: DataFrame, sizes: dict[int, int], first: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Where the first axis is cut, for each length of more than one block."""
+    blocks = {d: -(-n * d * 8 // BLOCK_BYTES) for d, n in sizes.items()}
+    blocks = {d: k for d, k in blocks.items() if k > 1}
+    if not blocks:
+        return {}
+
+    def on_first_axis(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for d, batch in by_length(batches):
+            at = unit_rows(batch.column("vector"), d) @ first[d]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), d, np.int32)), pa.array(at)], names=["length", "at"])
+
+    places = classes.filter(F.col("length").isin(list(blocks))).select("vector").mapInArrow(on_first_axis, "length int, at double")
+    most = max(blocks.values())
+    grid = [k / most for k in range(1, most)]
+    found = places.groupBy("length").agg(F.percentile_approx("at", grid, 8 * most).alias("at")).collect()
+    return {x.length: np.array([x.at[k * most // blocks[x.length] - 1] for k in range(1, blocks[x.length])]) for x in found}
+
+
 def linked_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """(<id_col>, n_links, component_id, kept): one row per input row.
 
-    Vectors are compared by cosine in double precision. Vectors that are null or zero, that hold null or non-finite
-    components, or that are not as long as most vectors link with nothing. Equal vectors are linked. ``component_id`` is the
+    Vectors of equal length are compared by cosine in double precision. Vectors that are null or zero or that hold null or
+    non-finite components link with nothing. Equal vectors are linked. ``component_id`` is the
     smallest id reachable over links, null ids coming last; rows that repeat an id count as vectors of their own.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
-    common = rows.filter("vector is not null").groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"))
-    common = common.orderBy(F.desc("n"), F.desc("d")).first()
-    dimension = common.d if common else 0
-    good = usable(F.col("vector"), dimension)
+    good = usable(F.col("vector"))
     classes = rows.filter(good).groupBy("vector").agg(F.count("*").alias("times"), F.min("id").alias("class_id"))
-    classes = materialize(classes.select(F.xxhash64("vector").alias("key"), "vector", "times", "class_id"), "classes")
-    n = classes.count()
-    if not n:
+    classes = materialize(classes.select(F.xxhash64("vector").alias("key"), F.size("vector").alias("length"), "vector", "times", "class_id"), "classes")
+    sizes = {x.length: x.n for x in classes.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
         none = F.lit(0).cast("long")
         return rows.select(F.col("id").alias(id_col), none.alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
 
-    axes = principal_axes(classes, dimension)
-    n_blocks = max(1, -(-n * dimension * 8 // BLOCK_BYTES))
-    first = np.ascontiguousarray(axes[:, 0])
-
-    def on_first_axis(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = unit_rows(batch.column("vector"), dimension) @ first
-            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
-
-    bounds = np.zeros(0)
-    if n_blocks > 1:
-        places = classes.select("vector").mapInArrow(on_first_axis, "at double")
-        bounds = np.array(places.approxQuantile("at", [k / n_blocks for k in range(1, n_blocks)], 1 / (8 * n_blocks)))
+    axes = axes_by_length(classes, sizes)
+    first = {d: np.ascontiguousarray(axes[d][:, 0]) if d in axes else np.eye(1, d)[0] for d in sizes}
+    bounds = block_bounds(classes, sizes, first)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
 
     def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = unit_rows(batch.column("vector"), dimension) @ first
-            own = np.searchsorted(bounds, at, "right")
-            low, high = np.searchsorted(bounds, at - reach, "right"), np.searchsorted(bounds, at + reach, "right")
+        for d, batch in by_length(batches):
+            at, cuts = unit_rows(batch.column("vector"), d) @ first[d], bounds.get(d, np.zeros(0))
+            own = np.searchsorted(cuts, at, "right")
+            low, high = np.searchsorted(cuts, at - reach, "right"), np.searchsorted(cuts, at + reach, "right")
             copies = high - low + 1
             row = np.repeat(np.arange(len(at)), copies)
             other = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies) + low[row]
-            step = max(1, (8 << 20) // (8 * dimension))
+            step = max(1, (8 << 20) // (8 * d))
             for k in range(0, len(row), step):
                 r, o = row[k : k + step], other[k : k + step]
-                group = np.minimum(own[r], o) * (len(bounds) + 1) + np.maximum(own[r], o)
+                group = np.minimum(own[r], o) * (len(cuts) + 1) + np.maximum(own[r], o)
                 taken = batch.take(pa.array(r))
                 yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(own[r] <= o), *taken.columns], names=["group", "left", *taken.schema.names])
 
     vector_type = classes.schema["vector"].dataType.simpleString()
-    groups = classes.select("key", "times", "vector").mapInArrow(in_groups, f"group long, left boolean, key long, times long, vector {vector_type}")
-    found = groups.groupBy("group").applyInArrow(compared(axes, threshold), "key long, root long, links long")
+    groups = classes.select("key", "length", "times", "vector").mapInArrow(in_groups, f"group long, left boolean, key long, length int, times long, vector {vector_type}")
+    found = groups.groupBy("length", "group").applyInArrow(compared(axes, threshold), "key long, root long, links long")
     found = materialize(found, "tile-links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")

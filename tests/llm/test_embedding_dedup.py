@@ -57,3 +57,34 @@ def test_tiles_give_up_no_pair():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     i, j = embedding_dedup.tile_links(x, x, 0.9)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(k.tolist() for k in np.nonzero(x @ x.T >= 0.9 - 1e-9))))
+
+
+def brute_of_equal_length(rows, threshold):
+    """Links of any two usable vectors of equal length."""
+    units = [np.array(v, float) if v and all(x is not None and np.isfinite(x) for x in v) and any(v) else None for _, v in rows]
+    units = [None if u is None else u / np.linalg.norm(u) for u in units]
+    some = [i for i, u in enumerate(units) if u is not None]
+    links = [(a, b) for a in some for b in some if b < a and len(units[a]) == len(units[b]) and units[a] @ units[b] >= threshold]
+    degree = np.bincount(np.array(links, int).reshape(-1), minlength=len(rows))
+    label, least = components(len(rows), links), {}
+    for (i, _), c in zip(rows, label):
+        least[c] = min(least.get(c, i), i)
+    return sorted((i, int(d), least[c]) for (i, _), d, c in zip(rows, degree, label))
+
+
+@pytest.fixture(scope="module")
+def lengths():
+    """Two common lengths and some of one or two rows, beside more empty arrays than vectors of any length."""
+    rng = np.random.default_rng(5)
+    near = lambda d, n: [(c + rng.normal(size=d) * 0.07).astype(np.float32).tolist() for c in rng.normal(size=(n // 6, d)) for _ in range(6)]
+    vectors = near(16, 120) + near(24, 90) + near(40, 6) + [[3.0], [5.0], [-1.0], [1.0, 0.0, 2.0]] + [[]] * 150
+    return [(i, vectors[j]) for i, j in enumerate(rng.permutation(len(vectors)))]
+
+
+@pytest.mark.parametrize("block, axes", [(embedding_dedup.BLOCK_BYTES, embedding_dedup.AXES_BYTES), (4096, 3000), (4096, 0)])
+def test_every_length_is_compared(spark, lengths, block, axes, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", block)
+    monkeypatch.setattr(embedding_dedup, "AXES_BYTES", axes)
+    df = spark.createDataFrame(lengths, "vec_id long, embedding array<float>").repartition(3)
+    found = sorted((x.vec_id, x.n_links, x.component_id) for x in embedding_dedup.linked_vectors(df).collect())
+    assert found == brute_of_equal_length(lengths, 0.95)
