@@ -1,9 +1,9 @@
 """Near-duplicate embeddings by a PCA-ordered tiled comparison.
 
-Only vectors of equal length are compared, and each length has axes and blocks of its own. Equal vectors become one class
-with a count. The second moments of a length's classes give the principal axes, and vectors are rotated onto them, so that leading dimensions carry most of a product. Vectors are dealt into blocks along the first axis;
+Only vectors of equal length are compared, and each length has axes and blocks of its own. Vectors
+of one direction become one class with a count: equal ones, and those that are equal once divided by their largest component. The second moments of a length's classes give the principal axes, and vectors are rotated onto them, so that leading dimensions carry most of a product. Vectors are dealt into blocks along the first axis;
 unit vectors whose cosine reaches the threshold lie no more than r apart on any axis, so a vector meets only the blocks
-within r of it, each pair of blocks in one group. Within a group, tiles of products are accumulated from the leading
+within r of it, each pair of blocks in one group. Where many classes share a place, their block is cut by hash. Within a group, tiles of products are accumulated from the leading
 dimensions; what the remaining dimensions can add is at most the product of the remainders' norms, and a pair is given up
 as soon as this cannot reach the threshold. Pairs that stay are decided by their cosine in double precision.
 
@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from answerloom.llm.arrowtext import mix64
+from answerloom.llm.common import joined, matching
 from answerloom.llm.components import components
 from answerloom.storage import materialize
 
@@ -39,10 +41,15 @@ def usable(vector: Column) -> Column:
     return F.coalesce(whole & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def scaled_rows(column: pa.Array, dimension: int) -> np.ndarray:
+    """A column of usable vectors, each divided by the size of its largest component."""
+    x = np.asarray(pc.list_flatten(column).to_numpy(zero_copy_only=False), np.float64).reshape(-1, dimension)
+    return x / np.abs(x).max(axis=1, keepdims=True)
+
+
 def unit_rows(column: pa.Array, dimension: int) -> np.ndarray:
     """The unit vectors of a column of usable vectors."""
-    x = np.asarray(pc.list_flatten(column).to_numpy(zero_copy_only=False), np.float64).reshape(-1, dimension)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = scaled_rows(column, dimension)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -73,6 +80,20 @@ def by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Recor
             yield d, batch if len(lengths) == 1 else batch.filter(pc.equal(length, d))
 
 
+def direction_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, times, class_id, length, h1, h2): 128 bits of the scaled vector, from which alone cosines are computed."""
+    for d, batch in by_length(batches):
+        bits = np.ascontiguousarray((scaled_rows(batch.column("vector"), d) + 0.0).T).view(np.uint64)
+        hashes = []
+        for seed in (0x1234567, 0x89ABCDE):
+            state = np.full(batch.num_rows, seed, np.uint64)
+            for component in bits:
+                state = mix64(state + component)
+            hashes.append(pa.array(state.view(np.int64)))
+        columns = [batch.column(c) for c in ("key", "times", "class_id")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(batch.num_rows, d, np.int32)), *hashes], names=["key", "times", "class_id", "length", "h1", "h2"])
+
+
 def axes_by_length(classes: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]:
     """Principal axes of the lengths with most bytes of vectors, as many as ``AXES_BYTES`` hold."""
     axes, held = {}, 0
@@ -133,14 +154,14 @@ def compared(axes: dict[int, np.ndarray], threshold: float):
         plain = unit_rows(table.column("vector").combine_chunks(), length)
         x = plain @ axes[length] if length in axes else plain
         n = len(x)
-        begin = n_left if n_left < n else 0  # one block is compared with itself
+        same = table.column("low")[0].as_py() == table.column("high")[0].as_py()  # a block is compared with itself
         links, label = np.zeros(n, np.int64), np.arange(n)
         for p in range(0, n_left, TILE_ROWS):
-            for q in range(begin if begin else p, n, TILE_ROWS):
+            for q in range(p if same else n_left, n, TILE_ROWS):
                 a, b = slice(p, min(p + TILE_ROWS, n_left)), slice(q, q + TILE_ROWS)
                 i, j = tile_links(x[a], x[b], threshold)
                 i, j = i + p, j + q
-                if not begin:
+                if same:
                     i, j = i[i < j], j[i < j]
                 cosine = np.concatenate([np.einsum("ij,ij->i", plain[i[k : k + 65536]], plain[j[k : k + 65536]]) for k in range(0, len(i), 65536)] or [np.zeros(0)])
                 i, j = i[cosine >= threshold], j[cosine >= threshold]
@@ -153,8 +174,12 @@ def compared(axes: dict[int, np.ndarray], threshold: float):
     return run
 
 
-def block_bounds(classes: DataFrame, sizes: dict[int, int], first: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-    """Where the first axis is cut, for each length of more than one block."""
+def blocks_by_length(classes: DataFrame, sizes: dict[int, int], first: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """(cuts, start) of each length of more than one block.
+
+    The first axis is cut at ``cuts``; the part k of it has the blocks from ``start[k]`` up to ``start[k + 1]``, several where
+    more classes share a place than a block holds.
+    """
     blocks = {d: -(-n * d * 8 // BLOCK_BYTES) for d, n in sizes.items()}
     blocks = {d: k for d, k in blocks.items() if k > 1}
     if not blocks:
@@ -166,23 +191,55 @@ def block_bounds(classes: DataFrame, sizes: dict[int, int], first: dict[int, np.
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), d, np.int32)), pa.array(at)], names=["length", "at"])
 
     places = classes.filter(F.col("length").isin(list(blocks))).select("vector").mapInArrow(on_first_axis, "length int, at double")
+    places = materialize(places, "places")
     most = max(blocks.values())
     grid = [k / most for k in range(1, most)]
     found = places.groupBy("length").agg(F.percentile_approx("at", grid, 8 * most).alias("at")).collect()
-    return {x.length: np.array([x.at[k * most // blocks[x.length] - 1] for k in range(1, blocks[x.length])]) for x in found}
+    cuts = {x.length: np.unique([x.at[k * most // blocks[x.length] - 1] for k in range(1, blocks[x.length])]) for x in found}
+
+    def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, at = batch.column("length").to_numpy(), batch.column("at").to_numpy()
+            for d in np.unique(length):
+                rows = np.bincount(np.searchsorted(cuts[int(d)], at[length == d], "right"))
+                part = np.flatnonzero(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), d, np.int32)), pa.array(part), pa.array(rows[part])], names=["length", "part", "n"])
+
+    counts = {d: np.zeros(len(c) + 1, np.int64) for d, c in cuts.items()}
+    for x in places.mapInArrow(in_parts, "length int, part long, n long").groupBy("length", "part").agg(F.sum("n").alias("n")).collect():
+        counts[x.length][x.part] = x.n
+    own = {d: np.maximum(1, np.rint(n * d * 8 / BLOCK_BYTES)).astype(np.int64) for d, n in counts.items()}
+    return {d: (cuts[d], np.concatenate([[0], np.cumsum(own[d])])) for d in cuts}
 
 
 def linked_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """(<id_col>, n_links, component_id, kept): one row per input row.
 
     Vectors of equal length are compared by cosine in double precision. Vectors that are null or zero or that hold null or
-    non-finite components link with nothing. Equal vectors are linked. ``component_id`` is the
+    non-finite components link with nothing. Vectors of one direction are linked. ``component_id`` is the
     smallest id reachable over links, null ids coming last; rows that repeat an id count as vectors of their own.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
     good = usable(F.col("vector"))
     classes = rows.filter(good).groupBy("vector").agg(F.count("*").alias("times"), F.min("id").alias("class_id"))
     classes = materialize(classes.select(F.xxhash64("vector").alias("key"), F.size("vector").alias("length"), "vector", "times", "class_id"), "classes")
+    id_type = classes.schema["class_id"].dataType.simpleString()
+    members = classes.select("key", "vector", "times", "class_id").mapInArrow(direction_rows, f"key long, times long, class_id {id_type}, length int, h1 long, h2 long")
+    members = materialize(members, "directions")
+    direction = ["length", "h1", "h2"]
+    several = members.groupBy(direction).agg(F.min("key").alias("head"), F.sum("times").alias("all_times"), F.min("class_id").alias("least_id"), F.count("*").alias("of"))
+    several = materialize(several.filter("of > 1").drop("of"), "several")
+    n_several = several.count()
+    heads, gone = members.drop(*direction), None
+    if n_several:  # one class of each direction goes on
+        members = matching(members, several, n_several, direction, "left").select(
+            "key", F.coalesce("head", "key").alias("head"), F.coalesce("all_times", "times").alias("times"), F.coalesce("least_id", "class_id").alias("class_id")
+        )
+        members = materialize(members, "members")
+        heads, gone = members.filter("key = head").drop("head"), members.filter("key != head").select("key", "head")
+        more = several.select(F.col("head").alias("key"), "all_times")
+        classes = matching(joined(classes, gone.select("key"), ["key"], "left_anti", "gone"), more, n_several, ["key"], "left")
+        classes = materialize(classes.select("key", "length", "vector", F.coalesce("all_times", "times").alias("times")), "heads")
     sizes = {x.length: x.n for x in classes.groupBy("length").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         none = F.lit(0).cast("long")
@@ -190,34 +247,39 @@ def linked_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
     axes = axes_by_length(classes, sizes)
     first = {d: np.ascontiguousarray(axes[d][:, 0]) if d in axes else np.eye(1, d)[0] for d in sizes}
-    bounds = block_bounds(classes, sizes, first)
+    blocks = blocks_by_length(classes, sizes, first)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
 
     def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for d, batch in by_length(batches):
-            at, cuts = unit_rows(batch.column("vector"), d) @ first[d], bounds.get(d, np.zeros(0))
-            own = np.searchsorted(cuts, at, "right")
-            low, high = np.searchsorted(cuts, at - reach, "right"), np.searchsorted(cuts, at + reach, "right")
-            copies = high - low + 1
+            at = unit_rows(batch.column("vector"), d) @ first[d]
+            cuts, start = blocks.get(d, (np.zeros(0), np.array([0, 1])))
+            part = np.searchsorted(cuts, at, "right")
+            own = start[part] + (batch.column("key").to_numpy().view(np.uint64) % (start[part + 1] - start[part]).astype(np.uint64)).astype(np.int64)
+            begin, end = start[np.searchsorted(cuts, at - reach, "right")], start[np.searchsorted(cuts, at + reach, "right") + 1]
+            copies = end - begin
             row = np.repeat(np.arange(len(at)), copies)
-            other = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies) + low[row]
+            other = np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies) + begin[row]
             step = max(1, (8 << 20) // (8 * d))
             for k in range(0, len(row), step):
                 r, o = row[k : k + step], other[k : k + step]
-                group = np.minimum(own[r], o) * (len(cuts) + 1) + np.maximum(own[r], o)
+                pair = [pa.array(np.minimum(own[r], o)), pa.array(np.maximum(own[r], o))]
                 taken = batch.take(pa.array(r))
-                yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(own[r] <= o), *taken.columns], names=["group", "left", *taken.schema.names])
+                yield pa.RecordBatch.from_arrays([*pair, pa.array(own[r] <= o), *taken.columns], names=["low", "high", "left", *taken.schema.names])
 
     vector_type = classes.schema["vector"].dataType.simpleString()
-    groups = classes.select("key", "length", "times", "vector").mapInArrow(in_groups, f"group long, left boolean, key long, length int, times long, vector {vector_type}")
-    found = groups.groupBy("length", "group").applyInArrow(compared(axes, threshold), "key long, root long, links long")
+    groups = classes.select("key", "length", "times", "vector").mapInArrow(in_groups, f"low long, high long, left boolean, key long, length int, times long, vector {vector_type}")
+    found = groups.groupBy("length", "low", "high").applyInArrow(compared(axes, threshold), "key long, root long, links long")
     found = materialize(found, "tile-links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "key")
-    named = classes.select("key", "times", "class_id").join(counts, "key", "left").join(parts, "key", "left")
+    named = heads.select("key", "times", "class_id").join(counts, "key", "left").join(parts, "key", "left")
     named = materialize(named.withColumn("component", F.coalesce("component", "key")), "named")
     least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
     named = named.join(least, "component").select("key", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+    if gone is not None:
+        of = matching(named, several.select(F.col("head").alias("key")), n_several, ["key"]).withColumnRenamed("key", "head")
+        named = named.unionByName(matching(gone, of, n_several, ["head"], "inner").drop("head"))
     rows = rows.select("id", F.when(good, F.xxhash64("vector")).alias("key")).join(named, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return rows.select(

@@ -88,3 +88,25 @@ def test_every_length_is_compared(spark, lengths, block, axes, monkeypatch):
     df = spark.createDataFrame(lengths, "vec_id long, embedding array<float>").repartition(3)
     found = sorted((x.vec_id, x.n_links, x.component_id) for x in embedding_dedup.linked_vectors(df).collect())
     assert found == brute_of_equal_length(lengths, 0.95)
+
+
+@pytest.fixture(scope="module")
+def one_place():
+    """A third of the rows scaled copies of one vector, exact and rounded ones, and a third of one place on the first axis."""
+    rng = np.random.default_rng(6)
+    one = rng.normal(size=16).astype(np.float32)
+    scaled = [one * np.float32(2.0 ** (i % 20 - 10) if i % 2 else rng.uniform(0.1, 9)) for i in range(120)]
+    flat = [np.concatenate([[0], c + rng.normal(size=15) * 0.1]) for c in rng.normal(size=(12, 15)) for _ in range(10)]
+    others = [c + rng.normal(size=16) * 0.1 for c in rng.normal(size=(12, 16)) for _ in range(10)]
+    vectors = [np.asarray(v, np.float32).tolist() for v in scaled + flat + others]
+    return [(i, vectors[j]) for i, j in enumerate(rng.permutation(len(vectors)))]
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_links_are_counted_once_where_many_share_a_place(spark, one_place, plain, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 4096)
+    if plain:
+        monkeypatch.setattr(embedding_dedup, "AXES_BYTES", 0)
+    df = spark.createDataFrame(one_place, "vec_id long, embedding array<float>").repartition(3)
+    found = sorted((x.vec_id, x.n_links, x.component_id) for x in embedding_dedup.linked_vectors(df).collect())
+    assert found == brute_of_equal_length(one_place, 0.95)
