@@ -172,13 +172,13 @@ def leader(cell: np.ndarray, member: np.ndarray, key: np.ndarray) -> np.ndarray:
     return order[best]
 
 
-def cell_rows(n_buckets: int, percent: int):
+def cell_rows(n_buckets: int, percent: int, width: int):
     """Per slice of (row_key, text): its cells for each bucket, and which sets share a cell within the slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "text", SLICE_BYTES):
             keys = part.column("row_key").to_numpy()
-            values, counts = shingle_sets(*flat(part.column("text")))
+            values, counts = shingle_sets(*flat(part.column("text")), width)
             use = first_of_equal(values, counts)
             values, counts = values[np.repeat(use, counts)], np.where(use, counts, 0)
             packed = cells(values, counts, percent)
@@ -343,34 +343,40 @@ def joined_region(percent: int):
     return run
 
 
-def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row_key, set) of each row: the high bytes of its sorted shingle hashes."""
-    for part in pieces(batches, "text", SLICE_BYTES):
-        values, counts = shingle_sets(*flat(part.column("text")))
-        data = as_bytes(values)
-        ends = np.concatenate([[0], np.cumsum(counts)]) * SET_BYTES
-        sets = pa.array([data[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
-        yield pa.RecordBatch.from_arrays([part.column("row_key"), sets], names=["row_key", "set"])
+def set_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(row_key, set) of each row: the high bytes of its sorted shingle hashes."""
+        for part in pieces(batches, "text", SLICE_BYTES):
+            values, counts = shingle_sets(*flat(part.column("text")), width)
+            data = as_bytes(values)
+            ends = np.concatenate([[0], np.cumsum(counts)]) * SET_BYTES
+            sets = pa.array([data[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("row_key"), sets], names=["row_key", "set"])
+
+    return run
 
 
-def size_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in pieces(batches, "text", SLICE_BYTES):
-        values, counts = shingle_sets(*flat(part.column("text")))
-        a, b = set_hashes(values, counts)
-        columns = [part.column("id"), part.column("row_key"), pa.array(counts, pa.int64()), pa.array(a), pa.array(b)]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "row_key", "n", "h1", "h2"])
+def size_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, "text", SLICE_BYTES):
+            values, counts = shingle_sets(*flat(part.column("text")), width)
+            a, b = set_hashes(values, counts)
+            columns = [part.column("id"), part.column("row_key"), pa.array(counts, pa.int64()), pa.array(a), pa.array(b)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "row_key", "n", "h1", "h2"])
+
+    return run
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT, width: int = WIDTH) -> DataFrame:
     """(row_key, <id_col>, n_shingles, component_id, component): one row per input row; ``component`` is a label.
 
-    Two rows are linked when 100 * shared >= ``percent`` * union of their shingle sets. ``component_id`` is the smallest id
+    Two rows are linked when 100 * shared >= ``percent`` * union of their sets of shingles of ``width`` words. ``component_id`` is the smallest id
     that a row reaches over links, its own included; null ids come after all others. Null texts count as empty, and a row
     without words is linked with nothing. Repeated rows have equal sets and so one component. An empty table gives none.
     """
     texts = df.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
-    sizes = texts.mapInArrow(size_rows, f"id {id_type}, row_key long, n long, h1 long, h2 long")
+    sizes = texts.mapInArrow(size_rows(width), f"id {id_type}, row_key long, n long, h1 long, h2 long")
     sizes = materialize(sizes, "set-sizes")
     kinds = ["n", "h1", "h2"]
     classes = sizes.filter("n > 0").groupBy(kinds).agg(F.min("row_key").alias("class"), F.min("id").alias("class_id"), F.count("*").alias("of"))
@@ -380,7 +386,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     total = df.agg(F.sum(F.octet_length(text_col)).alias("n")).first().n or 0
     n_buckets = max(1, -(-total // BUCKET_BYTES))
-    found = texts.select("row_key", "text").mapInArrow(cell_rows(n_buckets, percent), "bucket int, cells binary, keys binary")
+    found = texts.select("row_key", "text").mapInArrow(cell_rows(n_buckets, percent, width), "bucket int, cells binary, keys binary")
     found = found.groupBy("bucket").applyInArrow(pivot_rows, "x long, pivot long, local boolean").distinct()
     of = members.filter("n > 0").select("row_key", "class").distinct()
     found = found.join(of.toDF("x", "cx"), "x").join(of.toDF("pivot", "cp"), "pivot").select(F.col("cx").alias("x"), F.col("cp").alias("pivot"), "local")
@@ -390,7 +396,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     pairs = materialize(found.select("x", "pivot").union(onward.select("x", "pivot")).filter("x != pivot").distinct(), "candidates")
 
     wanted = pairs.select(F.explode(F.array("x", "pivot")).alias("row_key")).distinct()
-    sets = _sets(texts, wanted)
+    sets = _sets(texts, wanted, width)
     both = pairs.join(sets.toDF("x", "x_set"), "x").join(sets.toDF("pivot", "pivot_set"), "pivot")
     distances = both.mapInArrow(compared, "x long, pivot long, n_x long, n_pivot long, shared long")
     union = F.col("n_x") + F.col("n_pivot") - F.col("shared")
@@ -410,12 +416,12 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT) -> DataFrame:
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = LINK_PERCENT, width: int = WIDTH) -> DataFrame:
     """The rows of ``df`` with one row of each component, the one of the smallest id; all columns unchanged.
 
     Rows without words are linked with nothing and all stay.
     """
-    found = jaccard_components(df, id_col, text_col, percent).filter("n_shingles > 0").select("row_key", F.col(id_col).alias("id"), "component")
+    found = jaccard_components(df, id_col, text_col, percent, width).filter("n_shingles > 0").select("row_key", F.col(id_col).alias("id"), "component")
     found = materialize(found, "components")
     best = found.groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "row_key")).alias("best"), F.count("*").alias("of"))
     several = joined(found, best.filter("of > 1"), ["component"], "inner", "best").select("row_key", (F.col("row_key") == F.col("best.row_key")).alias("stays"))
@@ -423,11 +429,11 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     return keep_rows(df, id_col, text_col, several.filter("not stays"), several.filter("stays and n > 1"), several.count())
 
 
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(row_key, set) of the wanted rows, written to the shared folder."""
     wanted = materialize(wanted, "wanted")
     rows = matching(texts.select("row_key", "text"), wanted, wanted.count(), ["row_key"])
-    return materialize(rows.mapInArrow(set_rows, "row_key long, set binary"), "sets")
+    return materialize(rows.mapInArrow(set_rows(width), "row_key long, set binary"), "sets")
 
 
 def _region_links(distances: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

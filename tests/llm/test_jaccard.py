@@ -8,6 +8,8 @@ from answerloom.llm import jaccard
 from answerloom.llm.components import components as spark_components
 from tests.llm.plain import components, least, shingles
 
+shingles_of = shingles
+
 
 def expected(rows, percent=85):
     sets = [shingles(t) for _, t, _ in rows]
@@ -76,3 +78,10 @@ def test_components_of_paths_and_stars(spark):
     best = {c: min(n for n, k in zip(nodes, label) if k == c) for c in set(label)}
     found = {x.node: x.component for x in spark_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {n: best[c] for n, c in zip(nodes, label, strict=True)}
+
+
+def test_shingles_of_five_words(spark, families, monkeypatch):
+    monkeypatch.setitem(globals(), "shingles", lambda text: shingles_of(text, 5))
+    df = spark.createDataFrame(families, "doc_id long, text string, source string").repartition(3)
+    found = jaccard.jaccard_components(df, percent=80, width=5).collect()
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == Counter(expected(families, 80)[0])

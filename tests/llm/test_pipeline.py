@@ -1,3 +1,4 @@
+import random
 from collections import Counter, defaultdict
 
 import duckdb
@@ -9,6 +10,7 @@ from checks.compare import _rows, _types, connect
 from tests.llm.test_exact_dedup import normal
 from tests.llm.test_jaccard import expected as near
 from tests.llm.test_mixing import expected_targets
+from tests.llm.plain import shingles
 
 DATA = "/root/testdata/sf0.001"
 
@@ -73,3 +75,17 @@ def test_query_agrees_with_sql(spark, name):
     found, expected = QUERIES[name](spark, DATA).toArrow(), connect(DATA).sql(ORACLES[name]).to_arrow_table()
     assert _types(found.schema) == _types(expected.schema)
     assert _rows(found) == _rows(expected)
+
+
+def test_near_copies_of_five_words_and_four_fifths_go(spark):
+    rng, rows = random.Random(3), []
+    for i in range(0, 40, 2):
+        base = [f"w{rng.randint(0, 10**9)}" for _ in range(230)]
+        at, n = rng.randint(30, 180), (20, 20, 19, 21, 24)[i // 2 % 5]
+        other = base[:at] + [f"e{rng.randint(0, 10**9)}" for _ in range(n)] + base[at + n :]
+        rows += [(i, " ".join(base)), (i + 1, " ".join(other))]
+    sets = {i: shingles(t, 5) for i, t in rows}
+    near_copies = {i + 1 for i in range(0, 40, 2) if 5 * len(sets[i] & sets[i + 1]) >= 4 * len(sets[i] | sets[i + 1])}
+    assert 0 < len(near_copies) < 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id for x in corpus_pipeline.drop_near_copies(spark, docs, DATA).collect()} == set(sets) - near_copies
