@@ -82,3 +82,15 @@ def test_matched_clauses_count_not_isolated_words(spark, labels):
     assert score[0] > 0.5 and score[1] > 0.4
     assert score[2] < score[1] and score[3] < score[0] and score[4] < 0.1
     assert id_remainder("doc_id", 5) is not None
+
+
+def test_rows_of_one_id_do_not_fill_the_sample(spark):
+    from answerloom.llm.labelled import labelled_sample
+
+    rows = [(1, "same")] * 50 + [(1, f"text {i}") for i in range(50)] + [(i, f"of {i}") for i in range(2, 8)] + [(8, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, toxic int")
+    found = [tuple(x) for x in labelled_sample(docs, labels, "toxic", F.lit(True), 10).collect()]
+    assert len(found) == 10 == len(set(found))
+    assert set(found) <= {(i, t, i % 2) for i, t in rows if i}
+    assert {i for i, _, _ in found} == set(range(1, 9))
