@@ -60,9 +60,9 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, length, words per document) of the runs of bytes that are no white space; documents end words."""
-    letter = ~_IS_SPACE[data]
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, words per document) of the runs of bytes that are not ``between`` words; documents end words."""
+    letter = ~between[data]
     before = np.empty_like(letter)
     before[1:], after = letter[:-1], np.empty_like(letter)
     after[:-1] = letter[1:]

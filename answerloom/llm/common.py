@@ -31,6 +31,24 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*columns)
 
 
+def row_key128(*columns: str) -> Column:
+    """128 bits that name a row by its content, nulls included, the same in every scan."""
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns])
+    return F.struct(F.xxhash64(*columns, nulls).alias("k1"), F.xxhash64(F.lit("second"), nulls, *columns).alias("k2"))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string")).cast("long") % modulus

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import bpe, embedding_dedup, exact_dedup, jaccard, mixing, ppm, quality, sharding, substring, toxicity
+from answerloom.llm import bpe, decontamination, embedding_dedup, exact_dedup, jaccard, mixing, ppm, quality, sharding, substring, toxicity
 from answerloom.llm.common import id_remainder, row_key, word_count
 
 
@@ -72,9 +72,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity)}
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity, op11_decontamination)}
 
 ORACLES = {
+    "op11_decontamination": """
+        WITH d AS (
+          SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        b AS (
+          SELECT coalesce(cast(item_id AS varchar), '') AS item, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+        s AS (SELECT item, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0),
+        x AS MATERIALIZED (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS win FROM s),
+        p AS (SELECT r, size, unnest(range(1, len(w) - size + 2)) AS i, w FROM d, (SELECT DISTINCT size FROM x) WHERE len(w) >= size),
+        h AS MATERIALIZED (SELECT p.r, p.i, p.size, x.item FROM p JOIN x ON p.size = x.size AND array_to_string(p.w[p.i:p.i + p.size - 1], ' ') = x.win),
+        n AS (SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS word FROM (SELECT DISTINCT r, i, size FROM h)) GROUP BY r),
+        t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)""",
     "op1_substring_dedup": """
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
         p AS (SELECT doc_id, w[i] AS word, i, CASE WHEN i + 34 <= len(w) THEN array_to_string(w[i:i + 34], ' ') END AS win
