@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import bpe, decontamination, embedding_dedup, exact_dedup, jaccard, mixing, ppm, quality, sharding, substring, toxicity
+from answerloom.llm import bpe, decontamination, embedding_dedup, exact_dedup, jaccard, mixing, ppm, quality, repair, sharding, substring, toxicity
 from answerloom.llm.common import id_remainder, row_key, word_count
 
 
@@ -80,9 +80,86 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity, op11_decontamination)}
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with faults put in by the checksum of ``conv_id:turn``; rows to be missing are marked ``gone``."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    draw = (F.crc32(F.concat(parts[0], F.lit(":"), parts[1])) % 20).alias("draw")
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), draw)
+    text = F.when(F.col("draw") == 1, "").when(F.col("draw") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    rows = rows.withColumn("copy", F.explode(F.when(F.col("draw") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    return rows.select("conv_id", "turn", F.when(F.col("draw") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), (F.col("draw") == 0).alias("gone"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(damaged(table(spark, sf_dir, "conversations")), gone="gone")
+
+
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity, op11_decontamination, op12_conversation_repair)}
+
+# crc32 of the ASCII text {0} as SQL; ``crc.t`` holds the table of the 256 bytes.
+CRC = "xor(4294967295, list_reduce([4294967295] || list_transform(string_split({0}, ''), lambda x: ascii(x)::bigint), lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])))"
+CRC_TABLE = """crc AS MATERIALIZED (SELECT list(v ORDER BY n) AS t FROM (
+          SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+          FROM range(256) AS r(n)))"""
+
+
+def _least_edits() -> str:
+    """The step over one row: states are the start, after s, after u, after a; each a struct of cost c and audit a, or null."""
+
+    def plus(state: str, cost: str, edit: str) -> str:
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}} END"
+
+    before = {"z0": "s0", "z1": "s1"}
+    before["z2"] = "list_min([s2, " + ", ".join(plus(f"s{k}", "2", "I") for k in (0, 1, 3)) + "])"
+    before["z3"] = "list_min([s3, " + plus("s2", "2", "I") + ", " + ", ".join(plus(f"s{k}", "4", "II") for k in (0, 1)) + "])"
+    closed = ", ".join(f"{v} AS {k}" for k, v in before.items())
+
+    def step(state: int, sources: tuple[int, ...], initial: str) -> str:
+        kept = ", ".join(f"CASE WHEN stays AND initial = '{initial}' THEN {plus(f'z{k}', 't', 'K')} END" for k in sources)
+        turned = ", ".join(f"CASE WHEN stays THEN {plus(f'z{k}', '2 + t', 'R')} END" for k in sources) if initial != "s" else ""
+        return "list_min([" + ", ".join(x for x in (plus(f"z{state}", "3", "D"), kept, turned) if x) + f"]) AS s{state}"
+
+    after = ", ".join([plus("z0", "3", "D") + " AS s0", step(1, (0,), "s"), step(2, (0, 1, 3), "u"), step(3, (2,), "a")])
+    return f"""
+        w(g, i, s0, s1, s2, s3) AS (
+          SELECT g, 0::bigint, {{'c': 0::bigint, 'a': ''}}, NULL::STRUCT(c BIGINT, a VARCHAR), NULL::STRUCT(c BIGINT, a VARCHAR), NULL::STRUCT(c BIGINT, a VARCHAR) FROM every
+          UNION ALL
+          SELECT g, i, {after} FROM (
+            SELECT f.g, f.i, {closed}, f.fault NOT IN (1, 2) AS stays, (f.fault = 3)::int AS t, left(f.role, 1) AS initial
+            FROM w JOIN f ON f.g = w.g AND f.i = w.i + 1)),
+        best AS (SELECT g, list_min([z0, z3]) AS b FROM (SELECT g, i, {closed} FROM w) JOIN lasts USING (g, i))"""
+
 
 ORACLES = {
+    "op12_conversation_repair": f"""
+        WITH RECURSIVE {CRC_TABLE},
+        c AS (SELECT dense_rank() OVER (ORDER BY conv_id) AS g, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                     concat(coalesce(conv_id::varchar, ' '), ':', coalesce(turn::varchar, ' ')) AS k FROM conversations),
+        every AS (SELECT DISTINCT g, conv_id FROM c),
+        x AS MATERIALIZED (SELECT c.*, {CRC.format('k')} % 20 AS draw FROM c, crc),
+        d AS (SELECT g, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+                     CASE WHEN draw = 1 THEN '' WHEN draw = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+              FROM x, (VALUES (1), (2)) AS v(copy) WHERE draw <> 0 AND (copy = 1 OR draw = 3)),
+        o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i,
+                     right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS final FROM d),
+        f AS MATERIALIZED (SELECT *, CASE WHEN final = '' THEN 1 WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 2
+                     WHEN final NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                     lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) || left(role, 1) AS pair FROM o),
+        lasts AS (SELECT g, coalesce(max(i), 0) AS i FROM every LEFT JOIN f USING (g) GROUP BY g),
+        {_least_edits()},
+        p AS (SELECT g, b.a AS audit, unnest(range(1, length(b.a) + 1)) AS p FROM best),
+        e AS (SELECT g, p, audit[p] AS op, count(*) FILTER (audit[p] <> 'I') OVER (PARTITION BY g ORDER BY p) AS i,
+                     count(*) FILTER (audit[p] <> 'D') OVER (PARTITION BY g ORDER BY p) AS q FROM p),
+        r AS (SELECT e.g, e.q, e.op, f.role, CASE WHEN e.op = 'I' THEN '' ELSE f.text END AS text FROM e LEFT JOIN f ON f.g = e.g AND f.i = e.i WHERE e.op <> 'D'),
+        s AS (SELECT g, max(CASE WHEN q = 1 AND op = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) AS s FROM r GROUP BY g),
+        m AS (SELECT g, string_agg(CASE WHEN op = 'K' THEN role WHEN (q - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY q) AS body
+              FROM r JOIN s USING (g) GROUP BY g),
+        n AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+                     count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                     count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY g)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, b.c AS cost, b.a AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+        FROM every JOIN best USING (g) LEFT JOIN n USING (g) LEFT JOIN m USING (g)""",
     "op11_decontamination": """
         WITH d AS (
           SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
