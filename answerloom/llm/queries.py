@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from answerloom.llm import bpe, decontamination, embedding_dedup, exact_dedup, jaccard, mixing, ppm, quality, repair, sharding, substring, toxicity
+from answerloom.llm import bpe, decontamination, embedding_dedup, exact_dedup, jaccard, mixing, ppm, quality, repair, sharding, substring, toxicity, whitening
 from answerloom.llm.common import id_remainder, row_key, word_count
 
 
@@ -94,7 +94,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_report(damaged(table(spark, sf_dir, "conversations")), gone="gone")
 
 
-QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity, op11_decontamination, op12_conversation_repair)}
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {q.__name__: q for q in (op1_substring_dedup, op2_ppm_scoring, op3_exact_dedup, op4_quality, op5_byte_bpe, op6_sharding, op7_mixing, op8_embedding_dedup, op9_jaccard_join, op10_toxicity, op11_decontamination, op12_conversation_repair, op13_whitening)}
 
 # crc32 of the ASCII text {0} as SQL; ``crc.t`` holds the table of the 256 bytes.
 CRC = "xor(4294967295, list_reduce([4294967295] || list_transform(string_split({0}, ''), lambda x: ascii(x)::bigint), lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])))"
