@@ -1,5 +1,8 @@
 """Rows of JSON-lines files by their position.
 
+Files that Python tasks can open are read by byte ranges (``ranges``): counted as far as needed, then only the ranges that
+hold the lines asked for are opened again. Others, compressed ones and those of stores that only Spark can open, are scanned:
+
 The lines are read and parsed in one scan and written to the shared folder with their split and their place in the scan.
 Everything later reads that table: where Spark cuts the files depends on the session and on the cores that are alive, so
 a second scan could cut them elsewhere. A line's number is its split's offset plus its place within the split. Only
@@ -16,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from answerloom.sources.jsonl import INSTRUCTION_SCHEMA, records
+from answerloom.sources.ranges import RangedLines, list_files, readable
 from answerloom.storage import materialize
 
 # Splits whose offsets (three numbers each) are broadcast; 48 MB, enough for some 250 TB of splits of 128 MB.
@@ -31,14 +35,16 @@ class Lines:
     rows: DataFrame
     offsets: DataFrame
 
-    def numbered(self) -> DataFrame:
-        """The lines that hold a record, with ``line_no``, counted from 0 over all files."""
+    def numbered(self, first: int = 0, last: int | None = None) -> DataFrame:
+        """The lines from ``first`` to ``last`` that hold a record, with ``line_no``, counted from 0 over all files."""
         chosen = self.offsets.select("split", "first_seq", "lines_before")
         few = chosen.limit(BROADCAST_SPLITS + 1).count() <= BROADCAST_SPLITS
         rows = self.rows.filter("record IS NOT NULL").join(F.broadcast(chosen) if few else chosen, "split", "left")
         line_no = F.col("lines_before") + F.col("seq") - F.col("first_seq")
         unknown = F.raise_error(F.lit("a line of a split that was not counted")).cast("long")
-        return rows.select(F.coalesce(line_no, unknown).alias("line_no"), "record.*")
+        rows = rows.select(F.coalesce(line_no, unknown).alias("line_no"), "record.*")
+        rows = rows.filter(F.col("line_no") >= first) if first > 0 else rows
+        return rows if last is None else rows.filter(F.col("line_no") <= last)
 
     def n_valid(self) -> int:
         return self.offsets.agg(F.sum("n_valid")).first()[0] or 0
@@ -108,6 +114,14 @@ def _files(spark: SparkSession, path: str | list[str]) -> list[tuple[str, int]]:
     return sorted((x.file, x.length) for x in listed.collect())
 
 
+def _lines(spark: SparkSession, path: str | list[str], schema: T.StructType, skip: int, n: int | None, index: str | None) -> Lines | RangedLines:
+    """The lines of the input as far as ``n`` valid ones follow its first ``skip`` lines; None: all."""
+    files = list_files(spark, path)
+    if files and readable(files):
+        return RangedLines(spark, files, schema, index).reach(skip, n)
+    return read_lines(spark, path, schema) if n is None else _leading(spark, path, schema, skip, n)
+
+
 def _leading(spark: SparkSession, path: str | list[str], schema: T.StructType, skip: int, n: int) -> Lines:
     """The lines of so many files, in path order, that ``n`` valid ones follow their first ``skip`` lines.
 
@@ -129,21 +143,23 @@ def _leading(spark: SparkSession, path: str | list[str], schema: T.StructType, s
         most *= 2
 
 
-def read_numbered(spark: SparkSession, path: str | list[str], schema: T.StructType = INSTRUCTION_SCHEMA) -> DataFrame:
-    """Every valid line with its physical line number ``line_no``."""
-    return read_lines(spark, path, schema).numbered()
+def read_numbered(spark: SparkSession, path: str | list[str], schema: T.StructType = INSTRUCTION_SCHEMA, index: str | None = None) -> DataFrame:
+    """Every valid line with its physical line number ``line_no``.
+
+    ``index`` names a table of counts per byte range, which is used where it fits the files as they are, and extended.
+    """
+    return _lines(spark, path, schema, 0, None, index).numbered()
 
 
 def head_rows(
-    spark: SparkSession, path: str | list[str], n: int | None = 50_000, schema: T.StructType = INSTRUCTION_SCHEMA
+    spark: SparkSession, path: str | list[str], n: int | None = 50_000, schema: T.StructType = INSTRUCTION_SCHEMA, index: str | None = None
 ) -> DataFrame:
     """The first ``n`` valid lines in file order (None: all), with ``line_no``; the rows come in no given order."""
     if n is None:
-        return read_numbered(spark, path, schema)
-    lines = _leading(spark, path, schema, 0, n)
+        return read_numbered(spark, path, schema, index)
+    lines = _lines(spark, path, schema, 0, n, index)
     last = lines.nth_valid(n)
-    rows = lines.numbered()
-    return rows if last is None and n > 0 else rows.filter(F.col("line_no") <= (-1 if last is None else last))
+    return lines.numbered(0, None if last is None and n > 0 else -1 if last is None else last)
 
 
 def holdout_rows(
@@ -152,12 +168,11 @@ def holdout_rows(
     skip: int = 50_000,
     take: int = 1_000,
     schema: T.StructType = INSTRUCTION_SCHEMA,
+    index: str | None = None,
 ) -> DataFrame:
     """Leave out the first ``skip`` physical lines, then the first ``take`` valid lines, in no given order."""
-    lines = _leading(spark, path, schema, skip, take)
-    rows = lines.numbered().filter(F.col("line_no") >= skip)
-    last = lines.nth_valid(lines.valid_before(skip) + take)
-    return rows if last is None else rows.filter(F.col("line_no") <= last)
+    lines = _lines(spark, path, schema, skip, take, index)
+    return lines.numbered(skip, lines.nth_valid(lines.valid_before(skip) + take))
 
 
 def head_and_holdout(
@@ -166,16 +181,16 @@ def head_and_holdout(
     n: int = 50_000,
     take: int = 1_000,
     schema: T.StructType = INSTRUCTION_SCHEMA,
+    index: str | None = None,
 ) -> DataFrame:
     """The first ``n`` valid lines as part ``head`` and the next ``take`` as part ``holdout``, never overlapping.
 
     Counting valid lines for both parts is what keeps them apart: a skip in physical lines starts inside the head as
     soon as one line of it is malformed.
     """
-    lines = _leading(spark, path, schema, 0, n + take)
+    lines = _lines(spark, path, schema, 0, n + take, index)
     border, last = lines.nth_valid(n), lines.nth_valid(n + take)
-    rows = lines.numbered()
-    rows = rows if last is None else rows.filter(F.col("line_no") <= last)
+    rows = lines.numbered(0, last)
     head = F.lit(True) if border is None and n > 0 else F.col("line_no") <= (-1 if border is None else border)
     return rows.withColumn("part", F.when(head, "head").otherwise("holdout"))
 

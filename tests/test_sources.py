@@ -1,10 +1,12 @@
+import gzip
 import json
 import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from answerloom.sources import jsonl, lines, sinks
+from answerloom.sources import jsonl, lines, ranges, sinks
 
 RAW = [
     '{"Q":"q1","A":"a","meta":{"question_score":"x"}}',
@@ -101,7 +103,16 @@ def small_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", default)
 
 
-def test_lines_are_numbered_across_splits(spark, folder, small_splits):
+@pytest.fixture(params=["ranges", "scan"])
+def way(request, monkeypatch):
+    """Files read by byte ranges, some hundred bytes each, or scanned."""
+    if request.param == "scan":
+        monkeypatch.setattr(lines, "readable", lambda files: False)
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 700)
+    return request.param
+
+
+def test_lines_are_numbered_across_splits(spark, folder, small_splits, way):
     valid, everything = instruction_files(folder, random.Random(3))
     assert spark.read.text(folder).rdd.getNumPartitions() > 10
     assert pairs(lines.read_numbered(spark, folder)) == valid
@@ -119,10 +130,11 @@ def test_lines_are_numbered_across_splits(spark, folder, small_splits):
 
 
 @pytest.mark.parametrize("many", [True, False])
-def test_numbers_do_not_depend_on_where_files_are_cut(spark, folder, many):
+def test_numbers_do_not_depend_on_where_files_are_cut(spark, folder, many, way, monkeypatch):
     """The number of cores may change between a call and the action on its result; Spark then cuts files elsewhere."""
     rows = [json.dumps({"instruction": f"i{i}", "input": "", "output": "o" * (i % 50)}) for i in range(20_000)]
     step = 2000 if many else len(rows)
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 100_000)
     for k in range(0, len(rows), step):
         write(folder, f"f{k:05d}.jsonl", rows[k : k + step])
     calls = {
@@ -150,7 +162,7 @@ def test_a_line_of_an_uncounted_split_is_an_error(spark, folder):
         broken.numbered().collect()
 
 
-def test_ranges_sort_and_shuffle_no_text(spark, folder, small_splits):
+def test_ranges_sort_and_shuffle_no_text(spark, folder, small_splits, way):
     instruction_files(folder, random.Random(5))
     for frame in (lines.head_rows(spark, folder, 300), lines.holdout_rows(spark, folder, 300, 50), lines.head_and_holdout(spark, folder, 100, 50)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
@@ -171,6 +183,88 @@ def test_lines_join_by_shuffle_beyond_the_broadcast_limit(spark, folder, monkeyp
     assert pairs(lines.read_numbered(spark, folder)) == valid
 
 
+def ranged(spark, path, **kept):
+    return ranges.RangedLines(spark, ranges.list_files(spark, path), jsonl.INSTRUCTION_SCHEMA, **kept)
+
+
+def test_a_head_of_one_huge_file_opens_its_first_ranges(spark, folder, monkeypatch):
+    rows = [json.dumps({"instruction": f"i{i}", "input": "", "output": "o" * (i % 90)}) for i in range(20_000)]
+    path = write(folder, "one.jsonl", rows)
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 20_000)
+    whole = ranged(spark, path)
+    assert len(whole.ranges) > 60
+    near = ranged(spark, path).reach(0, 300)
+    assert near.scanned == spark.sparkContext.defaultParallelism < 10
+    frame = near.numbered(0, near.nth_valid(300))
+    assert frame.rdd.getNumPartitions() <= 3 and pairs(frame) == [(i, f"i{i}") for i in range(300)]
+    # Ranges beyond are not opened: what they hold does not matter as long as the file keeps its length.
+    data = Path(path).read_bytes()
+    Path(path).write_bytes(data[:200_000] + b"\xff" * (len(data) - 200_000))
+    assert pairs(lines.head_rows(spark, path, 300)) == [(i, f"i{i}") for i in range(300)]
+    far = ranged(spark, path).reach(0, 10_000)
+    assert far.everything and far.scanned == len(far.ranges)
+
+
+def test_no_copy_of_the_text_is_written(spark, folder, monkeypatch):
+    path = write(folder, "one.jsonl", [json.dumps({"instruction": f"i{i}"}) for i in range(2_000)])
+    monkeypatch.setattr(lines, "materialize", None)
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 1_000)
+    assert lines.head_rows(spark, path, 700).count() == 700
+    assert lines.holdout_rows(spark, path, 700, 20).count() == 20
+
+
+def test_counts_are_kept_and_extended(spark, folder, monkeypatch):
+    path = write(folder, "one.jsonl", [json.dumps({"instruction": f"i{i}"}) for i in range(4_000)])
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 2_000)
+    index = f"{folder}/index"
+    first = ranged(spark, path, index=index).reach(0, 100)
+    again = ranged(spark, path, index=index).reach(0, 100)
+    assert first.scanned > 0 == again.scanned and first.counts == again.counts
+    further = ranged(spark, path, index=index).reach()
+    assert first.scanned + further.scanned == len(further.ranges) and sum(n for n, _ in further.counts) == 4_000
+    assert pairs(lines.holdout_rows(spark, path, 3_000, 5, index=index)) == [(i, f"i{i}") for i in range(3_000, 3_005)]
+    # A file that changed is counted anew.
+    write(folder, "one.jsonl", [json.dumps({"instruction": f"j{i}"}) for i in range(4_001)])
+    assert ranged(spark, path, index=index).reach().scanned > 0
+    assert lines.read_numbered(spark, path, index=index).count() == 4_001
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 11, 1_000])
+def test_line_ends_are_those_of_the_text_reader(spark, folder, monkeypatch, size):
+    """LF, CR and CR LF end lines, wherever a range or a block ends; a mark at the start of a file is none of its text."""
+    rng = random.Random(size)
+    monkeypatch.setattr(ranges, "RANGE_BYTES", size)
+    monkeypatch.setattr(ranges, "BLOCK_BYTES", max(1, size // 2))
+    ranges.line_source.cache_clear()
+    texts = [b"", b"\n", b"\r", b"\r\n", b"a", b"a\r\nb\rc\n\nd", b"\xef\xbb\xbfa\nb", b"a\r", b"\n\r\n\r", b"long line that spans ranges\nx"]
+    texts += [bytes(rng.choice(b"ab\r\n\n\r") for _ in range(rng.randrange(40))) for _ in range(4)]
+    for k, text in enumerate(texts):
+        (Path(folder) / f"f{k:02d}").write_bytes(text)
+    found = ranged(spark, folder).reach()
+    want = [r.value for k in range(len(texts)) for r in spark.read.text(f"{folder}/f{k:02d}").collect()]
+    monkeypatch.setattr(ranges, "records", lambda value, schema: F.array(value))
+    scan = found._scan([(k, sum(n for n, _ in found.counts[:k])) for k in range(len(found.ranges))], None)
+    got = sorted((r.line_no, r.record) for r in scan.collect())
+    ranges.line_source.cache_clear()
+    assert got == list(enumerate(want))
+
+
+def test_files_without_ranges_are_scanned(spark, folder):
+    rows = [json.dumps({"instruction": f"i{i}"}) for i in range(50)]
+    (Path(folder) / "a.jsonl.gz").write_bytes(gzip.compress("\n".join(rows).encode()))
+    assert not ranges.readable(ranges.list_files(spark, folder))
+    assert not ranges.readable([ranges.File("nosuch://place/a.jsonl", 10, 0)])
+    assert pairs(lines.head_rows(spark, folder, 10)) == [(i, f"i{i}") for i in range(10)]
+
+
+def test_a_file_that_changes_between_is_an_error(spark, folder):
+    path = write(folder, "one.jsonl", ['{"instruction":"a"}'] * 5)
+    frame = lines.head_rows(spark, path, 3)
+    write(folder, "one.jsonl", ['{"instruction":"a"}'] * 6)
+    with pytest.raises(Exception, match="bytes when it was listed"):
+        frame.collect()
+
+
 def test_training_log(spark, folder):
     rows = ['{"step":20,"loss":1.5,"lr":0.1}', '{"step":10,"loss":1.8}', '{"step":30,"train_runtime":9.0}']
     log = jsonl.read_training_log(spark, write(folder, "log.jsonl", rows))
