@@ -53,8 +53,7 @@ def run_tables(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _run.reset(outer)
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        delete_path(spark, path)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -67,4 +66,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and return that table."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more, not even a plan that has yet to run."""
+    for table in tables:
+        delete_path(table.sparkSession, table.written_to)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
