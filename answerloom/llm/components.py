@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.storage import materialize
+from answerloom.storage import discard, materialize
 
 
 def _state(links: DataFrame) -> tuple:
@@ -26,8 +26,8 @@ def components(links: DataFrame) -> DataFrame:
     ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]  # a < b
     links = materialize(links.filter("a is not null and b is not null").select(*ends).distinct(), "links")
     nodes = materialize(links.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+    before, state, last = None, _state(links.filter("a < b")), links
     links = links.filter("a < b")
-    before, state = None, _state(links)
     while state != before:
         both = links.union(links.select("b", "a"))  # node a and its neighbour b
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -36,6 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("b").agg(F.min("a").alias("m"))  # node b and its smaller neighbours a
         small = large.join(least, "b").select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b")), F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("x"))
         links = materialize(small.select("x.a", "x.b").filter("a < b").distinct(), "small-star")
+        discard(last, large)
+        last = links
         before, state = state, _state(links)
     return nodes.join(links.select(F.col("b").alias("node"), F.col("a").alias("component")), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component")

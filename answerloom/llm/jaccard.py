@@ -6,17 +6,21 @@
    at most D shingles: with the shingles dealt by hash into D + 1 (and some spare) parts, a linked pair agrees wholly in
    one part at least. Sets that agree in a part share a cell, and a cell has one pivot. So both ends
    of every link come to one pivot, and what shares only a passage seldom does.
-3. The distance of each candidate to its pivot is computed exactly. All within the threshold t are linked with the pivot,
-   so links among them add nothing to components. What is left of a region, the members beyond t, and those members
-   within t that the triangle inequality allows to be linked to them (distances to the pivot no more than t apart), are
-   joined among themselves recursively, with pivots of their own, in one group (a set none of
+3. Candidates are bounded before sets travel: by size, then by sketches, bitmaps of two to four bits a shingle. Common bits,
+   and the fewer of the shingles that share a bit within a set, bound what two sets share from above. For what this
+   leaves, mostly linked pairs, the distance to the pivot is computed exactly; of the rest a lower bound is known, which
+   is as good for what follows.
+4. All within the threshold t are linked with the pivot, so links among them add nothing to components. What is left of a
+   region, the members beyond t, and those members within t that the triangle inequality allows to be linked to them
+   (distances to the pivot no more than t apart), are first bounded among themselves by their sketches. The sets of those that
+   may have a partner are joined recursively, with pivots of their own, in one group (a set none of
    whose rarest shingles within the group is shared drops out first); a region above ``REGION_SHINGLES`` is
    dealt into blocks, each pair of which is a group.
-4. Components of the links.
+5. Components of the links.
 
 Crowded cells are reduced in the slice of rows where they arise (one member goes on, the others hang onto it), so a cell
-that a third of all rows share costs a member per slice. Texts are not shuffled in steps 1 and 2; in step 3 the sets
-of the candidates are.
+that a third of all rows share costs a member per slice. Texts are not shuffled in steps 1 and 2; after that sketches of the
+candidates are, and the sets of those that sketches do not settle. Tables are deleted as soon as nothing reads them.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from answerloom.llm.arrowtext import flat, gather, lower_ascii, mix64, pack, pieces, slices, unpack, word_hashes, words
 from answerloom.llm.common import joined, keep_rows, matching, row_key
 from answerloom.llm.components import components
-from answerloom.storage import materialize
+from answerloom.storage import discard, materialize
 
 WIDTH = 4
 LINK_PERCENT = 85  # 100 * intersection >= 85 * union
@@ -42,6 +46,7 @@ SLICE_MEMBERS = 16  # of a cell that a slice sends; of more it sends one, and th
 IDX_BITS = 16
 CELL_BITS = 64 - IDX_BITS
 SET_BYTES = 6  # of a shingle hash, where sets are compared
+SKETCH_BITS = 6  # a sketch has 2^6 bits at least
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -240,6 +245,73 @@ def shared_count(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum()) if len(b) else 0
 
 
+def sketches(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """A bitmap for each set of sorted hashes, by their leading bits: the least power of two of twice its size or more."""
+    out = []
+    for end, n in zip(np.cumsum(counts).tolist(), counts.tolist(), strict=True):
+        level = max(SKETCH_BITS, (2 * n - 1).bit_length())
+        bits = np.zeros(1 << level, np.uint8)
+        bits[(values[end - n : end] >> np.uint64(64 - level)).astype(np.int64)] = 1
+        out.append(np.packbits(bits).tobytes())
+    return out
+
+
+def folded(sketch: bytes, n_bytes: int) -> np.ndarray:
+    """A sketch as one of fewer bits, as 64-bit words."""
+    bits = np.frombuffer(sketch, np.uint8)
+    if len(bits) > n_bytes:
+        bits = np.packbits(np.unpackbits(bits).reshape(8 * n_bytes, -1).any(1))
+    return bits.view(np.uint64)
+
+
+def most_shared(sketch: np.ndarray, others: np.ndarray, n: int, n_others: np.ndarray) -> np.ndarray:
+    """Upper bounds of what a set shares with others, from sketches of one size.
+
+    Sets share at most one shingle for each common bit, and besides only shingles beyond the first of a bit in both.
+    """
+    common = np.bitwise_count(others & sketch).sum(1, dtype=np.int64)
+    beyond = n - int(np.bitwise_count(sketch).sum())
+    beyond_others = n_others - np.bitwise_count(others).sum(1, dtype=np.int64)
+    return np.minimum(common + np.minimum(beyond, beyond_others), np.minimum(n, n_others))
+
+
+def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(x, pivot, n_x, n_pivot, most) from rows that hold both sketches."""
+    for batch in batches:
+        n_x, n_pivot = (batch.column(c).to_numpy() for c in ("n_x", "n_pivot"))
+        most = []
+        for a, b, i, j in zip(batch.column("x_sketch"), batch.column("pivot_sketch"), n_x.tolist(), n_pivot, strict=True):
+            a, b = a.as_py(), b.as_py()
+            size = min(len(a), len(b))
+            most.append(int(most_shared(folded(a, size), folded(b, size)[None], i, np.array([j]))[0]))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("x", "pivot", "n_x", "n_pivot")), pa.array(most, pa.int64())], names=["x", "pivot", "n_x", "n_pivot", "most"])
+
+
+def possible(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """(group, x) of the members of a group of (group, x, n, distance, linked, sketch) that may have a partner in it."""
+        table = table.combine_chunks()
+        keys = table.column("x").to_numpy()
+        _, first = np.unique(keys, return_index=True)
+        table, keys = table.take(pa.array(first)), keys[first]
+        n, distance = table.column("n").to_numpy(), table.column("distance").to_numpy()
+        beyond = ~table.column("linked").to_numpy(zero_copy_only=False)
+        sent = table.column("sketch").to_pylist()
+        size = min(map(len, sent))
+        bits = np.stack([folded(s, size) for s in sent])
+        t = 1 - percent / 100 + 1e-9
+        out = np.zeros(len(keys), bool)
+        for y in np.flatnonzero(beyond):
+            most = most_shared(bits[y], bits, int(n[y]), n)
+            may = (100 * most >= percent * (n + n[y] - most)) & (beyond | (distance[y] - distance <= t))
+            may[y] = False
+            out |= may
+            out[y] |= may.any()
+        return pa.table({"group": table.column("group").take(pa.array(np.flatnonzero(out))), "x": keys[out]})
+
+    return run
+
+
 def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(x, pivot, n_x, n_pivot, shared) from rows that hold both sets."""
     for batch in (part for whole in batches for part in slices(whole, "x_set", SLICE_BYTES)):
@@ -356,6 +428,15 @@ def set_rows(width: int):
     return run
 
 
+def sketch_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in pieces(batches, "text", SLICE_BYTES):
+            sent = sketches(*shingle_sets(*flat(part.column("text")), width))
+            yield pa.RecordBatch.from_arrays([part.column("row_key"), pa.array(sent, pa.binary())], names=["row_key", "sketch"])
+
+    return run
+
+
 def size_rows(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "text", SLICE_BYTES):
@@ -383,28 +464,42 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     several = classes.filter("of > 1").select(*kinds, "class", "class_id")
     members = joined(sizes, several, kinds, "left", "several").select("id", "row_key", "n", F.coalesce("class", "row_key").alias("class"), F.coalesce("class_id", "id").alias("class_id"))
     members = materialize(members, "classes")
+    discard(sizes)
 
     total = df.agg(F.sum(F.octet_length(text_col)).alias("n")).first().n or 0
     n_buckets = max(1, -(-total // BUCKET_BYTES))
     found = texts.select("row_key", "text").mapInArrow(cell_rows(n_buckets, percent, width), "bucket int, cells binary, keys binary")
     found = found.groupBy("bucket").applyInArrow(pivot_rows, "x long, pivot long, local boolean").distinct()
-    of = members.filter("n > 0").select("row_key", "class").distinct()
-    found = found.join(of.toDF("x", "cx"), "x").join(of.toDF("pivot", "cp"), "pivot").select(F.col("cx").alias("x"), F.col("cp").alias("pivot"), "local")
+    of = members.filter("n > 0").select("row_key", "class", "n").distinct()
+    found = found.join(of.toDF("x", "cx", "n_x"), "x").join(of.toDF("pivot", "cp", "n_pivot"), "pivot").select(F.col("cx").alias("x"), F.col("cp").alias("pivot"), "n_x", "n_pivot", "local")
     found = materialize(found.filter("x != pivot").distinct(), "pivots")
     # What hangs onto a set within its slice also comes to that set's pivots.
-    onward = found.filter("local").select("x", F.col("pivot").alias("via")).join(found.filter("not local").select(F.col("x").alias("via"), "pivot"), "via")
-    pairs = materialize(found.select("x", "pivot").union(onward.select("x", "pivot")).filter("x != pivot").distinct(), "candidates")
-
-    wanted = pairs.select(F.explode(F.array("x", "pivot")).alias("row_key")).distinct()
-    sets = _sets(texts, wanted, width)
-    both = pairs.join(sets.toDF("x", "x_set"), "x").join(sets.toDF("pivot", "pivot_set"), "pivot")
-    distances = both.mapInArrow(compared, "x long, pivot long, n_x long, n_pivot long, shared long")
+    onward = found.filter("local").select("x", "n_x", F.col("pivot").alias("via"))
+    onward = onward.join(found.filter("not local").select(F.col("x").alias("via"), "pivot", "n_pivot"), "via")
+    columns = ["x", "pivot", "n_x", "n_pivot"]
+    pairs = materialize(found.select(*columns).union(onward.select(*columns)).filter("x != pivot").distinct(), "candidates")
+    discard(found)
+
+    # Bounds first, so that no set is sent for a pair that its sizes or sketches tell apart.
+    smaller, larger = F.least("n_x", "n_pivot"), F.greatest("n_x", "n_pivot")
+    near = 100 * smaller >= percent * larger
+    drawn = _of_texts(texts, _ends(pairs), sketch_rows(width), "row_key long, sketch binary", "sketches")
+    both = pairs.filter(near).join(drawn.toDF("x", "x_sketch"), "x").join(drawn.toDF("pivot", "pivot_sketch"), "pivot")
+    bounds = both.mapInArrow(bounded, "x long, pivot long, n_x long, n_pivot long, most long")
+    bounds = materialize(bounds.unionByName(pairs.filter(~near).withColumn("most", smaller)), "bounds")
+    open_ = 100 * F.col("most") >= percent * (F.col("n_x") + F.col("n_pivot") - F.col("most"))
+    sets = _of_texts(texts, _ends(bounds.filter(open_)), set_rows(width), "row_key long, set binary", "sets")
+    both = bounds.filter(open_).select("x", "pivot").join(sets.toDF("x", "x_set"), "x").join(sets.toDF("pivot", "pivot_set"), "pivot")
+    exact = both.mapInArrow(compared, "x long, pivot long, n_x long, n_pivot long, shared long").withColumn("exact", F.lit(True))
+    rest = bounds.filter(~open_).withColumnRenamed("most", "shared").withColumn("exact", F.lit(False))
     union = F.col("n_x") + F.col("n_pivot") - F.col("shared")
-    distances = distances.distinct().select("x", "pivot", "n_x", (100 * F.col("shared") >= percent * union).alias("linked"), (1 - F.col("shared") / union).alias("distance"))
+    linked = F.col("exact") & (100 * F.col("shared") >= percent * union)
+    distances = exact.unionByName(rest).select("x", "pivot", "n_x", linked.alias("linked"), (1 - F.col("shared") / union).alias("distance"))
     distances = materialize(distances, "distances")
+    discard(pairs, bounds, sets)
 
     links = distances.filter("linked").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-    links = links.union(_region_links(distances, sets, percent))
+    links = links.union(_region_links(distances, texts, drawn, percent, width))
     found = components(links)
     ids = members.select(F.col("class").alias("node"), "class_id").distinct()
     named = found.join(ids, "node").groupBy("component").agg(F.min("class_id").alias("component_id"))
@@ -429,14 +524,20 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     return keep_rows(df, id_col, text_col, several.filter("not stays"), several.filter("stays and n > 1"), several.count())
 
 
-def _sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(row_key, set) of the wanted rows, written to the shared folder."""
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("x", "pivot")).alias("row_key")).distinct()
+
+
+def _of_texts(texts: DataFrame, wanted: DataFrame, function, schema: str, name: str) -> DataFrame:
+    """What ``function`` makes of the wanted rows' texts, written to the shared folder."""
     wanted = materialize(wanted, "wanted")
     rows = matching(texts.select("row_key", "text"), wanted, wanted.count(), ["row_key"])
-    return materialize(rows.mapInArrow(set_rows(width), "row_key long, set binary"), "sets")
+    rows = materialize(rows.mapInArrow(function, schema).dropDuplicates(["row_key"]), name)
+    discard(wanted)
+    return rows
 
 
-def _region_links(distances: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _region_links(distances: DataFrame, texts: DataFrame, drawn: DataFrame, percent: int, width: int) -> DataFrame:
     """(a, b) links among the members of each region that its pivot does not settle."""
     t = 1 - percent / 100 + 1e-9
     open_ = distances.groupBy("pivot").agg(
@@ -448,6 +549,11 @@ def _region_links(distances: DataFrame, sets: DataFrame, percent: int) -> DataFr
     rows = joined(rows, sizes, ["pivot"], "inner", "region-sizes").withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     group = F.xxhash64("pivot", F.least("block", "other"), F.greatest("block", "other"))
-    rows = rows.select(group.alias("group"), "x", "distance", "linked").distinct()
-    rows = rows.join(sets.toDF("x", "set"), "x")
-    return rows.groupBy("group").applyInArrow(joined_region(percent), "a long, b long").distinct()
+    rows = materialize(rows.select(group.alias("group"), "x", F.col("n_x").alias("n"), "distance", "linked").distinct(), "region-members")
+    found = rows.join(drawn.toDF("x", "sketch"), "x").groupBy("group").applyInArrow(possible(percent), "group long, x long")
+    found = materialize(found, "possible-members")
+    sets = _of_texts(texts, found.select(F.col("x").alias("row_key")).distinct(), set_rows(width), "row_key long, set binary", "region-sets")
+    rows = rows.join(found, ["group", "x"], "left_semi").select("group", "x", "distance", "linked").join(sets.toDF("x", "set"), "x")
+    links = materialize(rows.groupBy("group").applyInArrow(joined_region(percent), "a long, b long").distinct(), "region-links")
+    discard(drawn, found, sets)
+    return links

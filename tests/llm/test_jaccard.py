@@ -2,6 +2,7 @@ import itertools
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from answerloom.llm import jaccard
@@ -85,3 +86,19 @@ def test_shingles_of_five_words(spark, families, monkeypatch):
     df = spark.createDataFrame(families, "doc_id long, text string, source string").repartition(3)
     found = jaccard.jaccard_components(df, percent=80, width=5).collect()
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == Counter(expected(families, 80)[0])
+
+
+def test_sketches_bound_what_sets_share():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 31, 32, 33, 500, 3000):
+        for share in (0.0, 0.3, 0.8, 0.95, 1.0):
+            m = max(1, int(n * rng.uniform(0.8, 1.2)))
+            common = rng.integers(0, 1 << 64, int(share * min(n, m)), np.uint64)
+            a, b = (np.unique(np.concatenate([common, rng.integers(0, 1 << 64, k - len(common), np.uint64)])) for k in (n, m))
+            sent = [jaccard.sketches(x, np.array([len(x)]))[0] for x in (a, b)]
+            size = min(map(len, sent))
+            most = jaccard.most_shared(jaccard.folded(sent[0], size), jaccard.folded(sent[1], size)[None], len(a), np.array([len(b)]))[0]
+            shared = len(np.intersect1d(a, b))
+            assert shared <= most <= min(len(a), len(b))
+            if n >= 500 and share <= 0.3:
+                assert most < 0.8 * min(len(a), len(b))  # strangers that share a passage are told apart
