@@ -9,7 +9,8 @@ from dataclasses import dataclass
 class PrepConfig:
     """Row filters and the content key. Length bounds are inclusive and count characters of the cleaned text.
 
-    ``content_prefix`` is how many characters of each side make the content key; None: all.
+    ``content_prefix`` is how many characters of each side make the content key; None: all. With ``linked_duplicates`` one row
+    stays of all that share a uid or a content key, however long the chain; otherwise uids and content keys are two passes.
     """
 
     # The default thresholds.
@@ -19,6 +20,7 @@ class PrepConfig:
     max_answer_len: int = 4000
     min_question_score: int = 5
     content_prefix: int | None = 200
+    linked_duplicates: bool = False
 
     def __post_init__(self):
         if self.min_question_len > self.max_question_len or self.min_answer_len > self.max_answer_len:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions.numbers import hash_bucket, percent
 from answerloom.functions.text import token_count
+from answerloom.operators.packing import following
 
 # Fixed value: the default training template. Its text up to {OUTPUT} is the inference prompt.
 CHAT_TEMPLATE = """Below are some instructions that describe some tasks. Write responses that appropriately complete each request.
@@ -189,7 +190,8 @@ def pack_sequences(df: DataFrame, key: str, tokens: str, shards: int, budget: in
 
     Rows are spread over ``shards`` shards by the hash of their key. Within a shard, which one task sorts and packs, they
     are taken in key order, and a sequence is closed when the next row would exceed ``budget``. A row above the budget has a
-    sequence to itself. Only keys and counts are shuffled. A null key or count is an error.
+    sequence to itself. Only keys and counts are shuffled. A null key or count is an error. ``packing.pack_in_order`` needs no
+    shards.
     """
     narrow = df.select(
         hash_bucket(F.col(key), shards).alias("shard"),
@@ -198,20 +200,17 @@ def pack_sequences(df: DataFrame, key: str, tokens: str, shards: int, budget: in
     )
     schema = f"shard long, pack_id long, ids array<{narrow.schema['id'].dataType.simpleString()}>, n_tokens long"
 
+    packs = following(budget)
+
     # A closure travels to the Python workers by value, so they need not have this package installed.
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        packed: list[tuple[int, int, list, int]] = []
         ordered = rows.sort_values("id")
+        sums, after = packs(ordered["n"].to_numpy())
+        ids, starts = ordered["id"].tolist(), [0]
+        while (start := int(after[starts[-1]])) < len(ids):
+            starts.append(start)
         shard = int(rows["shard"].iloc[0])
-        ids: list = []
-        filled = 0
-        for row_id, n in zip(ordered["id"].tolist(), ordered["n"].tolist()):
-            if ids and filled + n > budget:
-                packed.append((shard, len(packed), ids, filled))
-                ids, filled = [], 0
-            ids.append(row_id)
-            filled += n
-        packed.append((shard, len(packed), ids, filled))
+        packed = [(shard, k, ids[a:b], int(sums[b] - sums[a])) for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)]))]
         return pd.DataFrame(packed, columns=["shard", "pack_id", "ids", "n_tokens"])
 
     return narrow.groupBy("shard").applyInPandas(pack, schema)

@@ -61,6 +61,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--max-answer-len", type=int, default=cfg.max_answer_len)
     parser.add_argument("--min-question-score", type=int, default=cfg.min_question_score)
     parser.add_argument("--content-prefix", type=int, default=cfg.content_prefix, help="0: whole texts")
+    parser.add_argument("--linked-duplicates", action="store_true", help="one row of all that a uid or content key connects")
     parser.add_argument("--seed", type=int, default=splits.seed)
     given = parser.parse_args(arguments)
     cfg = PrepConfig(
@@ -70,6 +71,7 @@ def main(arguments: list[str] | None = None) -> None:
         given.max_answer_len,
         given.min_question_score,
         given.content_prefix or None,
+        given.linked_duplicates,
     )
     spark = SparkSession.builder.appName("corpus preparation").getOrCreate()
     with run_tables(spark):

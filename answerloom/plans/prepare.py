@@ -17,6 +17,7 @@ from answerloom.functions.text import with_cleaned
 from answerloom.operators.dedup import KEY_COLUMNS, dedup_content, dedup_uid
 from answerloom.operators.filters import has_text, length_in_band, scored_enough, with_lengths
 from answerloom.operators.funnel import funnel, require_rows
+from answerloom.operators.linked import dedup_linked
 from answerloom.operators.profile import (
     density_profile,
     display_share,
@@ -121,7 +122,8 @@ def prepare(
     digests = {c: F.unhex(c) for c in ("content_hash", "text_md5")}
     narrow = kept.select(*KEY_COLUMNS, *ties[:-2], "stage_id").withColumns(digests)
     by_uid = materialize(dedup_uid(narrow, ties), "by-uid")
-    survivors = materialize(dedup_content(by_uid, ties).select("stage_id"), "survivors")
+    survivors = dedup_linked(materialize(narrow, "keys"), ties) if cfg.linked_duplicates else dedup_content(by_uid, ties)
+    survivors = materialize(survivors.select("stage_id"), "survivors")
     n_uid, n_content = by_uid.count(), survivors.count()
 
     # Beyond the broadcast bound both sides are sorted, which spills where a hashed side would have to fit in memory.

@@ -443,6 +443,13 @@ ORACLES: dict[str, str] = {
     "dedup_uid": f"WITH {DEDUP} SELECT row_id, uid FROM by_uid",
     "dedup_content": f"""WITH {DEDUP} SELECT row_id, content_hash FROM scored QUALIFY row_number() OVER (
         PARTITION BY content_hash ORDER BY q_score DESC, a_len DESC, text_md5, row_id) = 1""",
+    "dedup_linked": f"""WITH RECURSIVE {DEDUP},
+        e AS MATERIALIZED (SELECT DISTINCT uid, content_hash FROM scored),
+        l AS MATERIALIZED (SELECT DISTINCT a.uid AS u, b.uid AS v FROM e a JOIN e b ON a.content_hash = b.content_hash),
+        r(u, v) AS (SELECT u, v FROM l UNION SELECT r.u, l.v FROM r JOIN l ON l.u = r.v),
+        c AS (SELECT u, min(v) AS component FROM r GROUP BY u)
+        SELECT row_id, scored.uid, content_hash FROM scored JOIN c ON c.u = scored.uid
+        QUALIFY row_number() OVER (PARTITION BY component ORDER BY q_score DESC, a_len DESC, text_md5, row_id) = 1""",
     "dedup_two_pass": f"WITH {DEDUP} SELECT row_id, uid, content_hash FROM by_content",
     "split_hash": f"WITH {CLEAN} SELECT row_id, content_hash, split FROM clean",
     "split_counts": f"""WITH {CLEAN} SELECT s.split, count(c.row_id) AS n,
@@ -469,6 +476,15 @@ ORACLES: dict[str, str] = {
         {PROMPT_TEXT} AS prompt FROM clean WHERE split = 'test' ORDER BY md5('42|' || content_hash), content_hash LIMIT 50""",
     "split_random": f"WITH {CLEAN} SELECT row_id, true AS known, true AS repeats FROM clean",
     "pack_sequences": packs(),
+    "pack_in_order": f"""WITH RECURSIVE items AS (
+          SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, {token_count('text')} AS n FROM documents),
+        walk(i, doc_id, n, pack_id, filled) AS (
+          SELECT 0::bigint, NULL::bigint, 0::bigint, -1::bigint, 513::bigint
+          UNION ALL
+          SELECT items.i, items.doc_id, items.n, CASE WHEN filled + items.n > 512 THEN pack_id + 1 ELSE pack_id END,
+                 CASE WHEN filled + items.n > 512 THEN items.n ELSE filled + items.n END
+          FROM walk JOIN items ON items.i = walk.i + 1)
+        SELECT pack_id, string_agg(doc_id::varchar, ',' ORDER BY doc_id) AS ids, sum(n)::bigint AS n_tokens FROM walk WHERE i > 0 GROUP BY 1""",
     "collect_turns": """SELECT conv_id, turn // 64 AS part,
         (row_number() OVER (PARTITION BY conv_id, turn // 64 ORDER BY turn) - 1)::integer AS pos, role, text AS content
         FROM conversations""",

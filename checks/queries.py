@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions import scoring, text
 from answerloom.functions.features import dollar_count, has_display_math
-from answerloom.operators import chat, dedup, evaluate, filters, profile, shape, split
+from answerloom.operators import chat, dedup, evaluate, filters, linked, packing, profile, shape, split
 from answerloom.plans import chat_corpus
 from answerloom.plans.prepare import CLEAN_COLUMNS
 from answerloom.sources import jsonl, lines, sinks
@@ -338,6 +338,13 @@ def dedup_two_pass(spark, sf_dir):
     return dedup.dedup_two_pass(qa_scored(spark, sf_dir)).select("row_id", "uid", "content_hash")
 
 
+@query
+def dedup_linked(spark, sf_dir):
+    """One row of all that a uid or a content hash connects; the third of the rows without metadata share a uid."""
+    rows = materialize(qa_scored(spark, sf_dir).select("row_id", *dedup.KEY_COLUMNS), "scored-keys")
+    return linked.dedup_linked(rows).select("row_id", "uid", "content_hash")
+
+
 @query
 def split_hash(spark, sf_dir):
     return prepared(spark, sf_dir).clean.select("row_id", "content_hash", "split")
@@ -433,6 +440,13 @@ def pack_sequences(spark, sf_dir):
     return packs.withColumn("ids", F.array_join(F.transform("ids", lambda i: i.cast("string")), ","))
 
 
+@query
+def pack_in_order(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.token_count(F.col("text")).alias("tokens"))
+    packs = packing.pack_in_order(docs, "doc_id", "tokens", chat.MAX_TOKENS)
+    return packs.withColumn("ids", F.array_join(F.transform("ids", lambda i: i.cast("string")), ","))
+
+
 @query
 def collect_turns(spark, sf_dir):
     return _turn_rows(chat.collect_turns(table(spark, sf_dir, "conversations")), "conv_id", "part")
