@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,6 +117,16 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, most
             size, rows = size + n, rows + part.num_rows
     if held:
         yield _joined(held)
+        held = []
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a reused worker would otherwise hold what its largest task once took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -6,16 +6,17 @@
    at most D shingles: with the shingles dealt by hash into D + 1 (and some spare) parts, a linked pair agrees wholly in
    one part at least. Sets that agree in a part share a cell, and a cell has one pivot. So both ends
    of every link come to one pivot, and what shares only a passage seldom does.
-3. Candidates are bounded before sets travel: by size, then by sketches, bitmaps of two to four bits a shingle. Common bits,
+3. Candidates are bounded before sets travel: by size, then by sketches, bitmaps of one to two bits a shingle. Common bits,
    and the fewer of the shingles that share a bit within a set, bound what two sets share from above. For what this
    leaves, mostly linked pairs, the distance to the pivot is computed exactly; of the rest a lower bound is known, which
    is as good for what follows.
 4. All within the threshold t are linked with the pivot, so links among them add nothing to components. What is left of a
    region, the members beyond t, and those members within t that the triangle inequality allows to be linked to them
-   (distances to the pivot no more than t apart), are first bounded among themselves by their sketches. The sets of those that
-   may have a partner are joined recursively, with pivots of their own, in one group (a set none of
-   whose rarest shingles within the group is shared drops out first); a region above ``REGION_SHINGLES`` is
-   dealt into blocks, each pair of which is a group.
+   (distances to the pivot no more than t apart), are first bounded among themselves by their sketches. Those that may have
+   a partner fall into parts that sketches tell apart; parts of several regions that have members in common are one. The sets of a part are
+   joined recursively, with pivots of their own, in one group (a set none of
+   whose rarest shingles within the group is shared drops out first). Regions above ``SKETCHED_SHINGLES`` and parts above
+   ``REGION_SHINGLES`` are dealt into blocks, each pair of which is a group.
 5. Components of the links.
 
 Crowded cells are reduced in the slice of rows where they arise (one member goes on, the others hang onto it), so a cell
@@ -42,6 +43,7 @@ LINK_PERCENT = 85  # 100 * intersection >= 85 * union
 SLICE_BYTES = 2 << 20
 BUCKET_BYTES = 64 << 20  # text whose cells one task reduces
 REGION_SHINGLES = 1_000_000
+SKETCHED_SHINGLES = 4_000_000  # of a block whose sketches one task compares
 SLICE_MEMBERS = 16  # of a cell that a slice sends; of more it sends one, and the others hang onto that
 IDX_BITS = 16
 CELL_BITS = 64 - IDX_BITS
@@ -246,10 +248,10 @@ def shared_count(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def sketches(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    """A bitmap for each set of sorted hashes, by their leading bits: the least power of two of twice its size or more."""
+    """A bitmap for each set of sorted hashes, by their leading bits: as many bits as it has hashes, up to a power of two."""
     out = []
     for end, n in zip(np.cumsum(counts).tolist(), counts.tolist(), strict=True):
-        level = max(SKETCH_BITS, (2 * n - 1).bit_length())
+        level = max(SKETCH_BITS, (n - 1).bit_length())
         bits = np.zeros(1 << level, np.uint8)
         bits[(values[end - n : end] >> np.uint64(64 - level)).astype(np.int64)] = 1
         out.append(np.packbits(bits).tobytes())
@@ -289,25 +291,39 @@ def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def possible(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        """(group, x) of the members of a group of (group, x, n, distance, linked, sketch) that may have a partner in it."""
+        """(h1, h2, x, n) of the members of a group that may have a partner in it, by the parts they may connect to.
+
+        Rows are (x, label, n, distance, linked, block, sketch); two blocks are compared with one another, one with itself, and
+        what has one label is connected already. A part is named by 128 bits of its members, so that what meets in several
+        regions is one part.
+        """
         table = table.combine_chunks()
         keys = table.column("x").to_numpy()
         _, first = np.unique(keys, return_index=True)
         table, keys = table.take(pa.array(first)), keys[first]
-        n, distance = table.column("n").to_numpy(), table.column("distance").to_numpy()
+        n, distance, block, label = (table.column(c).to_numpy() for c in ("n", "distance", "block", "label"))
         beyond = ~table.column("linked").to_numpy(zero_copy_only=False)
         sent = table.column("sketch").to_pylist()
         size = min(map(len, sent))
         bits = np.stack([folded(s, size) for s in sent])
         t = 1 - percent / 100 + 1e-9
-        out = np.zeros(len(keys), bool)
+        one = bool((block == block[0]).all())
+        part = np.arange(len(keys))
         for y in np.flatnonzero(beyond):
-            most = most_shared(bits[y], bits, int(n[y]), n)
-            may = (100 * most >= percent * (n + n[y] - most)) & (beyond | (distance[y] - distance <= t))
-            may[y] = False
-            out |= may
-            out[y] |= may.any()
-        return pa.table({"group": table.column("group").take(pa.array(np.flatnonzero(out))), "x": keys[out]})
+            others = np.flatnonzero((beyond | (distance[y] - distance <= t)) & (label != label[y]) & (one | (block != block[y])))
+            most = most_shared(bits[y], bits[others], int(n[y]), n[others])
+            may = others[100 * most >= percent * (n[others] + n[y] - most)]
+            parts = np.unique(part[np.append(may, y)])
+            if len(parts) > 1:
+                part[np.isin(part, parts)] = parts[0]
+        _, part, often = np.unique(part, return_inverse=True, return_counts=True)
+        own = np.flatnonzero(often[part] > 1)
+        names = []
+        for seed in (0x5EED, 0xBEEF):
+            sums = np.zeros(len(often), np.uint64)
+            np.add.at(sums, part, mix64(keys.view(np.uint64) ^ np.uint64(seed)))
+            names.append(sums[part[own]].view(np.int64))
+        return pa.table({"h1": names[0], "h2": names[1], "x": keys[own], "n": n[own]})
 
     return run
 
@@ -388,27 +404,18 @@ class Region:
 
 def joined_region(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        """(a, b) links of one group of (group, x, distance, linked, set)."""
+        """(a, b) links that connect all linked members of one group of (x, set)."""
         table = table.combine_chunks()
         keys = table.column("x").to_numpy()
         _, first = np.unique(keys, return_index=True)
         table, keys = table.take(pa.array(first)), keys[first]
         data, offsets = flat(table.column("set"))
         values, counts = from_bytes(data), np.diff(offsets) // SET_BYTES
-        beyond = ~table.column("linked").to_numpy(zero_copy_only=False)
-        distance, t = table.column("distance").to_numpy(), 1 - percent / 100 + 1e-9
         open_ = may_link(values, counts, percent)
         region = Region(values[np.repeat(open_, counts)], counts[open_], percent)
-        keys, beyond, distance = keys[open_], beyond[open_], distance[open_]
+        keys = keys[open_]
         links: list[tuple[int, int]] = []
-        inner = np.flatnonzero(~beyond)
-        for y in np.flatnonzero(beyond):
-            window = inner[np.abs(distance[inner] - distance[y]) <= t]
-            if len(window):
-                hit, _ = region.linked(y, window)
-                if hit.any():  # those within are connected through the region's pivot
-                    links.append((int(y), int(window[hit.argmax()])))
-        region.join(np.flatnonzero(beyond), links)
+        region.join(np.arange(len(keys)), links)
         ends = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": keys[ends[:, 0]], "b": keys[ends[:, 1]]})
 
@@ -488,18 +495,27 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     bounds = both.mapInArrow(bounded, "x long, pivot long, n_x long, n_pivot long, most long")
     bounds = materialize(bounds.unionByName(pairs.filter(~near).withColumn("most", smaller)), "bounds")
     open_ = 100 * F.col("most") >= percent * (F.col("n_x") + F.col("n_pivot") - F.col("most"))
-    sets = _of_texts(texts, _ends(bounds.filter(open_)), set_rows(width), "row_key long, set binary", "sets")
-    both = bounds.filter(open_).select("x", "pivot").join(sets.toDF("x", "x_set"), "x").join(sets.toDF("pivot", "pivot_set"), "pivot")
-    exact = both.mapInArrow(compared, "x long, pivot long, n_x long, n_pivot long, shared long").withColumn("exact", F.lit(True))
-    rest = bounds.filter(~open_).withColumnRenamed("most", "shared").withColumn("exact", F.lit(False))
-    union = F.col("n_x") + F.col("n_pivot") - F.col("shared")
-    linked = F.col("exact") & (100 * F.col("shared") >= percent * union)
-    distances = exact.unionByName(rest).select("x", "pivot", "n_x", linked.alias("linked"), (1 - F.col("shared") / union).alias("distance"))
-    distances = materialize(distances, "distances")
-    discard(pairs, bounds, sets)
-
-    links = distances.filter("linked").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-    links = links.union(_region_links(distances, texts, drawn, percent, width))
+    left = materialize(bounds.filter(open_), "open-pairs")
+    # Each set's least pivot first. A pair that one pivot, linked with both, connects already needs no sets.
+    first = materialize(left.join(left.groupBy("x").agg(F.min("pivot").alias("pivot")), ["x", "pivot"], "left_semi"), "first-pairs")
+    done = _exact(texts, first, percent, width)
+    label = done.filter("linked").select(F.col("x").alias("node"), F.col("pivot").alias("label"))
+    second = left.join(first.select("x", "pivot"), ["x", "pivot"], "left_anti")
+    second = joined(second, label.toDF("x", "x_label"), ["x"], "left", "labels").join(label.toDF("pivot", "pivot_label"), "pivot", "left")
+    connected = F.coalesce("x_label", "x") == F.coalesce("pivot_label", "pivot")
+    second = materialize(second.withColumn("connected", connected), "second-pairs")
+    more = _exact(texts, second.filter("NOT connected").drop("connected", "x_label", "pivot_label"), percent, width)
+    columns = ["x", "pivot", "n_x", "linked", "distance"]
+    t = 1 - percent / 100
+    through = second.filter("connected").withColumns({"linked": F.lit(True), "distance": F.lit(2 * t)})  # at most, over their pivot
+    union = F.col("n_x") + F.col("n_pivot") - F.col("most")
+    rest = bounds.filter(~open_).withColumns({"linked": F.lit(False), "distance": 1 - F.col("most") / union})  # at least
+    distances = materialize(done.select(*columns).unionByName(more.select(*columns)).unionByName(through.select(*columns)).unionByName(rest.select(*columns)), "distances")
+    links = done.union(more).filter("linked").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
+    links = materialize(links, "pivot-links")
+    discard(pairs, bounds, left, first, done, second, more)
+
+    links = links.union(_region_links(distances, links, texts, drawn, percent, width))
     found = components(links)
     ids = members.select(F.col("class").alias("node"), "class_id").distinct()
     named = found.join(ids, "node").groupBy("component").agg(F.min("class_id").alias("component_id"))
@@ -537,23 +553,45 @@ def _of_texts(texts: DataFrame, wanted: DataFrame, function, schema: str, name:
     return rows
 
 
-def _region_links(distances: DataFrame, texts: DataFrame, drawn: DataFrame, percent: int, width: int) -> DataFrame:
-    """(a, b) links among the members of each region that its pivot does not settle."""
+def _exact(texts: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
+    """(x, pivot, n_x, linked, distance) of pairs, from their sets."""
+    sets = _of_texts(texts, _ends(pairs), set_rows(width), "row_key long, set binary", "sets")
+    both = pairs.select("x", "pivot").join(sets.toDF("x", "x_set"), "x").join(sets.toDF("pivot", "pivot_set"), "pivot")
+    found = both.mapInArrow(compared, "x long, pivot long, n_x long, n_pivot long, shared long")
+    union = F.col("n_x") + F.col("n_pivot") - F.col("shared")
+    linked = 100 * F.col("shared") >= percent * union
+    found = materialize(found.select("x", "pivot", "n_x", linked.alias("linked"), (1 - F.col("shared") / union).alias("distance")), "exact")
+    discard(sets)
+    return found
+
+
+def _paired_blocks(rows: DataFrame, by: list[str], most: int) -> DataFrame:
+    """``rows`` (x, n, ...) with ``group`` and ``block``: what ``by`` names in blocks of ``most`` shingles, each pair of which is a group."""
+    sizes = rows.groupBy(by).agg(F.sum("n").alias("shingles"), F.count("*").alias("members"))
+    sizes = sizes.filter("members > 1").select(*by, F.ceil(F.col("shingles") / most).cast("int").alias("blocks"))
+    rows = joined(rows, sizes, by, "inner", "sizes").withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.xxhash64(*by, F.least("block", "other"), F.greatest("block", "other"))
+    return rows.withColumn("group", group).drop("other", "blocks")
+
+
+def _region_links(distances: DataFrame, known: DataFrame, texts: DataFrame, drawn: DataFrame, percent: int, width: int) -> DataFrame:
+    """(a, b) links among the members of each region that its pivot does not settle, beside the ``known`` (a, b: pivot)."""
     t = 1 - percent / 100 + 1e-9
     open_ = distances.groupBy("pivot").agg(
         F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest"), F.count(F.when(~F.col("linked"), 1)).alias("beyond")
     )
     rows = joined(distances, open_.filter("beyond > 0"), ["pivot"], "inner", "open-regions").filter(~F.col("linked") | (F.col("distance") >= F.col("nearest") - t))
-    sizes = rows.groupBy("pivot").agg(F.sum("n_x").alias("shingles"), F.count("*").alias("members"))
-    sizes = sizes.filter("members > 1").select("pivot", F.ceil(F.col("shingles") / REGION_SHINGLES).cast("int").alias("blocks"))
-    rows = joined(rows, sizes, ["pivot"], "inner", "region-sizes").withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    group = F.xxhash64("pivot", F.least("block", "other"), F.greatest("block", "other"))
-    rows = materialize(rows.select(group.alias("group"), "x", F.col("n_x").alias("n"), "distance", "linked").distinct(), "region-members")
-    found = rows.join(drawn.toDF("x", "sketch"), "x").groupBy("group").applyInArrow(possible(percent), "group long, x long")
-    found = materialize(found, "possible-members")
+    label = known.groupBy(F.col("a").alias("x")).agg(F.min("b").alias("label"))
+    rows = joined(rows, label, ["x"], "left", "labels").select("pivot", "x", F.coalesce("label", "x").alias("label"), F.col("n_x").alias("n"), "distance", "linked")
+    rows = _paired_blocks(rows, ["pivot"], SKETCHED_SHINGLES).select("group", "block", "x", "label", "n", "distance", "linked")
+    found = rows.join(drawn.toDF("x", "sketch"), "x").groupBy("group").applyInArrow(possible(percent), "h1 long, h2 long, x long, n long")
+    found = materialize(found.distinct(), "possible-members")
     sets = _of_texts(texts, found.select(F.col("x").alias("row_key")).distinct(), set_rows(width), "row_key long, set binary", "region-sets")
-    rows = rows.join(found, ["group", "x"], "left_semi").select("group", "x", "distance", "linked").join(sets.toDF("x", "set"), "x")
+    # Parts that have members in common are joined as one, so that each set is sent once.
+    whole = components(found.select(F.col("h1").alias("a"), F.col("x").alias("b"))).toDF("x", "part")
+    rows = materialize(found.select("x", "n").distinct().join(whole, "x"), "parts")
+    rows = _paired_blocks(rows, ["part"], REGION_SHINGLES).select("group", "x").join(sets.toDF("x", "set"), "x")
     links = materialize(rows.groupBy("group").applyInArrow(joined_region(percent), "a long, b long").distinct(), "region-links")
     discard(drawn, found, sets)
     return links

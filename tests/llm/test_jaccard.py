@@ -48,6 +48,7 @@ def test_families_of_near_copies(spark, families, slice_bytes, region, monkeypat
     monkeypatch.setattr(jaccard, "SLICE_BYTES", slice_bytes)
     monkeypatch.setattr(jaccard, "BUCKET_BYTES", 20_000)
     monkeypatch.setattr(jaccard, "REGION_SHINGLES", region)
+    monkeypatch.setattr(jaccard, "SKETCHED_SHINGLES", region)
     df = spark.createDataFrame(families, "doc_id long, text string, source string").repartition(3)
     found = jaccard.jaccard_components(df).collect()
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == Counter(expected(families)[0])
