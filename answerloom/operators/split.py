@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from answerloom.config import SplitConfig
 from answerloom.functions.numbers import hash_bucket, percent
+from answerloom.operators.quota import FEW_ROWS, sample_exact
 
 BUCKETS = 10_000
 
@@ -83,6 +84,11 @@ def check_leakage(found: DataFrame) -> DataFrame:
 
 
 def sample_k(df: DataFrame, key: str, k: int = 50, seed: int = 42) -> DataFrame:
-    """A seeded sample of ``k`` rows (all, when there are fewer), the same for any layout."""
+    """A seeded sample of ``k`` rows (all, when there are fewer), the same for any layout.
+
+    Up to ``FEW_ROWS`` are taken in order, more by ``quota.sample_exact``: the same rows where keys are distinct.
+    """
+    if k > FEW_ROWS:
+        return sample_exact(df, key, k, seed)
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
     return df.orderBy(digest, key).limit(k)

@@ -452,6 +452,11 @@ ORACLES: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY component ORDER BY q_score DESC, a_len DESC, text_md5, row_id) = 1""",
     "dedup_two_pass": f"WITH {DEDUP} SELECT row_id, uid, content_hash FROM by_content",
     "split_hash": f"WITH {CLEAN} SELECT row_id, content_hash, split FROM clean",
+    "split_exact": f"""WITH {CLEAN}, ranked AS (
+          SELECT row_id, content_hash, row_number() OVER (ORDER BY md5('42|' || content_hash)) AS i, count(*) OVER () AS n FROM clean)
+        SELECT row_id, content_hash, CASE WHEN i <= round_even(0.8 * n, 0) THEN 'train' WHEN i <= round_even(0.9 * n, 0) THEN 'validation' ELSE 'test' END AS split
+        FROM ranked""",
+    "sample_exact": """SELECT doc_id FROM documents QUALIFY row_number() OVER (ORDER BY md5('42|' || doc_id)) <= (SELECT count(*) // 2 FROM documents)""",
     "split_counts": f"""WITH {CLEAN} SELECT s.split, count(c.row_id) AS n,
         100.0::double * count(c.row_id) / (SELECT count(*) FROM clean) AS pct
         FROM (VALUES ('train'), ('validation'), ('test')) s(split) LEFT JOIN clean c ON c.split = s.split GROUP BY 1""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions import scoring, text
 from answerloom.functions.features import dollar_count, has_display_math
-from answerloom.operators import chat, dedup, evaluate, filters, linked, packing, profile, shape, split
+from answerloom.operators import chat, dedup, evaluate, filters, linked, packing, profile, quota, shape, split
 from answerloom.plans import chat_corpus
 from answerloom.plans.prepare import CLEAN_COLUMNS
 from answerloom.sources import jsonl, lines, sinks
@@ -359,6 +359,20 @@ def split_random(spark, sf_dir):
     return both.select("row_id", F.col("a").isin("train", "validation", "test").alias("known"), F.col("a").eqNullSafe(F.col("b")).alias("repeats"))
 
 
+@query
+def split_exact(spark, sf_dir):
+    """The clean rows by exact shares."""
+    rows = prepared(spark, sf_dir).clean.select("row_id", "content_hash")
+    return quota.assign_split_exact(rows)
+
+
+@query
+def sample_exact(spark, sf_dir):
+    """Half of the documents, by places that are selected and not sorted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return quota.sample_exact(docs, "doc_id", docs.count() // 2)
+
+
 @query
 def split_counts(spark, sf_dir):
     return prepared(spark, sf_dir).split_counts()
