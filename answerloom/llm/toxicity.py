@@ -29,9 +29,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from answerloom.llm.arrowtext import flat, lower_ascii, slices
 from answerloom.llm.grammar import INSULT, NEGATED, NEGATION, OTHER, PATTERNS, REPORT, REPORTED, TARGET, TARGETED, THREAT, kind, matches
 from answerloom.llm.labelled import labelled_sample
+from answerloom.storage import discard, materialize
 
 MOST_LABELLED = 8000
-MOST_TERMS = 2000
 SLICE_BYTES = 2 << 20
 SHORTEST, LONGEST = 4, 8  # letters of a learnt beginning of a word
 PRECISION = 0.6  # share of toxic rows among those with a learnt term
@@ -52,12 +52,12 @@ NEGATIONS = "not never no isn't aren't wasn't don't nicht kein keine nie nunca j
 REPORTS = """said says quoted reported wrote claimed called sagte schrieb berichtete zitierte dijo escribió citó
 dit écrit affirme""".split()
 
-_WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
+# Words are runs of letters; of forms with an apostrophe only the lexicon's own are one word, so that l'idiot is two.
+_WORD = re.compile("|".join(rf"(?<![^\W\d_]){w}(?![^\W\d_])" for w in NEGATIONS if "'" in w) + r"|[^\W\d_]+")
 _CLAUSE_END = np.zeros(256, dtype=bool)
 _CLAUSE_END[[ord(c) for c in ".!?;:\n"]] = True
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[0x80:] = True
-_LETTER[[ord(c) for c in "abcdefghijklmnopqrstuvwxyz"]] = True
+# Letters below U+10000, as _WORD has them.
+_LETTER = np.array([chr(c).isalnum() and not chr(c).isdecimal() for c in range(1 << 16)])
 _KINDS = {w: c for c, ws in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS)) for w in ws}
 
 
@@ -80,12 +80,36 @@ class Lexicon:
         return np.unique(np.frombuffer(lower_ascii(np.frombuffer(data, np.uint8)).tobytes(), "<u4"))
 
 
+def words_of(text: str) -> list[str]:
+    return _WORD.findall(text.lower().replace("\u2019", "'"))
+
+
+def letters(data: np.ndarray) -> np.ndarray:
+    """Whether each byte belongs to a letter: quotation marks, dashes and the like beyond ASCII part words as ASCII ones do."""
+    out = (data < 0x80) & _LETTER[data]
+    at = np.flatnonzero(data >= 0xC0)
+    if len(at):
+        padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
+        first, *rest = (padded[at + k] for k in range(4))
+        rest = [b & 0x3F for b in rest]
+        size = np.where(first < 0xE0, 2, np.where(first < 0xF0, 3, 4))
+        code = np.where(size == 2, (first & 0x1F) << 6 | rest[0], (first & 0x0F) << 12 | rest[0] << 6 | rest[1])
+        wide = (first & 0x07) << 18 | rest[0] << 12 | rest[1] << 6 | rest[2]
+        # Beyond U+FFFF scripts are letters, blocks of notes, tiles and pictures are not.
+        picture = ((wide >= 0x1D000) & (wide < 0x1D400)) | ((wide >= 0x1F000) & (wide < 0x20000))
+        letter = np.where(size == 4, ~picture, _LETTER[code & 0xFFFF])
+        for k in range(4):
+            own = (size > k) & (at + k < len(data))
+            out[at[own] + k] = letter[own]
+    return out
+
+
 def candidates(data: np.ndarray, offsets: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where words start whose first four bytes may be an insult or a threat; the number of words per document."""
     if len(data) < 4:
         return np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
     small = lower_ascii(data)
-    letter = _LETTER[small]
+    letter = letters(small)
     starting = letter.copy()
     starting[1:] &= ~letter[:-1]
     starts = offsets[:-1][offsets[:-1] < len(data)]
@@ -111,7 +135,7 @@ def evidence(data: np.ndarray, offsets: np.ndarray, lexicon: Lexicon, heads: np.
     _, first = np.unique(begin, return_index=True)
     number = {p: i for i, p in enumerate(PATTERNS)}
     for i in first:
-        clause = _WORD.findall(data[begin[i] : end[i]].tobytes().decode("utf-8", "replace").lower())
+        clause = words_of(data[begin[i] : end[i]].tobytes().decode("utf-8", "replace"))
         strengths = [lexicon.strength(w) for w in clause]
         classes = [INSULT if s else _KINDS.get(w, OTHER) for w, s in zip(clause, strengths, strict=True)]
         for symbol, s in zip(matches(classes), strengths, strict=True):
@@ -128,7 +152,7 @@ def term_rows(sample: DataFrame) -> DataFrame:
         seen: tuple[Counter, Counter] = Counter(), Counter()
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                words = {w for w in _WORD.findall((text or "").lower()) if len(w) >= SHORTEST}
+                words = {w for w in words_of(text or "") if len(w) >= SHORTEST}
                 seen[label].update((w, True) for w in words)
                 seen[label].update({(w[:n], False) for w in words for n in range(SHORTEST, min(LONGEST, len(w)) + 1)})
         terms = list(seen[1])
@@ -156,7 +180,7 @@ def context_rows(sample: DataFrame, terms: list[tuple[str, bool]]) -> DataFrame:
         for batch in batches:
             found = set()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                read = _WORD.findall((text or "").lower())
+                read = words_of(text or "")
                 for before, word, after in zip(["", *read], read, [*read[1:], ""], strict=False):
                     context = f"{before} {after}"
                     if word in words:
@@ -187,17 +211,17 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     words, beginnings = dict.fromkeys(INSULTS, GENERAL_ROWS / (GENERAL_ROWS + 1)), {}
     if not toxic or toxic == rows:
         return Lexicon(words, {})
-    counts = term_rows(sample).cache()
+    counts = materialize(term_rows(sample), "terms")
     tried = counts.count()
     listed = F.col("whole") & F.col("term").isin(INSULTS)
     order = [F.desc("toxic"), F.desc("whole"), F.length("term").desc(), "term"]
-    frequent = counts.filter(telling(toxic / rows, 1)).orderBy(*order).limit(MOST_TERMS).collect()
+    frequent = counts.filter(telling(toxic / rows, 1)).orderBy(*order).collect()  # the sample bounds them
     for x in counts.filter(listed).collect():
         words[x.term] = (x.toxic + GENERAL_ROWS) / (x.toxic + x.clean + GENERAL_ROWS + 1)
-    counts.unpersist()
+    discard(counts)
     contexts = context_rows(sample, [(x.term, x.whole) for x in frequent])
     taken: list = []
-    for x in contexts.filter(telling(toxic / rows, tried)).orderBy(*order).collect():  # MOST_TERMS at most
+    for x in contexts.filter(telling(toxic / rows, tried)).orderBy(*order).collect():
         # From frequent to rare; a term within or around a taken one must add contexts.
         related = [t for t in taken if x.term.startswith(t.term) and not t.whole or t.term.startswith(x.term) and not x.whole]
         if any(x.term.startswith(t.term) or x.toxic < 1.2 * t.toxic for t in related):
@@ -241,7 +265,8 @@ def with_toxicity(df: DataFrame, labels: DataFrame, learn: Column, id_col: str =
     list and weights stand. Null and empty texts match no pattern and get the score of a clean text. Repeated rows get
     equal scores, an empty table gives an empty one.
     """
-    sample = labelled_sample(df, labels, label, learn, most, id_col, text_col).select("text", "label").cache()
+    sample = labelled_sample(df, labels, label, learn, most, id_col, text_col).select("text", "label")
+    sample = materialize(sample, "labelled-texts")
     lexicon = learn_lexicon(sample)
     heads = lexicon.heads()
 
@@ -252,7 +277,7 @@ def with_toxicity(df: DataFrame, labels: DataFrame, learn: Column, id_col: str =
 
     # The sample is bounded, and so is what comes back of it.
     fitted = sample.mapInArrow(sample_evidence, "label int, found array<double>").collect()
-    sample.unpersist()
+    discard(sample)
     found = np.array([x.found for x in fitted]).reshape(-1, len(PATTERNS) + 1)
     weights = fit_weights(found, np.array([x.label for x in fitted], float))
 

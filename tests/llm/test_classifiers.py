@@ -1,9 +1,12 @@
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from answerloom.llm import grammar, quality, toxicity
+from answerloom.llm.arrowtext import flat
 from answerloom.llm.common import id_remainder
 from answerloom.llm.grammar import INSULT, NEGATED, NEGATION, OTHER, REPORT, REPORTED, TARGET, TARGETED, THREAT
 
@@ -94,3 +97,38 @@ def test_rows_of_one_id_do_not_fill_the_sample(spark):
     assert len(found) == 10 == len(set(found))
     assert set(found) <= {(i, t, i % 2) for i, t in rows if i}
     assert {i for i, _, _ in found} == set(range(1, 9))
+
+
+def plain_evidence(text, lexicon):
+    """Every clause read, whether it has a candidate or not."""
+    out = [0.0] * (len(grammar.PATTERNS) + 1)
+    for clause in re.split(r"[.!?;:\n]", text):
+        words = toxicity.words_of(clause)
+        strengths = [lexicon.strength(w) for w in words]
+        classes = [INSULT if s else toxicity._KINDS.get(w, OTHER) for w, s in zip(words, strengths)]
+        for symbol, s in zip(grammar.matches(classes), strengths):
+            if symbol in grammar.PATTERNS:
+                out[grammar.PATTERNS.index(symbol)] += s or 1.0
+    return out[:-1]
+
+
+def test_evidence_is_that_of_a_plain_scan():
+    rng = random.Random(8)
+    lexicon = toxicity.Lexicon(dict.fromkeys(toxicity.INSULTS, 0.8), {"dreck": 0.6, "schwach": 0.5})
+    words = [*toxicity.INSULTS, *toxicity.THREATS, *toxicity.TARGETS, *toxicity.NEGATIONS, *toxicity.REPORTS, "Dreckskerl", "schwachkopf", "день", "日本", "naïve", "ok", "x"]
+    marks = list(" .,!?;:\n'\"-_") + ["\u201c", "\u201e", "\u00ab", "\u00a1", "\u00bf", "\u2014", "\u2013", "\u2026", "\u2019", "\u2018", "\u00a0", "\u3000", "\U0001f600", "7", "\u00b7", "\u200b", "\ufeff", "\u300c"]
+    texts = ["".join(rng.choice([str, str.upper, str.capitalize])(rng.choice(words)) + rng.choice(["", " "]) + rng.choice(marks) for _ in range(rng.randrange(30))) for _ in range(400)]
+    data, offsets = flat(pa.array(texts))
+    found = toxicity.evidence(data, offsets, lexicon, lexicon.heads())[:, :-1]
+    for text, row in zip(texts, found):
+        assert row.tolist() == pytest.approx(plain_evidence(text, lexicon)), text
+    assert found.sum() > 100
+
+
+def test_marks_and_elisions_do_not_hide_insults(spark, labels):
+    marked = ["you idiot", "\u201cidiot\u201d you", "you \u2014idiot", "you \u00abidiot\u00bb", "you \u00a1Idiot!", "you \u201eidiot\u201c", "you l'idiot", "you l\u2019idiot", "you \U0001f600idiot"]
+    texts = [f"{m} and then some" for m in marked]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    score = {x.doc_id: x.score for x in toxicity.with_toxicity(df, labels.filter("false"), F.lit(True)).collect()}
+    assert all(s > 0.5 and abs(s - score[0]) < 0.05 for s in score.values()), score
+    assert toxicity.words_of("it isn't, it isn\u2019t l'idiot n'est") == ["it", "isn't", "it", "isn't", "l", "idiot", "n", "est"]
