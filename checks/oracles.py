@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from answerloom.operators.chat import CHAT_TEMPLATE
-from checks.queries import HEAD, SHARDS, SKIP, TAKE
+from checks.queries import EDGES, HEAD, SHARDS, SKIP, TAKE
 
 # Whitespace without the line feed, as an RE2 class body.
 WS = (
@@ -424,6 +424,11 @@ ORACLES: dict[str, str] = {
         100.0::double * count_if(has_display) / count(*) AS pct_display FROM feats""",
     "length_quantiles": """SELECT 'n_chars' AS series, quantile_cont(n_chars::double, 0.99) AS quantile FROM documents""",
     "approx_length_quantiles": "SELECT 'n_chars' AS series, true AS within FROM documents LIMIT 1",
+    "sketch_quantiles": """SELECT 'n_chars' AS series, share, (SELECT count(n_chars) FROM documents) AS n, true AS near
+        FROM (VALUES (0.01::double), (0.25), (0.5), (0.9), (0.99)) AS v(share)""",
+    "sketch_histogram": f"""SELECT 'n_chars' AS series, bin::integer AS bin, lo::bigint AS lo, hi::bigint AS hi,
+        count(*) FILTER ((n_chars > lo OR (bin = 0 AND n_chars = lo)) AND n_chars <= hi) AS exact, true AS near
+        FROM documents, (VALUES {', '.join(f'({i}, {a}, {b})' for i, (a, b) in enumerate(zip(EDGES, EDGES[1:])))}) AS v(bin, lo, hi) GROUP BY ALL""",
     "length_histogram": histogram(),
     "score_profile": f"WITH {FEATURES} "
     + bucket_rows(

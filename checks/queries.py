@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from answerloom.functions import scoring, text
 from answerloom.functions.features import dollar_count, has_display_math
-from answerloom.operators import chat, dedup, evaluate, filters, linked, packing, profile, quota, shape, split
+from answerloom.operators import chat, dedup, evaluate, filters, linked, packing, profile, quota, shape, sketches, split
 from answerloom.plans import chat_corpus
 from answerloom.plans.prepare import CLEAN_COLUMNS
 from answerloom.sources import jsonl, lines, sinks
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 
 HEAD, SKIP, TAKE = 200, 200, 100
 SHARDS = 8
+EDGES = [0, 100, 500, 1_000, 2_000, 4_000, 1_000_000]
 
 
 def query(function: Query) -> Query:
@@ -298,6 +299,38 @@ def approx_length_quantiles(spark, sf_dir):
     return found.crossJoin(F.broadcast(exact)).select("series", F.col("quantile").between(F.col("low"), F.col("high")).alias("within"))
 
 
+RANK_ERROR = 0.01
+
+
+@query
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles of text lengths from sketches of four batches, one of them added twice, and whether their exact ranks are near."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    store = new_path(spark, "sketches")
+    for batch in (0, 1, 2, 3, 1):
+        sketches.add_batch(docs.filter(F.col("doc_id") % 4 == batch), store, str(batch), "n_chars")
+    found = sketches.merged(spark, store)
+    asked = sketches.sketch_quantiles(found, 0.01, 0.25, 0.5, 0.9, 0.99).join(found.select("series", "n"), "series")
+    ranks = docs.crossJoin(F.broadcast(asked)).groupBy("series", "share", "n").agg(
+        F.avg((F.col("n_chars") < F.col("quantile")).cast("int")).alias("below"), F.avg((F.col("n_chars") <= F.col("quantile")).cast("int")).alias("up_to")
+    )
+    near = (F.col("below") - RANK_ERROR <= F.col("share")) & (F.col("up_to") + RANK_ERROR >= F.col("share"))
+    return ranks.select("series", "share", "n", near.alias("near"))
+
+
+@query
+def sketch_histogram(spark, sf_dir):
+    """Whether each bin of a histogram from merged sketches is near the exact one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    halves = [sketches.sketch(docs.filter(F.col("doc_id") % 2 == half), "n_chars") for half in (0, 1)]
+    found = sketches.sketch_histogram(sketches.merge(halves[0].unionByName(halves[1])), EDGES)
+    inside = (F.col("n_chars") > F.col("lo")) | ((F.col("bin") == 0) & (F.col("n_chars") == F.col("lo")))
+    exact = F.count_if(inside & (F.col("n_chars") <= F.col("hi")))
+    rows = docs.crossJoin(F.broadcast(found)).groupBy("series", "bin", "lo", "hi", "n").agg(exact.alias("exact"), F.count("*").alias("rows"))
+    near = F.abs(F.col("n") - F.col("exact")) <= 2 * RANK_ERROR * F.col("rows") + 1
+    return rows.select("series", "bin", "lo", "hi", "exact", near.alias("near"))
+
+
 @query
 def length_histogram(spark, sf_dir):
     lengths = profile.value_counts(prepared(spark, sf_dir).clean, "q_len", "a_len")
