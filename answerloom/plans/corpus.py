@@ -3,7 +3,8 @@
     spark-submit --py-files answerloom.zip answerloom/plans/corpus.py --input <jsonl> --output <folder>
 
 The output folder receives ``clean``, ``splits/split=<name>``,
-``profile/<part>``, ``leakage`` and ``funnel``. The job fails before it writes anything else when the splits do not add up or
+``profile/<part>``, ``leakage`` and ``funnel``; with ``--keep-versions`` a version folder below it does, which becomes current
+at once when all is written. The job fails before it writes anything else when the splits do not add up or
 a duplicate key occurs in two of them.
 """
 
@@ -19,6 +20,7 @@ from answerloom.functions.numbers import thousands
 from answerloom.operators.split import check_leakage
 from answerloom.plans.prepare import Prepared, prepare
 from answerloom.sources.jsonl import read_raw
+from answerloom.sources.publish import KEEP_VERSIONS, publication
 from answerloom.sources.sinks import write_clean, write_splits
 from answerloom.storage import run_tables
 
@@ -42,6 +44,20 @@ def build_corpus(
     return run
 
 
+def publish_corpus(
+    spark: SparkSession,
+    source: str,
+    root: str,
+    cfg: PrepConfig = PrepConfig(),
+    splits: SplitConfig = SplitConfig(),
+    fmt: str = "json",
+    keep: int = KEEP_VERSIONS,
+) -> Prepared:
+    """``build_corpus`` into a version folder below ``root`` that readers see whole or not at all; ``publish.current`` finds it."""
+    with publication(spark, root, keep) as folder:
+        return build_corpus(spark, source, folder, cfg, splits, fmt)
+
+
 def show_summary(run: Prepared) -> None:
     """Print the run summary: rows per stage and per split."""
     counts = [thousands(F.col(c)).alias(c) for c in ("rows_in", "dropped", "remaining")]
@@ -63,6 +79,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--content-prefix", type=int, default=cfg.content_prefix, help="0: whole texts")
     parser.add_argument("--linked-duplicates", action="store_true", help="one row of all that a uid or content key connects")
     parser.add_argument("--seed", type=int, default=splits.seed)
+    parser.add_argument("--keep-versions", type=int, default=0, help="publish below the output folder and keep so many versions; 0: replace in place")
     given = parser.parse_args(arguments)
     cfg = PrepConfig(
         given.min_question_len,
@@ -75,7 +92,8 @@ def main(arguments: list[str] | None = None) -> None:
     )
     spark = SparkSession.builder.appName("corpus preparation").getOrCreate()
     with run_tables(spark):
-        show_summary(build_corpus(spark, given.input, given.output, cfg, SplitConfig(seed=given.seed), given.format))
+        settings = (spark, given.input, given.output, cfg, SplitConfig(seed=given.seed), given.format)
+        show_summary(publish_corpus(*settings, given.keep_versions) if given.keep_versions else build_corpus(*settings))
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """The preparation job: raw question/answer rows to a clean, split and profiled instruction corpus.
 
-The raw input is read once. Its cleaned rows are written as a stage table, without a shuffle. Duplicates are settled
+The raw input is read once. Its cleaned rows are written as a stage table, without a shuffle, and counted on the way. Duplicates are settled
 on the stage's narrow key columns (two narrow shuffles), and the surviving row ids pick the wide rows. Everything
 later reads the written clean table.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from answerloom.config import PrepConfig, SplitConfig
@@ -114,8 +114,10 @@ def prepare(
     carry = (row_id,) if row_id else ()
     ties = (*carry, "a_count", "uid", "stage_id")
     stage = stage_rows(raw, cfg, carry).withColumn("stage_id", F.monotonically_increasing_id())
-    stage = materialize(stage, "stage")
-    by_reach = {r["reached"]: r["count"] for r in stage.groupBy("reached").count().collect()}
+    # Counted while the stage is written: a task's counts come with its success, so a retry does not count twice.
+    seen = Observation()
+    stage = materialize(stage.observe(seen, *[F.count_if(F.col("reached") == k).alias(f"reached_{k}") for k in range(KEPT + 1)]), "stage")
+    by_reach = {k: seen.get[f"reached_{k}"] for k in range(KEPT + 1)}
 
     kept = stage.filter(F.col("reached") == KEPT)
     # As bytes the digests order like their hex text at half the size.

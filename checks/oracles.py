@@ -384,6 +384,7 @@ ORACLES: dict[str, str] = {
     "scan_jsonl_roundtrip": f"WITH {QA} SELECT Q, A, url, answer_id, question_score, answer_count FROM qa",
     "meta_backfill": f"""WITH {QA} SELECT row_id, NULL::varchar AS url, NULL::varchar AS answer_id,
         question_score, answer_count FROM qa""",
+    "publish_roundtrip": f"WITH {QA} SELECT row_id, Q FROM qa WHERE row_id % 2 = 1",
     "scan_tolerant": f"WITH {LINES} SELECT instruction, input, output FROM valid",
     "scan_numbered": f"WITH {LINES} SELECT line_no, instruction, input, output FROM valid",
     "head_n": f"WITH {LINES} SELECT line_no, instruction, input, output FROM valid ORDER BY line_no LIMIT {HEAD}",

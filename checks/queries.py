@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from answerloom.functions.features import dollar_count, has_display_math
 from answerloom.operators import chat, dedup, evaluate, filters, linked, packing, profile, quota, shape, sketches, split
 from answerloom.plans import chat_corpus
 from answerloom.plans.prepare import CLEAN_COLUMNS
-from answerloom.sources import jsonl, lines, sinks
+from answerloom.sources import jsonl, lines, publish, sinks
 from answerloom.storage import materialize, new_path
 from checks.views import (
     instruction_lines,
@@ -95,6 +96,19 @@ def head_holdout_overlap(spark, sf_dir):
     return lines.overlap(lines.head_rows(spark, path, HEAD), later).select("line_no", "instruction")
 
 
+@query
+def publish_roundtrip(spark, sf_dir):
+    """What readers find after two publications and one that failed halfway."""
+    rows = qa_flat(spark, sf_dir).select("row_id", "Q")
+    root = new_path(spark, "published")
+    for part in (0, 1, None):
+        with contextlib.suppress(InterruptedError), publish.publication(spark, root) as folder:
+            rows.filter(F.col("row_id") % 2 == (part or 0)).write.json(f"{folder}/rows")
+            if part is None:
+                raise InterruptedError
+    return publish.read_published(spark, root, "rows", schema="row_id long, Q string")
+
+
 def _training_log(spark, sf_dir):
     path = new_path(spark, "training-log")
     loss = F.when(F.col("event_type") == "click", F.col("value"))
