@@ -60,23 +60,69 @@ def rouge_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]++", " "))
 
 
-def _lcs_function():
-    # A closure travels to the Python workers by value, so they need not have this package installed.
+def _lcs_tokens():
+    """The function of two token lists that gives the length of their longest common subsequence.
+
+    Where few places match, as in long texts of many words, matches are taken one by one: of all common subsequences of some
+    length, only the least end in the shorter text is kept (Hunt and Szymanski). Where many match, all places of the shorter text
+    are held as bits of one number (Hyyrö). The number of matches, counted first, decides; either takes memory in proportion to the
+    texts. Defined in here, it travels to Python workers by value, so they need not have this package installed.
+    """
+    from bisect import bisect_left
+
+    def sparse(where: dict[str, list[int]], b: list[str]) -> int:
+        ends: list[int] = []
+        for token in b:
+            for i in reversed(where[token]):
+                k = bisect_left(ends, i)
+                if k == len(ends):
+                    ends.append(i)
+                else:
+                    ends[k] = i
+        return len(ends)
+
+    def dense(where: dict[str, list[int]], b: list[str], size: int) -> int:
+        def bits(places: list[int]) -> int:
+            held = bytearray(size // 8 + 1)
+            for i in places:
+                held[i >> 3] |= 1 << (i & 7)
+            return int.from_bytes(held, "little")
+
+        # Numbers of the frequent tokens are kept, some 2,000 at most.
+        kept = {token: bits(places) for token, places in where.items() if len(places) > size // 2000}
+        full = (1 << size) - 1
+        free = full
+        for token in b:
+            step = free & (kept[token] if token in kept else bits(where[token]))
+            free = ((free + step) | (free - step)) & full
+        return size - free.bit_count()
+
     def lcs_tokens(left: str, right: str) -> int:
         a, b = left.split(), right.split()
         if len(a) > len(b):
             a, b = b, a
-        where: dict[str, int] = {}
+        same = 0
+        while same < len(a) and a[same] == b[same]:
+            same += 1
+        a, b, tail = a[same:], b[same:], 0
+        while tail < len(a) and a[-1 - tail] == b[-1 - tail]:
+            tail += 1
+        if tail:
+            a, b = a[:-tail], b[:-tail]
+        where: dict[str, list[int]] = {}
         for i, token in enumerate(a):
-            where[token] = where.get(token, 0) | (1 << i)
-        full = (1 << len(a)) - 1
-        free = full
-        for token in b:
-            hits = where.get(token)
-            if hits:
-                step = free & hits
-                free = ((free + step) | (free - step)) & full
-        return len(a) - free.bit_count()
+            where.setdefault(token, []).append(i)
+        b = [token for token in b if token in where]
+        matches = sum(len(where[token]) for token in b)
+        # A match costs about what 3,000 bits do, and a step over bits some fixed time besides.
+        few = matches * 5 <= len(b) * (6 + len(a) // 600)
+        return same + tail + (sparse(where, b) if few else dense(where, b, len(a)))
+
+    return lcs_tokens
+
+
+def _lcs_function():
+    lcs_tokens = _lcs_tokens()
 
     def lcs(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series([0 if x is None or y is None else lcs_tokens(x, y) for x, y in zip(left, right)], dtype="int64")
@@ -85,7 +131,7 @@ def _lcs_function():
 
 
 def lcs_length(left: Column, right: Column) -> Column:
-    """Length of the longest common subsequence of space-separated tokens (bit-parallel, Arrow batches)."""
+    """Length of the longest common subsequence of space-separated tokens (bit-parallel or by matches, Arrow batches)."""
     return _lcs_function()(left, right)
 
 

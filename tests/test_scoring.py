@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,39 @@ def test_sql_functions(spark):
 def test_final_loss(spark):
     log = spark.createDataFrame([(1, 2.0), (3, 1.5), (5, None)], "step long, loss double")
     assert tuple(evaluate.final_loss(log).first()) == (3, 1.5)
+
+
+def plain_lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            before, row[j + 1] = row[j + 1], before + 1 if x == y else max(row[j], row[j + 1])
+    return row[-1]
+
+
+def test_lcs_by_matches_and_by_bits():
+    lcs = scoring._lcs_tokens()
+    rng = random.Random(6)
+    for _ in range(400):
+        kinds = rng.choice([1, 2, 5, 40, 1000])
+        a, b = ([f"w{rng.randrange(kinds)}" for _ in range(rng.randrange(60))] for _ in range(2))
+        a, b = ["p"] * rng.randrange(3) + a + ["s"], ["p"] * rng.randrange(3) + b + ["s"]
+        assert lcs(" ".join(a), " ".join(b)) == plain_lcs(a, b)
+
+
+def test_lcs_of_long_texts_takes_linear_memory():
+    """Two texts of 200,000 words: rare matches, and frequent words among rare ones."""
+    lcs, rng, n = scoring._lcs_tokens(), random.Random(4), 200_000
+    a, b = ([f"{side}{i}" for i in range(n)] for side in "ab")
+    for i in range(0, n, 100):
+        a[i] = f"c{i}"
+        b[n - 100 - i if i < n // 2 else i] = f"c{i}"
+    tracemalloc.start()
+    found = lcs(" ".join(a), " ".join(b))
+    peak = tracemalloc.get_traced_memory()[1]
+    assert n // 200 <= found <= n // 100 and peak < 150e6
+    zipf = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(20_000)) for _ in range(2)]
+    tracemalloc.reset_peak()
+    assert 0 < lcs(*zipf) < 20_000 and tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
