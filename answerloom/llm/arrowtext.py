@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int, most_rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """The batch in runs of up to ``most_rows`` rows whose ``column`` holds about ``most_bytes``, a longer value alone."""
+    steady()
     _, offsets = flat(batch.column(column))
     start = 0
     while start < batch.num_rows:
@@ -121,6 +123,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, most
     release()
 
 
+@cache
+def steady() -> None:
+    """Let this process give large arrays back to the system as they are freed, instead of holding on to ever larger ones."""
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)  # glibc only
+    if mallopt:
+        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, which otherwise grows to 32 MB
+
+
 def release() -> None:
     """Give freed memory back to the system: a reused worker would otherwise hold what its largest task once took."""
     pa.default_memory_pool().release_unused()

@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from answerloom.llm.arrowtext import binary_array, flat, gather, slices
+from answerloom.llm.arrowtext import binary_array, flat, gather, release, slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MAX_VOCABULARY = 300_000
 MATRIX_BYTES = 256
 MATRIX_CELLS = 1 << 21
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 KEPT_PIECES = 150_000
 NONE = np.int32(2**31 - 1)
 
@@ -252,6 +252,8 @@ def encode(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_
                 if decoded:
                     columns.append(encoder.vocabulary.decode(ids, ends))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        del encoder
+        release()
 
     return rows.mapInArrow(run, schema)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from answerloom.llm.arrowtext import flat, gather, lower_ascii, mix64, pack, pieces, slices, unpack, word_hashes, words
+from answerloom.llm.arrowtext import flat, gather, lower_ascii, mix64, pack, pieces, release, slices, steady, unpack, word_hashes, words
 from answerloom.llm.common import joined, keep_rows, matching, row_key
 from answerloom.llm.components import components
 from answerloom.storage import discard, materialize
@@ -41,7 +41,7 @@ from answerloom.storage import discard, materialize
 WIDTH = 4
 LINK_PERCENT = 85  # 100 * intersection >= 85 * union
 SLICE_BYTES = 2 << 20
-BUCKET_BYTES = 64 << 20  # text whose cells one task reduces
+BUCKET_BYTES = 32 << 20  # text whose cells one task reduces
 REGION_SHINGLES = 1_000_000
 SKETCHED_SHINGLES = 4_000_000  # of a block whose sketches one task compares
 SLICE_MEMBERS = 16  # of a cell that a slice sends; of more it sends one, and the others hang onto that
@@ -213,6 +213,7 @@ def cell_rows(n_buckets: int, percent: int, width: int):
 
 def pivot_rows(table: pa.Table) -> pa.Table:
     """(x, pivot, local) of one bucket: the sets of each cell that several have, with its pivot."""
+    steady()
     rows = [(None if c is None else unpack(c, np.uint64, True), unpack(k, np.int64)) for c, k in zip(table.column("cells").to_pylist(), table.column("keys").to_pylist(), strict=True)]
     local = [keys.reshape(-1, 2) for packed, keys in rows if packed is None]
     sent = [(packed, keys) for packed, keys in rows if packed is not None]
@@ -287,6 +288,7 @@ def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = min(len(a), len(b))
             most.append(int(most_shared(folded(a, size), folded(b, size)[None], i, np.array([j]))[0]))
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("x", "pivot", "n_x", "n_pivot")), pa.array(most, pa.int64())], names=["x", "pivot", "n_x", "n_pivot", "most"])
+    release()
 
 
 def possible(percent: int):
@@ -297,6 +299,7 @@ def possible(percent: int):
         what has one label is connected already. A part is named by 128 bits of its members, so that what meets in several
         regions is one part.
         """
+        steady()
         table = table.combine_chunks()
         keys = table.column("x").to_numpy()
         _, first = np.unique(keys, return_index=True)
@@ -341,6 +344,7 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("x"), batch.column("pivot"), pa.array(sizes[0]), pa.array(sizes[1]), pa.array(shared, pa.int64())],
             names=["x", "pivot", "n_x", "n_pivot", "shared"],
         )
+    release()
 
 
 def may_link(values: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
@@ -405,6 +409,7 @@ class Region:
 def joined_region(percent: int):
     def run(table: pa.Table) -> pa.Table:
         """(a, b) links that connect all linked members of one group of (x, set)."""
+        steady()
         table = table.combine_chunks()
         keys = table.column("x").to_numpy()
         _, first = np.unique(keys, return_index=True)

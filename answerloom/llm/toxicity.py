@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from answerloom.llm.arrowtext import flat, lower_ascii, slices
+from answerloom.llm.arrowtext import flat, lower_ascii, release, slices
 from answerloom.llm.grammar import INSULT, NEGATED, NEGATION, OTHER, PATTERNS, REPORT, REPORTED, TARGET, TARGETED, THREAT, kind, matches
 from answerloom.llm.labelled import labelled_sample
 from answerloom.storage import discard, materialize
@@ -289,5 +289,6 @@ def with_toxicity(df: DataFrame, labels: DataFrame, learn: Column, id_col: str =
             for part in slices(batch, text_col, SLICE_BYTES):
                 score = probability(evidence(*flat(part.column(text_col)), lexicon, heads), weights)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=schema.names)
+        release()
 
     return rows.mapInArrow(run, schema)
