@@ -384,6 +384,20 @@ ORACLES: dict[str, str] = {
     "scan_jsonl_roundtrip": f"WITH {QA} SELECT Q, A, url, answer_id, question_score, answer_count FROM qa",
     "meta_backfill": f"""WITH {QA} SELECT row_id, NULL::varchar AS url, NULL::varchar AS answer_id,
         question_score, answer_count FROM qa""",
+    "scan_variant": f"""WITH {QA}, k AS (SELECT *, (row_id % 100000000000000000) // 10000000 % 5 AS k FROM qa)
+        SELECT Q, A, CASE WHEN k < 2 THEN url END AS url, CASE WHEN k < 2 THEN answer_id END AS answer_id,
+               CASE WHEN k < 2 THEN question_score END AS question_score, CASE WHEN k < 2 THEN answer_count END AS answer_count,
+               ['object', 'string', 'string', 'array', 'absent'][k + 1] AS meta_kind FROM k""",
+    "variant_fields": f"""WITH {QA}, k AS (SELECT *, (row_id % 100000000000000000) // 10000000 % 5 AS k FROM qa),
+        f AS (
+          SELECT 'Q' AS field, 'string' AS kind, count(Q) AS n FROM k UNION ALL SELECT 'A', 'string', count(A) FROM k
+          UNION ALL SELECT 'meta', ['object', 'string', 'string', 'array'][k + 1] AS kind, count(*) FROM k WHERE k < 4 GROUP BY 2
+          UNION ALL SELECT 'tag', 'number', count(*) FROM k WHERE k = 4
+          UNION ALL SELECT 'meta.url', 'string', count(url) FROM k WHERE k < 2
+          UNION ALL SELECT 'meta.answer_id', 'string', count(answer_id) FROM k WHERE k < 2
+          UNION ALL SELECT 'meta.question_score', 'string', count(question_score) FROM k WHERE k < 2
+          UNION ALL SELECT 'meta.answer_count', 'string', count(answer_count) FROM k WHERE k < 2)
+        SELECT field, kind, n, field <> 'tag' AS known FROM f WHERE n > 0""",
     "publish_roundtrip": f"WITH {QA} SELECT row_id, Q FROM qa WHERE row_id % 2 = 1",
     "scan_tolerant": f"WITH {LINES} SELECT instruction, input, output FROM valid",
     "scan_numbered": f"WITH {LINES} SELECT line_no, instruction, input, output FROM valid",

@@ -13,10 +13,11 @@ from answerloom.functions.features import dollar_count, has_display_math
 from answerloom.operators import chat, dedup, evaluate, filters, linked, packing, profile, quota, shape, sketches, split
 from answerloom.plans import chat_corpus
 from answerloom.plans.prepare import CLEAN_COLUMNS
-from answerloom.sources import jsonl, lines, publish, sinks
+from answerloom.sources import jsonl, lines, publish, sinks, variants
 from answerloom.storage import materialize, new_path
 from checks.views import (
     instruction_lines,
+    odd_meta_lines,
     predictions,
     prepared,
     qa_cleaned,
@@ -96,6 +97,22 @@ def head_holdout_overlap(spark, sf_dir):
     return lines.overlap(lines.head_rows(spark, path, HEAD), later).select("line_no", "instruction")
 
 
+def _odd_meta_path(spark, sf_dir):
+    path = new_path(spark, "odd-meta")
+    odd_meta_lines(spark, sf_dir).write.text(path)
+    return path
+
+
+@query
+def scan_variant(spark, sf_dir):
+    return variants.read_raw_variant(spark, _odd_meta_path(spark, sf_dir)).select("Q", "A", "meta.*", "meta_kind")
+
+
+@query
+def variant_fields(spark, sf_dir):
+    return variants.field_counts(spark, _odd_meta_path(spark, sf_dir))
+
+
 @query
 def publish_roundtrip(spark, sf_dir):
     """What readers find after two publications and one that failed halfway."""

@@ -147,3 +147,12 @@ def instruction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(F.col("conv_id") % 9 == 0, F.concat(F.lit("\n"), cut)).otherwise(cut)
     turns = table(spark, sf_dir, "conversations").withColumn("record", record)
     return turns.orderBy("conv_id", "turn").select(line.alias("value"))
+
+
+def odd_meta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines whose ``meta`` is an object, a string that holds one, another string, an array, or absent beside a ``tag``."""
+    fields = F.struct("url", "answer_id", "question_score", "answer_count")
+    kinds = (fields.alias("meta"), F.to_json(fields).alias("meta"), F.lit("none given").alias("meta"), F.array(F.lit(1), F.lit(2)).alias("meta"), F.lit(1).alias("tag"))
+    lines = [F.to_json(F.struct("Q", "A", kind)) for kind in kinds]
+    which = F.floor(F.col("row_id") % COPY_STEP / ID_STEP) % len(kinds)
+    return qa_flat(spark, sf_dir).select(F.element_at(F.array(*lines), (which + 1).cast("int")).alias("value"))
