@@ -501,7 +501,7 @@ ORACLES: dict[str, str] = {
         {PROMPT_TEXT} AS prompt FROM clean WHERE split = 'test' ORDER BY md5('42|' || content_hash), content_hash LIMIT 50""",
     "split_random": f"WITH {CLEAN} SELECT row_id, true AS known, true AS repeats FROM clean",
     "pack_sequences": packs(),
-    "pack_in_order": f"""WITH RECURSIVE items AS (
+    "pack_in_order": f"""WITH RECURSIVE items AS MATERIALIZED (
           SELECT row_number() OVER (ORDER BY doc_id) AS i, doc_id, {token_count('text')} AS n FROM documents),
         walk(i, doc_id, n, pack_id, filled) AS (
           SELECT 0::bigint, NULL::bigint, 0::bigint, -1::bigint, 513::bigint
