@@ -463,6 +463,7 @@ ORACLES: dict[str, str] = {
     "dedup_uid": f"WITH {DEDUP} SELECT row_id, uid FROM by_uid",
     "dedup_content": f"""WITH {DEDUP} SELECT row_id, content_hash FROM scored QUALIFY row_number() OVER (
         PARTITION BY content_hash ORDER BY q_score DESC, a_len DESC, text_md5, row_id) = 1""",
+    "clean_stream": f"WITH {DEDUP} SELECT DISTINCT content_hash FROM scored",
     "dedup_linked": f"""WITH RECURSIVE {DEDUP},
         e AS MATERIALIZED (SELECT DISTINCT uid, content_hash FROM scored),
         l AS MATERIALIZED (SELECT DISTINCT a.uid AS u, b.uid AS v FROM e a JOIN e b ON a.content_hash = b.content_hash),

@@ -15,6 +15,7 @@ from answerloom.plans import chat_corpus
 from answerloom.plans.prepare import CLEAN_COLUMNS
 from answerloom.sources import jsonl, lines, publish, sinks, variants
 from answerloom.storage import materialize, new_path
+from answerloom.streaming import clean as streaming
 from checks.views import (
     instruction_lines,
     odd_meta_lines,
@@ -456,6 +457,18 @@ def sample_k(spark, sf_dir):
     return split.sample_k(table(spark, sf_dir, "documents"), "doc_id").select("doc_id", "lang", "n_chars")
 
 
+@query
+def clean_stream(spark, sf_dir):
+    """Raw rows that arrive in two files and a copy of the first, one batch each, cleaned as a stream."""
+    rows = qa_raw(spark, sf_dir).select("row_id", "Q", "A", "meta")
+    path, out = new_path(spark, "arriving"), new_path(spark, "cleaned")
+    for part in (0, 1, 0):
+        rows.filter(F.col("row_id") % 2 == part).drop("row_id").coalesce(1).write.mode("append").json(path)
+    found = streaming.clean_stream(streaming.read_raw_stream(spark, path, files_per_batch=1))
+    streaming.write_clean_stream(found, out, new_path(spark, "stream-state"), "parquet").awaitTermination()
+    return spark.read.parquet(out).select("content_hash")
+
+
 # Chat records
 
 
