@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -123,9 +122,11 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, most
     release()
 
 
-@cache
 def steady() -> None:
-    """Let this process give large arrays back to the system as they are freed, instead of holding on to ever larger ones."""
+    """Let this process give large arrays back to the system as they are freed, instead of holding on to ever larger ones.
+
+    Called for each batch: a cached function would travel to the workers by name, and they need not have this package.
+    """
     mallopt = getattr(ctypes.CDLL(None), "mallopt", None)  # glibc only
     if mallopt:
         mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD, which otherwise grows to 32 MB
