@@ -459,13 +459,16 @@ def sample_k(spark, sf_dir):
 
 @query
 def clean_stream(spark, sf_dir):
-    """Raw rows that arrive in two files and a copy of the first, one batch each, cleaned as a stream."""
+    """Raw rows that arrive in two parts and a copy of the first, each cleaned as a stream once it is there.
+
+    A part is as many files as tasks write it, and the stream goes on from its checkpoint with the files that are new.
+    """
     rows = qa_raw(spark, sf_dir).select("row_id", "Q", "A", "meta")
-    path, out = new_path(spark, "arriving"), new_path(spark, "cleaned")
+    path, out, state = (new_path(spark, name) for name in ("arriving", "cleaned", "stream-state"))
     for part in (0, 1, 0):
-        rows.filter(F.col("row_id") % 2 == part).drop("row_id").coalesce(1).write.mode("append").json(path)
-    found = streaming.clean_stream(streaming.read_raw_stream(spark, path, files_per_batch=1))
-    streaming.write_clean_stream(found, out, new_path(spark, "stream-state"), "parquet").awaitTermination()
+        rows.filter(F.col("row_id") % 2 == part).drop("row_id").write.mode("append").json(path)
+        found = streaming.clean_stream(streaming.read_raw_stream(spark, path))
+        streaming.write_clean_stream(found, out, state, "parquet").awaitTermination()
     return spark.read.parquet(out).select("content_hash")
 
 
