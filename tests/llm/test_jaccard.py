@@ -89,6 +89,39 @@ def test_shingles_of_five_words(spark, families, monkeypatch):
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == Counter(expected(families, 80)[0])
 
 
+@pytest.fixture(scope="module")
+def passages():
+    """Families whose members open with 0 to 90 % of one passage, and strangers that have the whole passage."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(300)]
+    texts = []
+    for size in (12, 40, 90):
+        for share in (0, 0.15, 0.4, 0.7, 0.9):
+            texts += [" ".join([*passage[: int(share * size / (1 - share))], t]) for t in family(rng, 6, size, max(1, size // 12))]
+    texts += [" ".join([f"s{rng.randint(0, 10**9)}" for _ in range(rng.randint(20, 260))] + passage[100:130]) for _ in range(450)]
+    return [(i, t, None) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("most, broadcast", [(1_000_000, 200_000), (40, 0), (0, 0)])
+def test_strangers_do_not_meet_over_a_common_passage(spark, passages, most, broadcast, monkeypatch):
+    counted = {}
+
+    def counting(df, name, write=jaccard.materialize):
+        table = write(df, name)
+        counted.setdefault(name, table.count())
+        return table
+
+    monkeypatch.setattr(jaccard, "materialize", counting)
+    monkeypatch.setattr(jaccard, "MOST_COMMON", most)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(jaccard, "SLICE_BYTES", 60_000)
+    df = spark.createDataFrame(passages, "doc_id long, text string, source string").repartition(3)
+    found = jaccard.jaccard_components(df, percent=80, rare=True).collect()
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in found) == Counter(expected(passages, 80)[0])
+    if most > 1000:
+        assert counted["candidates"] < 200, counted
+
+
 def test_sketches_bound_what_sets_share():
     rng = np.random.default_rng(1)
     for n in (1, 2, 3, 31, 32, 33, 500, 3000):
